@@ -247,5 +247,8 @@ v_constructor_drivers_distribution AS (
 
 
 def with_gold(min_season: int, body: str) -> str:
-    """A full statement: gold CTEs + view CTEs + ``body``."""
+    """A full statement: gold CTEs + view CTEs + ``body`` (a body's own CTEs are appended)."""
+    b = body.lstrip()
+    if b[:5].upper() == "WITH ":
+        return f"WITH {GOLD},{views(min_season)},\n{b[5:]}"
     return f"WITH {GOLD},{views(min_season)}\n{body}"

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_conf
 from . import oracle_sql as O
 from . import race_views as V
+from .gold_queries import GOLD_QUERIES
 from .standin import build_gold
 
 # The test data covers seasons 1995-2001; 1996 keeps the threshold filter meaningful.
@@ -19,57 +20,22 @@ FLAGSHIP = "v_driver_standings"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _view(name: str) -> Query:
-    fn = {
-        "v_dim_seasons": V.dim_seasons,
-        "v_constructor_reference": V.constructor_reference,
-        "v_constructor_evolution": V.constructor_evolution,
-        "v_driver_evolution": V.driver_evolution,
-        "v_constructor_round_wins": V.constructor_round_wins,
-        "v_driver_round_wins": V.driver_round_wins,
-        "v_driver_standings": V.driver_standings,
-        "v_constructor_standings": V.constructor_standings,
-        "v_driver_stats": V.driver_stats,
-        "v_constructor_stats": V.constructor_stats,
-        "v_constructor_drivers_distribution": V.constructor_drivers_distribution,
-    }[name]
-
+def _gold_query(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_conf(spark)
         return fn(build_gold(spark, sf_dir), CFG)
     return run
 
 
-VIEW_NAMES = ["v_dim_seasons", "v_constructor_reference", "v_constructor_evolution", "v_driver_evolution",
-              "v_constructor_round_wins", "v_driver_round_wins", "v_driver_standings", "v_constructor_standings",
-              "v_driver_stats", "v_constructor_stats", "v_constructor_drivers_distribution"]
-
-
-def _gold_table(attr: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ensure_conf(spark)
-        return getattr(build_gold(spark, sf_dir), attr)
-    return run
-
-
-GOLD_TABLES = {"fact_session_results": ("fact", "fact"), "dim_races": ("dim_races", "dim_races"),
-               "dim_drivers": ("dim_drivers", "dim_drivers"),
-               "dim_constructors": ("dim_constructors", "dim_constructors")}
-
-
 def queries() -> dict[str, Query]:
-    q: dict[str, Query] = {}
-    for name, (attr, _) in GOLD_TABLES.items():
-        q[name] = _gold_table(attr)
-    for name in VIEW_NAMES:
-        q[name] = _view(name)
+    q: dict[str, Query] = {name: _gold_query(fn) for name, (fn, _) in GOLD_QUERIES.items()}
+    from .io_queries import IO_QUERIES
+    q.update({name: fn for name, (fn, _) in IO_QUERIES.items()})
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    o: dict[str, str] = {}
-    for name, (_, cte) in GOLD_TABLES.items():
-        o[name] = O.with_gold(MIN_SEASON, f"SELECT * FROM {cte}")
-    for name in VIEW_NAMES:
-        o[name] = O.with_gold(MIN_SEASON, f"SELECT * FROM {name}")
+    o = {name: O.with_gold(MIN_SEASON, body) for name, (_, body) in GOLD_QUERIES.items()}
+    from .io_queries import IO_QUERIES
+    o.update({name: sql for name, (_, sql) in IO_QUERIES.items() if sql is not None})
     return o

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import full_name, title_case
+from ..operators.model import add_flags
 from ..operators.ranking import rank_within
 from ..sources.tables import load_tables
 
@@ -37,6 +38,7 @@ class Gold:
     ref_driver_code: DataFrame
     ref_country_image: DataFrame
     ref_nationality_region: DataFrame
+    source_dir: str = ""
 
 
 def _session_lines(lineitem: DataFrame) -> DataFrame:
@@ -96,16 +98,6 @@ def session_fact(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     return add_flags(fact)
 
 
-def add_flags(fact: DataFrame) -> DataFrame:
-    """Nullable Boolean flags (null when the input is null)."""
-    return fact.withColumns({
-        "is_win": F.col("final_position") == 1,
-        "is_podium": F.col("final_position").between(1, 3),
-        "has_points": F.col("points") > 0,
-        "is_pole": F.col("grid_position") == 1,
-    })
-
-
 def nationality_region(nation: DataFrame, region: DataFrame) -> DataFrame:
     """``ref_nationality_region``: title-cased nation name → region name."""
     return (nation.join(region, nation.n_regionkey == region.r_regionkey, "inner")
@@ -186,4 +178,5 @@ def build_gold(spark: SparkSession, sf_dir: str) -> Gold:
         ref_driver_code=ref_driver_code(t["customer"]),
         ref_country_image=ref_country_image(t["nation"]),
         ref_nationality_region=ref_region,
+        source_dir=sf_dir.rstrip("/"),
     )
