@@ -26,9 +26,13 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropna(how="any", subset=list(keys))
 
 
-def dedupe_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+def dedupe_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None,
+                      last_by: str | None = None) -> DataFrame:
     """One row per key; the survivor is the smallest row in ``order`` (default: all other columns).
 
+    ``last_by`` instead keeps the row with the greatest value of that column (e.g. the
+    newest ``batch_id``), remaining ties broken by the other columns.
+
     ``dropDuplicates`` keeps an arbitrary row; this keeps a deterministic one. It is a
     ``min(struct)`` aggregate, so a hot key is reduced map-side (partial aggregation)
     before the shuffle and never gathered into one task. Null keys form one group, as in
@@ -36,10 +40,11 @@ def dedupe_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] |
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    lead = list(order) if order is not None else []
+    lead = [last_by] if last_by else (list(order) if order is not None else [])
     fields = lead + [c for c in rest if c not in lead]
     packed = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(fields)])
-    agg = df.groupBy(*keys).agg(F.min(packed).alias("__row"))
+    pick = F.max if last_by else F.min
+    agg = df.groupBy(*keys).agg(pick(packed).alias("__row"))
     return agg.select(*keys, *[F.col(f"__row._{fields.index(c)}").alias(c) for c in rest])
 
 

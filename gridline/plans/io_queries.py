@@ -1,5 +1,332 @@
-"""Registered queries for sources, sinks, cleaning, quality and batch control."""
+"""Registered queries for sources, sinks, cleaning, quality, batch control and the pipeline.
+
+They land the test tables as raw batch files (``landing.land_all``, once per session
+and scale directory, under the session's shared checkpoint folder), then exercise the
+readers, writers and jobs on them. Oracles are DuckDB SQL over the same parquet tables
+(the ``GOLD`` CTEs of ``oracle_sql``).
+"""
 
 from __future__ import annotations
 
-IO_QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import batch as B
+from ..operators.clean import CLEAN_SPECS, clean
+from ..operators.quality import results_frame, run_checks
+from ..session import ensure_conf, scratch_path
+from ..sinks.upsert import merge_frames, newer_batch_guard, upsert
+from ..sinks.writes import path_exists, replace_partition
+from ..sources import payload as P
+from ..sources.files import add_ingestion_metadata, list_landing_batches, scan_landed
+from ..sources.tables import load_table
+from ..streaming.ingest import ingest_available
+from . import pipeline as PL
+from .landing import land_all
+from .oracle_sql import GOLD, tc
+from .standin import nationality_region
+
+Query = Callable[[SparkSession, str], DataFrame]
+IO_QUERIES: dict[str, tuple[Query, str | None]] = {}
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def q(name: str, sql: str | None):
+    def deco(fn: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_conf(spark)
+            return fn(spark, sf_dir.rstrip("/"))
+        IO_QUERIES[name] = (run, sql)
+        return fn
+    return deco
+
+
+def landed(spark: SparkSession, sf_dir: str) -> str:
+    """Landing root for ``sf_dir`` in this application (written once, then reused)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    root = _LANDED.get(key)
+    if root is None or not path_exists(spark, f"{root}/_DONE"):
+        root = scratch_path(spark, "landing")
+        land_all(spark, sf_dir, root)
+        spark.createDataFrame([("ok",)], "v STRING").coalesce(1).write.mode("overwrite").text(f"{root}/_DONE")
+        _LANDED[key] = root
+    return root
+
+
+def _with(body: str) -> str:
+    return f"WITH {GOLD}\n{body}"
+
+
+_BATCH = "CAST(season AS VARCHAR) || '-' || lpad(CAST(round AS VARCHAR), 2, '0')"
+def raw_results_sql(session: str) -> str:
+    """The landed results rows of one session type, as the landing writer produces them."""
+    return f"""
+SELECT r.race_date AS date, lower(r.race_name) AS raceName, f.round, f.season,
+       'race/' || f.season || '/' || f.round AS url, CAST(f.constructor_id AS VARCHAR) AS constructorId,
+       CAST(f.driver_id AS VARCHAR) AS driverId, f.grid_position AS grid, f.completed_laps AS laps,
+       f.car_number AS number, CAST(f.points AS FLOAT) AS points, f.final_position AS position,
+       f.final_position_text AS positionText, f.status,
+       CAST(f.season AS VARCHAR) || '-' || lpad(CAST(f.round AS VARCHAR), 2, '0') AS batch_id
+FROM fact f LEFT JOIN dim_races r ON r.season = f.season AND r.round = f.round
+WHERE f.session_type = '{session}'"""
+
+
+# --- sources ---------------------------------------------------------------------------------
+@q("scan_csv", _with(f"""
+SELECT season, round, 'race/' || season || '/' || round AS url, lower(race_name) AS raceName, race_date AS date,
+       lower(country) AS circuitId, {_BATCH} AS batch_id FROM dim_races"""))
+def _scan_csv(spark, sf):
+    return scan_landed(spark, landed(spark, sf), "races")
+
+
+@q("scan_ndjson", _with(f"""
+SELECT DISTINCT CAST(f.constructor_id AS VARCHAR) AS constructorId, c.constructor_name AS name,
+       lower(c.nationality) AS nationality, 'constructor/' || f.constructor_id AS url,
+       CAST(f.season AS VARCHAR) || '-' || lpad(CAST(f.round AS VARCHAR), 2, '0') AS batch_id
+FROM fact f JOIN dim_constructors c ON c.constructor_id = f.constructor_id"""))
+def _scan_ndjson(spark, sf):
+    return scan_landed(spark, landed(spark, sf), "constructors")
+
+
+@q("scan_nested_json", _with("""
+SELECT DISTINCT CAST(f.driver_id AS VARCHAR) AS driverId, lower(c.c_mktsegment) AS givenName,
+       lower(c.c_name) AS familyName, d.date_of_birth AS dateOfBirth, lower(d.nationality) AS nationality,
+       'driver/' || f.driver_id AS url,
+       CAST(f.season AS VARCHAR) || '-' || lpad(CAST(f.round AS VARCHAR), 2, '0') AS batch_id
+FROM fact f JOIN customer c ON c.c_custkey = f.driver_id JOIN dim_drivers d ON d.driver_id = f.driver_id"""))
+def _scan_nested(spark, sf):
+    d = scan_landed(spark, landed(spark, sf), "drivers")
+    return d.select("driverId", F.col("name.givenName").alias("givenName"),
+                    F.col("name.familyName").alias("familyName"), "dateOfBirth", "nationality", "url", "batch_id")
+
+
+@q("scan_json_array", _with(raw_results_sql("SPRINT")))
+def _scan_array(spark, sf):
+    return scan_landed(spark, landed(spark, sf), "sprints")
+
+
+def _pages(spark, sf) -> DataFrame:
+    return P.combine_pages(P.read_pages(spark, f"{landed(spark, sf)}/pages/results", "RaceTable", "Races",
+                                        P.RACE_RECORD), "RaceTable", "Races")
+
+
+@q("flatten_payload", _with("""
+SELECT strftime(r.race_date, '%Y-%m-%d') AS date, lower(r.race_name) AS raceName, f.round, f.season,
+       'race/' || f.season || '/' || f.round AS url, CAST(f.constructor_id AS VARCHAR) AS constructorId,
+       CAST(f.driver_id AS VARCHAR) AS driverId, f.grid_position AS grid, f.completed_laps AS laps,
+       f.car_number AS number, f.points, f.final_position AS position, f.final_position_text AS positionText,
+       f.status
+FROM fact f LEFT JOIN dim_races r ON r.season = f.season AND r.round = f.round
+WHERE f.session_type = 'RACE'"""))
+def _flatten(spark, sf):
+    return P.flatten_results(P.races_of(_pages(spark, sf)))
+
+
+@q("combine_pages", _with("""
+SELECT season, round, count(*) AS total, CAST(ceil(count(*) / 100) AS BIGINT) AS pages_seen,
+       count(*) AS records_seen, CAST(ceil(count(*) / 100) AS BIGINT) AS pages_expected, true AS complete
+FROM fact WHERE session_type = 'RACE' GROUP BY 1, 2"""))
+def _combine(spark, sf):
+    recs = _pages(spark, sf).withColumns({"season": F.col("record.season").cast("int"),
+                                          "round": F.col("record.round").cast("int")})
+    return P.page_check(recs, ["season", "round"], F.size("record.Results"))
+
+
+@q("list_landing_batches", _with(f"SELECT DISTINCT {_BATCH} AS batch_id FROM dim_races"))
+def _list(spark, sf):
+    return list_landing_batches(spark, landed(spark, sf))
+
+
+# --- sinks ------------------------------------------------------------------------------------
+@q("replace_partition", _with(f"""
+SELECT * EXCLUDE (date) FROM ({raw_results_sql("RACE")})
+WHERE NOT (batch_id = '1997-03' AND position > 10)"""))
+def _replace(spark, sf):
+    root = landed(spark, sf)
+    path = scratch_path(spark, "bronze-results")
+    raw = scan_landed(spark, root, "results")
+    raw.write.mode("overwrite").partitionBy("batch_id").parquet(path)
+    one = scan_landed(spark, root, "results", "1997-03").filter(F.col("position") <= 10).drop("batch_id")
+    replace_partition(one, path, "1997-03")
+    replace_partition(one, path, "1997-03")            # rerun: same result
+    return spark.read.parquet(path).drop("date")
+
+
+_SILVER_RESULTS = f"""
+SELECT f.season, f.round, CAST(f.constructor_id AS VARCHAR) AS constructor_id,
+       CAST(f.driver_id AS VARCHAR) AS driver_id, r.race_date, {tc('lower(r.race_name)')} AS race_name,
+       f.grid_position, f.completed_laps, f.car_number, CAST(f.points AS FLOAT) AS points,
+       f.final_position, f.final_position_text, f.status,
+       CAST(f.season AS VARCHAR) || '-' || lpad(CAST(f.round AS VARCHAR), 2, '0') AS batch_id
+FROM fact f LEFT JOIN dim_races r ON r.season = f.season AND r.round = f.round WHERE f.session_type = 'RACE'"""
+
+
+def _clean_results(spark, sf) -> DataFrame:
+    raw = add_ingestion_metadata(scan_landed(spark, landed(spark, sf), "results"))
+    return clean(raw, CLEAN_SPECS["results"]).drop("ingestion_timestamp", "source_file")
+
+
+@q("clean_results", _with(_SILVER_RESULTS))
+def _q_clean_results(spark, sf):
+    return _clean_results(spark, sf)
+
+
+@q("clean_drivers", _with("""
+SELECT CAST(d.driver_id AS VARCHAR) AS driver_id, d.date_of_birth, d.nationality, d.driver_name, b.batch_id
+FROM dim_drivers d JOIN (SELECT driver_id, max(CAST(season AS VARCHAR) || '-' ||
+                                             lpad(CAST(round AS VARCHAR), 2, '0')) AS batch_id
+                         FROM fact GROUP BY 1) b ON b.driver_id = d.driver_id"""))
+def _q_clean_drivers(spark, sf):
+    lake = PL.Lake(scratch_path(spark, "lake"))
+    PL.load_raw(spark, landed(spark, sf), lake, "drivers", None)
+    return PL.cleaned(spark, lake, "drivers", None).drop("ingestion_timestamp", "source_file")
+
+
+@q("upsert_guarded", _with(f"""
+SELECT season, round, constructor_id, driver_id,
+       CASE WHEN season = 1998 THEN points + 1000 ELSE points END AS points,
+       CASE WHEN season = 1998 THEN '2099-01' ELSE batch_id END AS batch_id
+FROM ({_SILVER_RESULTS})"""))
+def _q_upsert(spark, sf):
+    path = scratch_path(spark, "silver-results")
+    src = _clean_results(spark, sf)
+    keys = ["season", "round", "constructor_id", "driver_id"]
+    cols = [c for c in src.columns if c not in keys]
+    upsert(src.filter(F.col("round") <= 6), path, keys, cols, ["season", "round"], newer_batch_guard)
+    upsert(src.filter(F.col("round") >= 4), path, keys, cols, ["season", "round"], newer_batch_guard)
+    bumped = src.withColumn("points", F.col("points") + 1000)
+    stale = bumped.filter(F.col("season") == 1997).withColumn("batch_id", F.lit("1990-01"))
+    newer = bumped.filter(F.col("season") == 1998).withColumn("batch_id", F.lit("2099-01"))
+    upsert(stale.unionByName(newer), path, keys, cols, ["season", "round"], newer_batch_guard)
+    return spark.read.parquet(path).select(*keys, "points", "batch_id")
+
+
+@q("upsert_unguarded", _with(f"""
+SELECT season, round, constructor_id, driver_id,
+       CASE WHEN season IN (1997, 1998) THEN points + 1000 ELSE points END AS points
+FROM ({_SILVER_RESULTS})"""))
+def _q_upsert_all(spark, sf):
+    src = _clean_results(spark, sf)
+    keys = ["season", "round", "constructor_id", "driver_id"]
+    target = src.withColumns({"created_timestamp": F.current_timestamp(),
+                              "updated_timestamp": F.current_timestamp()})
+    bumped = src.filter(F.col("season").isin(1997, 1998)).withColumn("points", F.col("points") + 1000) \
+        .withColumn("batch_id", F.lit("1990-01")).withColumns({"created_timestamp": F.current_timestamp(),
+                                                                "updated_timestamp": F.current_timestamp()})
+    merged = merge_frames(target, bumped, keys, ["points", "batch_id"], guard=None)
+    return merged.select(*keys, "points")
+
+
+_CONTROL = f"""
+landed AS (SELECT DISTINCT {_BATCH} AS batch_id FROM dim_races),
+control AS (
+  SELECT batch_id, CASE WHEN batch_id < '1998-01' THEN 'completed' WHEN batch_id = '1998-01' THEN 'in_progress'
+                        ELSE 'failed' END AS status
+  FROM landed WHERE batch_id <= '1998-02')"""
+
+
+def _control(spark, sf) -> tuple[DataFrame, DataFrame]:
+    landed_ids = list_landing_batches(spark, landed(spark, sf))
+    control = (landed_ids.filter(F.col("batch_id") <= "1998-02")
+               .withColumn("status", F.when(F.col("batch_id") < "1998-01", "completed")
+                           .when(F.col("batch_id") == "1998-01", "in_progress").otherwise("failed"))
+               .withColumns({"created_timestamp": F.current_timestamp(),
+                             "updated_timestamp": F.current_timestamp()}))
+    return landed_ids, control
+
+
+@q("next_batch", _with(f""",{_CONTROL}
+SELECT min(batch_id) AS batch_id, min(batch_id) IS NOT NULL AS has_batch FROM landed
+WHERE batch_id NOT IN (SELECT batch_id FROM control WHERE status IN ('in_progress', 'completed'))""".replace(
+    "\n,", ",", 1)))
+def _q_next(spark, sf):
+    landed_ids, control = _control(spark, sf)
+    return B.next_batch(landed_ids, control)
+
+
+@q("batch_lifecycle", _with(f""",{_CONTROL}
+SELECT batch_id, CASE WHEN batch_id = '1998-01' THEN 'completed' ELSE status END AS status FROM control""".replace(
+    "\n,", ",", 1)))
+def _q_lifecycle(spark, sf):
+    _, control = _control(spark, sf)
+    return B.complete_rows(control, "1998-01").select("batch_id", "status")
+
+
+# --- quality ------------------------------------------------------------------------------------
+DQ_CHECKS = [
+    {"name": "orderkey_not_null", "type": "not_null", "column": "l_orderkey", "severity": "critical"},
+    {"name": "line_key_unique", "type": "unique", "columns": ["l_orderkey", "l_linenumber"], "severity": "warning"},
+    {"name": "min_rows_big", "type": "min_rows", "threshold": 100000, "severity": "warning"},
+    {"name": "discount_range", "type": "value_range", "column": "l_discount", "min": 0, "max": 0.05,
+     "severity": "warning"},
+    {"name": "quantity_not_negative", "type": "not_negative", "column": "l_quantity", "severity": "critical"},
+    {"name": "part_ref_big_parts", "type": "referential", "column": "l_partkey", "ref_table": "big_parts",
+     "ref_column": "p_partkey", "severity": "warning"},
+    {"name": "missing_parent", "type": "referential", "column": "l_partkey", "ref_table": "nowhere",
+     "ref_column": "p_partkey", "severity": "warning"},
+    {"name": "bad_column", "type": "not_null", "column": "no_such_column", "severity": "warning"},
+    {"name": "mystery", "type": "freshness", "severity": "critical"},
+]
+
+
+def _fmt_sql(x: str) -> str:
+    return f"format('{{:,}}', {x})"
+
+
+@q("dq_results", f"""
+WITH s AS (SELECT count(*) AS total,
+                  count_if(l_orderkey IS NULL) AS nn,
+                  count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS dup,
+                  count_if(l_discount IS NOT NULL AND (l_discount < 0 OR l_discount > 0.05)) AS rng,
+                  count_if(l_quantity IS NOT NULL AND l_quantity < 0) AS neg,
+                  count_if(l_partkey IS NOT NULL AND l_partkey NOT IN
+                           (SELECT p_partkey FROM part WHERE p_size > 10 AND p_partkey IS NOT NULL)) AS orph
+           FROM lineitem)
+SELECT * FROM (
+  SELECT 'orderkey_not_null' AS check_name, 'not_null' AS check_type, 'critical' AS severity, nn = 0 AS passed,
+         nn AS fail_count, total AS total_rows, {_fmt_sql('nn')} || ' null values found in ''l_orderkey''' AS details FROM s
+  UNION ALL SELECT 'line_key_unique', 'unique', 'warning', dup = 0, dup, total,
+         {_fmt_sql('dup')} || ' duplicate rows on key [''l_orderkey'', ''l_linenumber'']' FROM s
+  UNION ALL SELECT 'min_rows_big', 'min_rows', 'warning', total >= 100000,
+         CASE WHEN total >= 100000 THEN 0 ELSE 100000 - total END, total,
+         'Row count ' || {_fmt_sql('total')} || ' vs minimum 100,000' FROM s
+  UNION ALL SELECT 'discount_range', 'value_range', 'warning', rng = 0, rng, total,
+         {_fmt_sql('rng')} || ' values outside [0, 0.05] in ''l_discount''' FROM s
+  UNION ALL SELECT 'quantity_not_negative', 'not_negative', 'critical', neg = 0, neg, total,
+         {_fmt_sql('neg')} || ' negative values in ''l_quantity''' FROM s
+  UNION ALL SELECT 'part_ref_big_parts', 'referential', 'warning', orph = 0, orph, total,
+         {_fmt_sql('orph')} || ' values in ''l_partkey'' not found in big_parts.p_partkey' FROM s
+  UNION ALL SELECT 'missing_parent', 'referential', 'warning', false, -1, total, 'error' FROM s
+  UNION ALL SELECT 'bad_column', 'not_null', 'warning', false, -1, total, 'error' FROM s
+  UNION ALL SELECT 'mystery', 'freshness', 'critical', true, 0, total, 'Unknown check type: ''freshness'' — skipped'
+  FROM s)""")
+def _q_dq(spark, sf):
+    li = load_table(spark, sf, "lineitem")
+    parts = load_table(spark, sf, "part").filter(F.col("p_size") > 10)
+    res = run_checks(li, DQ_CHECKS, "lineitem", "all", ref_tables={"big_parts": parts}, raise_on_critical=False)
+    for r in res:                                   # error texts are engine messages: compare the marker only
+        if r["fail_count"] == -1:
+            r["details"] = "error"
+    return results_frame(spark, res).drop("run_id", "table_name", "batch_id", "run_timestamp")
+
+
+# --- pipeline and streaming -------------------------------------------------------------------
+@q("medallion_backfill", _with("""
+SELECT season, round, CAST(constructor_id AS VARCHAR) AS constructor_id, CAST(driver_id AS VARCHAR) AS driver_id,
+       session_type, grid_position, completed_laps, car_number, CAST(points AS FLOAT) AS points, final_position,
+       final_position_text, status, is_win, is_podium, has_points, is_pole
+FROM fact"""))
+def _q_backfill(spark, sf):
+    lake = PL.Lake(scratch_path(spark, "lake"))
+    t = {n: load_table(spark, sf, n) for n in ("nation", "region")}
+    PL.backfill(spark, landed(spark, sf), lake, nationality_region(t["nation"], t["region"]))
+    return spark.read.parquet(lake.gold("fact_session_results")).drop("created_timestamp", "updated_timestamp")
+
+
+@q("stream_ingest", _with(f"SELECT * EXCLUDE (date) FROM ({raw_results_sql('RACE')})"))
+def _q_stream(spark, sf):
+    out = scratch_path(spark, "bronze-stream")
+    ingest_available(spark, landed(spark, sf), "results", out, scratch_path(spark, "stream-ckpt"))
+    return spark.read.parquet(out).drop("date", "ingestion_timestamp", "source_file")
