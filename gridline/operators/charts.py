@@ -98,10 +98,17 @@ def cumulative_series(evo: DataFrame, entity: str, step: str, rank_col: str, hig
     """H4: slice maximum, latest step, each entity's rank at the latest step, styling and tooltips."""
     pc = list(partition_cols)
     s = evo.withColumn("round_num", F.col(step).cast("int"))
-    s = group_extreme(s, pc, "cumulative_points", "global_max", "max")
-    s = group_extreme(s, pc, "round_num", "max_round_num", "max")
+    # slice-wide values: one partial aggregate per slice, joined back (the slice is never one task)
+    if pc:
+        agg = s.groupBy(*pc).agg(F.max("cumulative_points").alias("global_max"),
+                                 F.max("round_num").alias("max_round_num"))
+        s = join_null_safe(s, agg, pc)
+    else:                                   # whole dataset: two scalar sub-queries
+        s = s.withColumns({"global_max": s.agg(F.max("cumulative_points")).scalar(),
+                           "max_round_num": s.agg(F.max("round_num")).scalar()})
     s = s.withColumn("rank_at_latest", F.when(F.col("round_num") == F.col("max_round_num"), F.col(rank_col)))
-    s = group_extreme(s, [*pc, entity], "rank_at_latest", "current_rank", "min")
+    # per-entity series hold one row per step of the slice (a calendar bound): a plain window
+    s = s.withColumn("current_rank", F.min("rank_at_latest").over(Window.partitionBy(*pc, entity)))
     hi = F.col("current_rank") <= highlight_n
     dot = "   ●   "
     return s.withColumns({

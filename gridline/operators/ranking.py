@@ -7,9 +7,8 @@ operators here compute the same numbers without that single task:
 
 1. ``repartitionByRange`` on (group, order keys) splits a hot group over many
    contiguous range partitions (Spark samples the bounds);
-2. inside a range partition, a window keyed by (partition id, group) numbers the
-   rows -- its largest window is one range partition, not one group; the numbered
-   slices are checkpointed so that both reads below see one partition assignment;
+2. a sort inside each range partition numbers its rows (``monotonically_increasing_id``);
+   the numbered rows are checkpointed so that both reads below see one assignment;
 3. per (partition id, group) totals (at most partitions + groups rows) give each
    slice the count of its group's rows in earlier partitions;
 4. slice offset + local number = the global number.
@@ -33,6 +32,7 @@ from .joins import join_null_safe
 OrderSpec = Sequence[tuple[str, str]]   # (column, "asc" | "desc" | "asc_nulls_last" | "desc_nulls_first")
 
 _PID, _OFF, _LOC, _W, _G = "__rk_pid", "__rk_off", "__rk_loc", "__rk_w", "__rk_g"
+_MID, _POS, _FIRST = "__rk_mid", "__rk_pos", "__rk_first"
 
 
 def sort_col(name: str, direction: str = "asc") -> Column:
@@ -49,34 +49,61 @@ def _order_cols(order: OrderSpec) -> list[Column]:
     return [sort_col(c, d) for c, d in order]
 
 
-def _numbered(df: DataFrame, by: Sequence[str], order: OrderSpec, weight: str | None,
-              out: str, partitions: int | None, exclusive: bool) -> DataFrame:
-    """Running count (or running sum of ``weight``) over (by, order) across range partitions."""
+def _group_token(by: Sequence[str]) -> Column:
+    # One non-null token per group: struct equality compares fields null-safely, so the
+    # group can be used as a plain equi-join / partition key even when a column is null.
+    return F.struct(*[F.col(b) for b in by]) if by else F.lit(0)
+
+
+def _row_numbers(df: DataFrame, by: Sequence[str], order: OrderSpec, out: str,
+                 partitions: int | None) -> DataFrame:
+    """ROW_NUMBER over ``by`` in ``order``, ``(by, order)`` unique, without a single-task group.
+
+    Range partitioning on (group, order) + a sort inside each partition give every row
+    its position in its range partition (``monotonically_increasing_id`` = partition id
+    << 33 | position). The checkpoint pins these ids: range bounds are sampled, so a
+    second evaluation of the exchange need not assign the same rows to the same ids,
+    and the numbers are read twice below (slice totals and the final join). It also
+    lets a lost executor restart from the files instead of the whole lineage.
+    """
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    n = partitions or shuffle_partitions(spark)
+    ordering = [F.col(_G).asc()] + _order_cols(order)
+    ck = (df.withColumn(_G, _group_token(by)).repartitionByRange(n, *ordering).sortWithinPartitions(*ordering)
+          .withColumn(_MID, F.monotonically_increasing_id())
+          .checkpoint(eager=True))
+    ck = ck.withColumns({_PID: F.shiftright(_MID, 33), _POS: F.col(_MID).bitwiseAND(F.lit((1 << 33) - 1))})
+    # slice summary: one row per (range partition, group) -- at most partitions + groups
+    # rows and at most `n` rows per group, so the offset window is bounded by `n`
+    tot = ck.groupBy(_PID, _G).agg(F.count(F.lit(1)).alias(_W), F.min(_POS).alias(_FIRST))
+    off = tot.select(
+        _PID, _G, _FIRST,
+        F.coalesce(F.sum(_W).over(Window.partitionBy(_G).orderBy(_PID)
+                                  .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(_OFF))
+    res = ck.join(off, [_PID, _G], "inner")
+    num = F.col(_OFF) + F.col(_POS) - F.col(_FIRST) + 1
+    return res.withColumn(out, num.cast("long")).drop(_PID, _POS, _OFF, _FIRST, _MID, _G)
+
+
+def _weighted_prefix(df: DataFrame, by: Sequence[str], order: OrderSpec, weight: str, out: str,
+                     partitions: int | None) -> DataFrame:
+    """Exclusive running sum of ``weight`` over (by, order) across range partitions.
+
+    Used on tie-collapsed keys (one row per distinct (group, key)), so its input is
+    already reduced. Inside a range partition a window keyed by (partition id, group)
+    sums the weights -- its largest window is one range partition, not one group.
+    """
     spark = df.sparkSession
     checkpoint_root(spark)
     n = partitions or shuffle_partitions(spark)
-    # One non-null token per group: struct equality compares fields null-safely, so the
-    # group can be used as a plain equi-join / partition key even when a column is null.
-    grp = F.struct(*[F.col(b) for b in by]) if by else F.lit(0)
     ordering = [F.col(_G).asc()] + _order_cols(order)
-    r = (df.withColumn(_G, grp).repartitionByRange(n, *ordering)
+    r = (df.withColumn(_G, _group_token(by)).repartitionByRange(n, *ordering)
          .withColumn(_PID, F.spark_partition_id()))
-    w_local = Window.partitionBy(_PID, _G).orderBy(*_order_cols(order))
-    if weight is None:
-        local = F.row_number().over(w_local)                      # inclusive count
-        if exclusive:
-            local = local - 1
-    else:
-        frame = w_local.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
-        local = F.coalesce(F.sum(weight).over(frame), F.lit(0))
-    # The slice numbers are read twice below (totals and the final join). Range bounds are
-    # sampled, so two evaluations of the exchange need not agree on partition ids; the
-    # checkpoint (shared checkpoint folder, lineage cut) pins one assignment for both
-    # reads and lets a lost executor's work restart from the files.
-    loc = r.withColumn(_LOC, local).checkpoint(eager=True)
-    # slice totals: one row per (range partition, group), i.e. at most partitions + groups
-    # rows and at most `n` rows per group, so the offset window is bounded by `n`.
-    tot = loc.groupBy(_PID, _G).agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias(_W))
+    frame = (Window.partitionBy(_PID, _G).orderBy(*_order_cols(order))
+             .rowsBetween(Window.unboundedPreceding, -1))
+    loc = r.withColumn(_LOC, F.coalesce(F.sum(weight).over(frame), F.lit(0))).checkpoint(eager=True)
+    tot = loc.groupBy(_PID, _G).agg(F.sum(weight).alias(_W))
     off = tot.select(
         _PID, _G,
         F.coalesce(F.sum(_W).over(Window.partitionBy(_G).orderBy(_PID)
@@ -98,17 +125,18 @@ def rank_within(df: DataFrame, by: Sequence[str], order: OrderSpec, method: str
     if method not in ("rank", "dense_rank", "row_number"):
         raise ValueError(f"unknown ranking method {method!r}")
     if unique:
-        res = _numbered(df, by, order, None, out, partitions, exclusive=False)
-        return res.withColumn(out, F.col(out).cast("int"))
+        return _row_numbers(df, by, order, out, partitions).withColumn(out, F.col(out).cast("int"))
     if method == "row_number":
         raise ValueError("row_number needs a unique ordering; pass unique=True with a tie-breaker")
     keys = [c for c, _ in order]
-    distinct = df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias(_W))
-    if method == "rank":
-        ranked = _numbered(distinct, by, order, _W, out, partitions, exclusive=True)
-    else:
-        ranked = _numbered(distinct.drop(_W), by, order, None, out, partitions, exclusive=True)
-    ranked = ranked.select(*by, *keys, (F.col(out) + 1).cast("int").alias(out))
+    if method == "dense_rank":       # number the distinct keys; equal keys share the number
+        distinct = df.select(*by, *keys).distinct()
+        ranked = _row_numbers(distinct, by, order, out, partitions)
+    else:                            # RANK = 1 + rows with a smaller key in the group
+        distinct = df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias(_W))
+        ranked = _weighted_prefix(distinct, by, order, _W, out, partitions)
+        ranked = ranked.withColumn(out, F.col(out) + 1)
+    ranked = ranked.select(*by, *keys, F.col(out).cast("int").alias(out))
     return join_null_safe(df, ranked, [*by, *keys])
 
 

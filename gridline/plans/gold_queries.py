@@ -165,7 +165,7 @@ SELECT c_custkey AS driver_id, {tc("lower(c_mktsegment) || ' ' || lower(c_name)"
        {tc('c_name')} AS one_word, {short(tc('c_name'))} AS one_word_short
 FROM customer""")
 def _names(g, cfg):
-    c = g.dim_drivers.sparkSession.read.parquet(cfg_dir(g, "customer"))
+    c = g.table("customer")
     full = title_case(F.concat_ws(" ", F.lower("c_mktsegment"), F.lower("c_name")))
     return c.select(F.col("c_custkey").alias("driver_id"), full.alias("driver_name"),
                     short_name(full).alias("short_name"), title_case("c_name").alias("one_word"),
@@ -203,7 +203,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag
   FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag FROM lineitem))
 WHERE rn = 1""")
 def _dedupe(g, cfg):
-    li = g.dim_drivers.sparkSession.read.parquet(cfg_dir(g, "lineitem")).select(
+    li = g.table("lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
     return dedupe_keep_first(li, ["l_orderkey", "l_linenumber"])
 
@@ -212,9 +212,8 @@ def _dedupe(g, cfg):
 SELECT o_orderkey, o_custkey FROM orders
 WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'HOUSEHOLD')""")
 def _orphans(g, cfg):
-    s = g.dim_drivers.sparkSession
-    o = s.read.parquet(cfg_dir(g, "orders")).select("o_orderkey", "o_custkey")
-    c = s.read.parquet(cfg_dir(g, "customer")).filter(F.col("c_mktsegment") == "HOUSEHOLD")
+    o = g.table("orders").select("o_orderkey", "o_custkey")
+    c = g.table("customer").filter(F.col("c_mktsegment") == "HOUSEHOLD")
     return orphans(o, "o_custkey", c, "c_custkey")
 
 
@@ -225,10 +224,9 @@ EXCEPT
 SELECT batch_id FROM (SELECT DISTINCT CAST(year(l_shipdate) AS VARCHAR) || '-' ||
                              lpad(CAST(month(l_shipdate) AS VARCHAR), 2, '0') AS batch_id FROM lineitem)""")
 def _setdiff(g, cfg):
-    s = g.dim_drivers.sparkSession
-    landed = s.read.parquet(cfg_dir(g, "orders")).select(
+    landed = g.table("orders").select(
         batch_id(F.year("o_orderdate"), F.month("o_orderdate")).alias("batch_id"))
-    tracked = s.read.parquet(cfg_dir(g, "lineitem")).select(
+    tracked = g.table("lineitem").select(
         batch_id(F.year("l_shipdate"), F.month("l_shipdate")).alias("batch_id"))
     return set_difference(landed, tracked, ["batch_id"])
 
@@ -359,7 +357,3 @@ def _recent(g, cfg):
 @q("dashboard_slice", "SELECT * FROM v_driver_evolution WHERE season = 1999")
 def _slice(g, cfg):
     return C.slice_by(V.driver_evolution(g, cfg), season=1999)
-
-
-def cfg_dir(g: Gold, table: str) -> str:
-    return f"{g.source_dir}/{table}.parquet"

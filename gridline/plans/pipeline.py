@@ -9,6 +9,7 @@ parquet folders under ``lake``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -20,12 +21,12 @@ from ..operators import model as M
 from ..operators.clean import CLEAN_SPECS, clean, dedupe_keep_first
 from ..operators.quality import check_suites, constraint_suites, run_checks
 from ..sinks.upsert import newer_batch_guard, upsert, with_key_bucket
-from ..sinks.writes import append, overwrite, path_exists, replace_partition
+from ..sinks.writes import append, overwrite, overwrite_partitions, path_exists, replace_partition
 from ..sources.files import add_ingestion_metadata, list_landing_batches, scan_landed
 
 DATASETS = ("circuits", "races", "constructors", "drivers", "results", "sprints")
-# Parents first, so that referential checks see their parent tables.
-CLEAN_ORDER = ("circuits", "constructors", "drivers", "races", "results", "sprints")
+# Parents first, so that referential checks see their parent tables; each level runs concurrently.
+CLEAN_LEVELS = (("circuits", "constructors", "drivers"), ("races", "results", "sprints"))
 KEYS = {"circuits": ["circuit_id"], "races": ["season", "round"], "constructors": ["constructor_id"],
         "drivers": ["driver_id"], "results": ["season", "round", "constructor_id", "driver_id"],
         "sprints": ["season", "round", "constructor_id", "driver_id"]}
@@ -67,8 +68,7 @@ def load_raw(spark: SparkSession, landing: str, lake: Lake, name: str, batch_id:
     if batch_id is not None:
         replace_partition(df.drop("batch_id"), lake.raw(name), batch_id)
     else:                                    # backfill: dynamic overwrite of every landed batch
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        df.write.mode("overwrite").partitionBy("batch_id").parquet(lake.raw(name))
+        overwrite_partitions(df, lake.raw(name), ["batch_id"])
 
 
 # --- cleaned ("silver") -------------------------------------------------------------------
@@ -86,6 +86,15 @@ KEYS_RAW = {"circuits": ["circuitId"], "races": ["season", "round"], "constructo
             "sprints": ["season", "round", "constructorId", "driverId"]}
 
 
+_AUDIT_LOCK = threading.Lock()
+
+
+def _append_audit(rows: DataFrame, path: str) -> None:
+    """Appends to one folder must not overlap (they share its ``_temporary`` staging area)."""
+    with _AUDIT_LOCK:
+        append(rows, path)
+
+
 def clean_table(spark: SparkSession, lake: Lake, name: str, batch_id: str | None,
                 raise_on_critical: bool = True) -> list[dict]:
     """T-n: clean → quality suite (audited, may raise) → guarded upsert with the table's constraints."""
@@ -102,10 +111,11 @@ def clean_table(spark: SparkSession, lake: Lake, name: str, batch_id: str | None
 
     results = run_checks(df, check_suites()[name], lake.silver(name), batch_id or "*", ref_tables=parent,
                          raise_on_critical=raise_on_critical,
-                         audit=lambda r: append(r, lake.audit))
+                         audit=lambda r: _append_audit(r, lake.audit))
     spec_cols = [c for c in df.columns if c not in KEYS[name] and c not in _partitioning(name)]
+    # the suite's critical `unique` check has already refused duplicate keys
     upsert(df, lake.silver(name), KEYS[name], spec_cols, _partitioning(name), guard=newer_batch_guard,
-           constraints=constraint_suites()[name])
+           constraints=constraint_suites()[name], check_unique=False)
     return results
 
 
@@ -134,15 +144,24 @@ GOLD_KEYS = {"dim_races": ["season", "round"], "dim_constructors": ["constructor
              "fact_session_results": ["season", "round", "constructor_id", "driver_id", "session_type"]}
 
 
-def build_gold_tables(spark: SparkSession, lake: Lake, batch_id: str | None, ref_region: DataFrame) -> None:
-    """D-1..D-4 with unguarded upserts (matched rows always updated)."""
-    for name, df in gold_frames(spark, lake, batch_id, ref_region).items():
+def build_gold_tables(spark: SparkSession, lake: Lake, batch_id: str | None, ref_region: DataFrame,
+                      parallel: int = 4) -> None:
+    """D-1..D-4 with unguarded upserts (matched rows always updated); the four are independent."""
+    def one(item):
+        name, df = item
         keys = GOLD_KEYS[name]
         part = ["season", "round"] if "round" in keys else ["key_bucket"]
         if part == ["key_bucket"]:
             df = with_key_bucket(df, keys, SILVER_BUCKETS)
         cols = [c for c in df.columns if c not in keys and c not in part]
         upsert(df, lake.gold(name), keys, cols, part, guard=None)
+    _run_all(one, list(gold_frames(spark, lake, batch_id, ref_region).items()), parallel)
+
+
+def _run_all(fn, items, parallel: int) -> list:
+    """Submit independent Spark jobs from a few driver threads (the job graph's parallel tasks)."""
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return list(pool.map(fn, items))
 
 
 # --- batch control and the whole run ------------------------------------------------------
@@ -171,11 +190,11 @@ def run_batch(spark: SparkSession, landing: str, lake: Lake, batch_id: str | Non
     """M5: six loads (in parallel) → six cleans (parents first) → dims + fact → complete."""
     if control and batch_id is not None:
         start_batch(spark, lake, batch_id)
-    with ThreadPoolExecutor(max_workers=parallel_loads) as pool:
-        list(pool.map(lambda n: load_raw(spark, landing, lake, n, batch_id), DATASETS))
+    _run_all(lambda n: load_raw(spark, landing, lake, n, batch_id), DATASETS, parallel_loads)
     dq: list[dict] = []
-    for name in CLEAN_ORDER:
-        dq += clean_table(spark, lake, name, batch_id)
+    for level in CLEAN_LEVELS:
+        for res in _run_all(lambda n: clean_table(spark, lake, n, batch_id), level, parallel_loads):
+            dq += res
     build_gold_tables(spark, lake, batch_id, ref_region)
     if control and batch_id is not None:
         complete_batch(spark, lake, batch_id)

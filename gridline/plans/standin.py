@@ -13,7 +13,7 @@ keys has no lookup row (exercising the views' defaults).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,24 +21,61 @@ from pyspark.sql import functions as F
 from ..functions import full_name, title_case
 from ..operators.model import add_flags
 from ..operators.ranking import rank_within
-from ..sources.tables import load_tables
+from ..sources.tables import load_table, load_tables
 
 SVG_BASE = "assets/constructors-svg"
 PNG_BASE = "assets/constructors-png"
 FLAG_BASE = "assets/country-flags-png"
 
 
-@dataclass
 class Gold:
-    fact: DataFrame
-    dim_races: DataFrame
-    dim_drivers: DataFrame
-    dim_constructors: DataFrame
-    ref_color: DataFrame
-    ref_driver_code: DataFrame
-    ref_country_image: DataFrame
-    ref_nationality_region: DataFrame
-    source_dir: str = ""
+    """The stand-in star schema; each table is planned on first use (the fact's ranking
+    steps run jobs, so queries that never touch the fact do not pay for it)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.source_dir = sf_dir.rstrip("/")
+
+    def table(self, name: str) -> DataFrame:
+        """A source table of the scale directory (parquet scan)."""
+        return load_table(self.spark, self.source_dir, name)
+
+    @cached_property
+    def _t(self) -> dict[str, DataFrame]:
+        return load_tables(self.spark, self.source_dir,
+                           ["lineitem", "orders", "customer", "supplier", "nation", "region"])
+
+    @cached_property
+    def ref_nationality_region(self) -> DataFrame:
+        return nationality_region(self._t["nation"], self._t["region"])
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return session_fact(self._t["lineitem"], self._t["orders"])
+
+    @cached_property
+    def dim_races(self) -> DataFrame:
+        return dim_races(self._t["orders"], self._t["nation"], self._t["region"])
+
+    @cached_property
+    def dim_drivers(self) -> DataFrame:
+        return dim_drivers(self._t["customer"], self._t["nation"], self.ref_nationality_region)
+
+    @cached_property
+    def dim_constructors(self) -> DataFrame:
+        return dim_constructors(self._t["supplier"], self._t["nation"], self.ref_nationality_region)
+
+    @cached_property
+    def ref_color(self) -> DataFrame:
+        return ref_color(self._t["supplier"])
+
+    @cached_property
+    def ref_driver_code(self) -> DataFrame:
+        return ref_driver_code(self._t["customer"])
+
+    @cached_property
+    def ref_country_image(self) -> DataFrame:
+        return ref_country_image(self._t["nation"])
 
 
 def _session_lines(lineitem: DataFrame) -> DataFrame:
@@ -167,16 +204,41 @@ def ref_country_image(nation: DataFrame) -> DataFrame:
 
 
 def build_gold(spark: SparkSession, sf_dir: str) -> Gold:
-    t = load_tables(spark, sf_dir, ["lineitem", "orders", "customer", "supplier", "nation", "region"])
-    ref_region = nationality_region(t["nation"], t["region"])
-    return Gold(
-        fact=session_fact(t["lineitem"], t["orders"]),
-        dim_races=dim_races(t["orders"], t["nation"], t["region"]),
-        dim_drivers=dim_drivers(t["customer"], t["nation"], ref_region),
-        dim_constructors=dim_constructors(t["supplier"], t["nation"], ref_region),
-        ref_color=ref_color(t["supplier"]),
-        ref_driver_code=ref_driver_code(t["customer"]),
-        ref_country_image=ref_country_image(t["nation"]),
-        ref_nationality_region=ref_region,
-        source_dir=sf_dir.rstrip("/"),
-    )
+    return Gold(spark, sf_dir)
+
+
+GOLD_TABLES = ("fact", "dim_races", "dim_drivers", "dim_constructors", "ref_color", "ref_driver_code",
+               "ref_country_image", "ref_nationality_region")
+_MATERIALIZED: dict[tuple[str, str], str] = {}
+
+
+class StoredGold(Gold):
+    """The same tables read back from parquet folders written once by ``materialize_gold``.
+
+    This is how the views run in production: over stored star-schema tables, the
+    fact partitioned by season so that a season threshold prunes whole folders.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str):
+        super().__init__(spark, sf_dir)
+        self.root = root
+        for name in GOLD_TABLES:
+            self.__dict__[name] = spark.read.parquet(f"{root}/{name}")
+
+
+def materialize_gold(spark: SparkSession, sf_dir: str) -> StoredGold:
+    """Write the stand-in gold tables once per application and scale directory; reuse after."""
+    from ..sinks.writes import path_exists
+    from ..session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    root = _MATERIALIZED.get(key)
+    if root is None or not path_exists(spark, f"{root}/_DONE"):
+        root = scratch_path(spark, "gold")
+        g = Gold(spark, sf_dir)
+        for name in GOLD_TABLES:
+            w = getattr(g, name).write.mode("overwrite")
+            (w.partitionBy("season") if name == "fact" else w).parquet(f"{root}/{name}")
+        spark.createDataFrame([("ok",)], "v STRING").coalesce(1).write.mode("overwrite").text(f"{root}/_DONE")
+        _MATERIALIZED[key] = root
+    return StoredGold(spark, sf_dir, root)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
-from .writes import path_exists
+from .writes import overwrite_partitions, path_exists
 
 Guard = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
 BUCKET = "key_bucket"
@@ -53,8 +53,19 @@ def check_constraints(df: DataFrame, constraints: Sequence[Mapping[str, str]]) -
     return {c["name"]: int(row[c["name"]]) for c in constraints}
 
 
-def enforce_constraints(df: DataFrame, constraints: Sequence[Mapping[str, str]]) -> None:
-    bad = {k: v for k, v in check_constraints(df, constraints).items() if v}
+def enforce_constraints(df: DataFrame, constraints: Sequence[Mapping[str, str]],
+                        unique_keys: Sequence[str] | None = None) -> None:
+    """Refuse a write: CHECK predicates and (optionally) one row per key, in one aggregation job."""
+    aggs = [F.count_if(~F.coalesce(F.expr(c["condition"]), F.lit(False))).alias(c["name"]) for c in constraints]
+    if unique_keys:
+        aggs.append((F.count(F.lit(1)) - F.count_distinct(F.struct(*[F.col(k) for k in unique_keys])))
+                    .alias("__dup_keys"))
+    if not aggs:
+        return
+    row = df.agg(*aggs).first()
+    if unique_keys and row["__dup_keys"]:
+        raise ValueError(f"source has duplicate keys on {list(unique_keys)}; MERGE needs one source row per key")
+    bad = {c["name"]: int(row[c["name"]]) for c in constraints if row[c["name"]]}
     if bad:
         raise ConstraintViolation(f"CHECK constraints violated: {bad}")
 
@@ -99,14 +110,12 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], update_cols: Seque
     spark: SparkSession = source.sparkSession
     final = source.withColumns({"created_timestamp": F.current_timestamp(),
                                 "updated_timestamp": F.current_timestamp()})
-    if check_unique:
-        dups = final.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
-        if dups:
-            raise ValueError(f"source has duplicate keys on {list(keys)}; MERGE needs one source row per key")
     if not path_exists(spark, path):
-        enforce_constraints(final, constraints)
+        enforce_constraints(final, constraints, keys if check_unique else None)
         final.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return "created"
+    if check_unique:
+        enforce_constraints(final, (), keys)
     target = spark.read.parquet(path)
     touched = final.select(*partition_by).distinct()
     # only the partitions the batch touches are read (semi join on partition columns
@@ -117,12 +126,7 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], update_cols: Seque
     enforce_constraints(merged, constraints)
     checkpoint_root(spark)
     merged = merged.checkpoint(eager=True)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        merged.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    overwrite_partitions(merged, path, partition_by)
     return "merged"
 
 

@@ -19,24 +19,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(conf)
-    return bool(fs.exists(p)) and bool(fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))) \
-        or (bool(fs.exists(p)) and len(fs.listStatus(p)) > 0)
+    return bool(fs.exists(p)) and len(fs.listStatus(p)) > 0
 
 
 def replace_partition(df: DataFrame, path: str, batch_id: str, partition_col: str = "batch_id") -> None:
     """K1: stamp ``batch_id`` and replace only that partition of the table at ``path``.
 
-    The session setting (not only the writer option) makes the overwrite dynamic; a plain
-    overwrite would wipe every other batch.
+    The per-write option makes this overwrite dynamic whatever the session default is
+    (``gridline.session`` also sets the session default); a static overwrite would wipe
+    every other batch.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (df.withColumn(partition_col, F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    overwrite_partitions(df.withColumn(partition_col, F.lit(batch_id)), path, [partition_col])
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace exactly the partitions present in ``df`` (dynamic partition overwrite)."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

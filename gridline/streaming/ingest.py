@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sinks.writes import overwrite_partitions
 from ..sources.files import RAW_FORMATS, RAW_SCHEMAS, batch_path
 
 
@@ -35,9 +36,7 @@ def landed_stream(spark: SparkSession, landing: str, dataset: str, max_files_per
 
 def _replace_batches(target: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        batch.write.mode("overwrite").partitionBy("batch_id").parquet(target)
+        overwrite_partitions(batch, target, ["batch_id"])
     return write
 
 
