@@ -49,6 +49,28 @@ def _order_cols(order: OrderSpec) -> list[Column]:
     return [sort_col(c, d) for c, d in order]
 
 
+DEFAULT_BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``broadcast(df)`` only after proving it has at most ``max_rows`` rows.
+
+    The proof is ``limit(max_rows + 1).count()``, which stops reading once the bound is
+    exceeded, so it costs at most ``max_rows`` rows. Above the bound the frame is left
+    to a shuffle join (and to AQE). The bound can be set with the session conf
+    ``spark.gridline.broadcastMaxRows``.
+    """
+    if max_rows is None:
+        max_rows = int(df.sparkSession.conf.get("spark.gridline.broadcastMaxRows", str(DEFAULT_BROADCAST_ROWS)))
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def _pinned_small(df: DataFrame) -> DataFrame:
+    """Checkpoint a derived table that is about to be both size-checked and joined,
+    so the check and the join read the same files instead of computing it twice."""
+    return broadcast_if_bounded(df.checkpoint(eager=True))
+
+
 def _group_token(by: Sequence[str]) -> Column:
     # One non-null token per group: struct equality compares fields null-safely, so the
     # group can be used as a plain equi-join / partition key even when a column is null.
@@ -81,7 +103,9 @@ def _row_numbers(df: DataFrame, by: Sequence[str], order: OrderSpec, out: str,
         _PID, _G, _FIRST,
         F.coalesce(F.sum(_W).over(Window.partitionBy(_G).orderBy(_PID)
                                   .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(_OFF))
-    res = ck.join(off, [_PID, _G], "inner")
+    # `off` has at most partitions + groups rows: broadcast it when that is proven small,
+    # so the numbered rows are not shuffled again for this join
+    res = ck.join(_pinned_small(off), [_PID, _G], "inner")
     num = F.col(_OFF) + F.col(_POS) - F.col(_FIRST) + 1
     return res.withColumn(out, num.cast("long")).drop(_PID, _POS, _OFF, _FIRST, _MID, _G)
 
@@ -108,7 +132,7 @@ def _weighted_prefix(df: DataFrame, by: Sequence[str], order: OrderSpec, weight:
         _PID, _G,
         F.coalesce(F.sum(_W).over(Window.partitionBy(_G).orderBy(_PID)
                                   .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(_OFF))
-    res = loc.join(off, [_PID, _G], "inner")
+    res = loc.join(_pinned_small(off), [_PID, _G], "inner")
     return res.withColumn(out, (F.col(_OFF) + F.col(_LOC)).cast("long")).drop(_PID, _OFF, _LOC, _G)
 
 
@@ -137,7 +161,8 @@ def rank_within(df: DataFrame, by: Sequence[str], order: OrderSpec, method: str
         ranked = _weighted_prefix(distinct, by, order, _W, out, partitions)
         ranked = ranked.withColumn(out, F.col(out) + 1)
     ranked = ranked.select(*by, *keys, F.col(out).cast("int").alias(out))
-    return join_null_safe(df, ranked, [*by, *keys])
+    # one row per distinct (group, key): often small (ties collapse), then broadcast
+    return join_null_safe(df, _pinned_small(ranked), [*by, *keys])
 
 
 def running_total(df: DataFrame, by: Sequence[str], step: str, measure: str, out: str) -> DataFrame:

@@ -31,7 +31,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", os.environ.get("GRIDLINE_DRIVER_MEMORY", "8g"))
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # checkpoint files of garbage-collected plans are removed by Spark's cleaner
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in {**REQUIRED_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()

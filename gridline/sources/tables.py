@@ -10,9 +10,20 @@ TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+_SCANS: dict[tuple[str, str], DataFrame] = {}
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan; Catalyst prunes columns and pushes filters into it.
+
+    The relation (schema read from the footer once) is reused within the application,
+    as a catalog table would be; it is a lazy plan, no data is cached.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
 
 
 def load_tables(spark: SparkSession, sf_dir: str, names: Iterable[str] = TEST_TABLES) -> dict[str, DataFrame]:
