@@ -94,8 +94,14 @@ def label_position(long: DataFrame, entity: Sequence[str], color: str, offset: f
 
 def cumulative_series(evo: DataFrame, entity: str, step: str, rank_col: str, highlight_n: int,
                       name_col: str, partition_cols: Sequence[str] = ("season",),
-                      entity_label: str = "Driver") -> DataFrame:
-    """H4: slice maximum, latest step, each entity's rank at the latest step, styling and tooltips."""
+                      entity_label: str = "Driver", rank_alias: str | None = None) -> DataFrame:
+    """H4: slice maximum, latest step, each entity's rank at the latest step, styling and tooltips.
+
+    ``rank_alias`` exposes the rank under a second name (the constructor charts read it
+    as ``rank_position``).
+    """
+    if rank_alias:
+        evo = evo.withColumn(rank_alias, F.col(rank_col))
     pc = list(partition_cols)
     s = evo.withColumn("round_num", F.col(step).cast("int"))
     # slice-wide values: one partial aggregate per slice, joined back (the slice is never one task)

@@ -317,6 +317,36 @@ def _chart_cum(g, cfg):
     return C.cumulative_series(V.driver_evolution(g, cfg), "driver_id", "round", "driver_rank", 10, "driver_name")
 
 
+@q("chart_constructor_cumulative_series", f"""
+SELECT *, CASE WHEN current_rank <= 7 THEN 2.25 ELSE 1.0 END::DOUBLE AS line_width,
+       CASE WHEN current_rank <= 7 THEN 0.95 ELSE 0.3 END::DOUBLE AS line_opacity,
+       CASE WHEN current_rank <= 7 THEN 16 ELSE 6 END AS pt_size,
+       'Season: ' || {_num_sql('season')} || '   ●   Round: ' || {_num_sql('round')} AS tt_row1,
+       'Race: ' || COALESCE(short_race_name, 'null') AS tt_row2,
+       'Circuit: ' || COALESCE(circuit_name, 'null') AS tt_row3,
+       'Constructor: ' || COALESCE(constructor_name, 'null') || '   ●   Points: ' || {_num_sql('round_points')}
+         AS tt_row4,
+       'Total Points: ' || {_num_sql('cumulative_points')} || '   ●   Rank: ' || {_num_sql('constructor_rank')}
+         AS tt_row5
+FROM (SELECT *, min(rank_at_latest) OVER (PARTITION BY season, constructor_id) AS current_rank
+      FROM (SELECT *, CASE WHEN round_num = max_round_num THEN constructor_rank END AS rank_at_latest
+            FROM (SELECT *, constructor_rank AS rank_position, CAST(round AS INTEGER) AS round_num,
+                         max(cumulative_points) OVER (PARTITION BY season) AS global_max,
+                         max(CAST(round AS INTEGER)) OVER (PARTITION BY season) AS max_round_num
+                  FROM v_constructor_evolution)))""")
+def _chart_cons_cum(g, cfg):
+    return C.cumulative_series(V.constructor_evolution(g, cfg), "constructor_id", "round", "constructor_rank", 7,
+                               "constructor_name", entity_label="Constructor", rank_alias="rank_position")
+
+
+@q("chart_constructor_rank_series", f"""
+SELECT *, constructor_rank AS rank_position, 'Round ' || {_num_sql('round')} AS round_label,
+       'P' || {_num_sql('constructor_rank')} || '  •  ' || {_num_sql('cumulative_points')} || ' pts' AS pos_points
+FROM v_constructor_evolution WHERE constructor_rank <= 10""")
+def _chart_cons_rank(g, cfg):
+    return C.rank_series(V.constructor_evolution(g, cfg), "constructor_rank", 10)
+
+
 @q("chart_series_endpoints", """
 SELECT * FROM v_constructor_evolution
 WHERE round = (SELECT max(round) FROM v_constructor_evolution e WHERE e.season = v_constructor_evolution.season)""")

@@ -124,6 +124,20 @@ def _flatten(spark, sf):
     return P.flatten_results(P.races_of(_pages(spark, sf)))
 
 
+@q("flatten_drivers_payload", """
+SELECT CAST(c_custkey AS VARCHAR) AS driverId, lower(c_mktsegment) AS givenName, lower(c_name) AS familyName,
+       CASE WHEN c_acctbal < 0 THEN NULL
+            ELSE strftime(DATE '1960-01-01' + CAST(c_custkey % 15000 AS INTEGER), '%Y-%m-%d') END AS dateOfBirth,
+       CASE WHEN c_custkey % 7 = 0 THEN '' ELSE lower(n_name) END AS nationality, 'driver/' || c_custkey AS url
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""")
+def _flatten_drivers(spark, sf):
+    recs = P.combine_pages(P.read_pages(spark, f"{landed(spark, sf)}/pages/drivers", "DriverTable", "Drivers",
+                                        P.DRIVER_RECORD), "DriverTable", "Drivers")
+    d = P.flatten_drivers(recs)
+    return d.select("driverId", F.col("name.givenName").alias("givenName"),
+                    F.col("name.familyName").alias("familyName"), "dateOfBirth", "nationality", "url")
+
+
 @q("combine_pages", _with("""
 SELECT season, round, count(*) AS total, CAST(ceil(count(*) / 100) AS BIGINT) AS pages_seen,
        count(*) AS records_seen, CAST(ceil(count(*) / 100) AS BIGINT) AS pages_expected, true AS complete

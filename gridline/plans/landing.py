@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import batch_id as batch_id_col
 from ..sinks.writes import write_csv, write_json_array, write_ndjson
 from ..sources.tables import load_tables
+from ..operators.ranking import rank_within
 from .standin import Gold, build_gold
 
 PAGE_LIMIT = 100
@@ -115,6 +116,33 @@ def result_pages(g: Gold, session: str = "RACE", limit: int = PAGE_LIMIT) -> Dat
     return pages.select(F.to_json(doc).alias("value"), batch_id_col("season", "round").alias("batch_id"))
 
 
+def driver_pages(g: Gold, customer: DataFrame, nation: DataFrame, limit: int = PAGE_LIMIT) -> DataFrame:
+    """API pages of the drivers endpoint, ``limit`` drivers a page, ordered by id.
+
+    Some records carry a blank birth date (negative balance) or no nationality key
+    (every seventh id), as incomplete API entries do.
+    """
+    c = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
+    numbered = rank_within(c.select("c_custkey", "c_mktsegment", "c_name", "c_acctbal", "n_name"), [],
+                           [("c_custkey", "asc")], method="row_number", out="n", unique=True)
+    dob = F.date_format(F.date_add(F.lit("1960-01-01").cast("date"), (F.col("c_custkey") % 15000).cast("int")),
+                        "yyyy-MM-dd")
+    rec = F.struct(
+        F.col("c_custkey").cast("string").alias("driverId"), F.col("c_mktsegment").alias("givenName"),
+        F.col("c_name").alias("familyName"),
+        F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(dob).alias("dateOfBirth"),
+        F.when(F.col("c_custkey") % 7 != 0, F.col("n_name")).alias("nationality"),
+        F.concat(F.lit("driver/"), F.col("c_custkey")).alias("url"))
+    total = numbered.agg(F.count(F.lit(1))).scalar()
+    pages = (numbered.withColumn("page", F.floor((F.col("n") - 1) / limit).cast("long"))
+             .groupBy("page").agg(F.sort_array(F.collect_list(F.struct(F.col("n"), rec.alias("r")))).alias("rs")))
+    doc = F.struct(F.struct(total.cast("string").alias("total"), F.lit(str(limit)).alias("limit"),
+                            (F.col("page") * limit).cast("string").alias("offset"),
+                            F.struct(F.transform("rs", lambda x: x["r"]).alias("Drivers")).alias("DriverTable"))
+                   .alias("MRData"))
+    return pages.select(F.to_json(doc).alias("value"))
+
+
 def land_all(spark: SparkSession, sf_dir: str, root: str, g: Gold | None = None) -> Gold:
     """Write every dataset of every batch under ``root``; returns the stand-in gold used."""
     g = g or build_gold(spark, sf_dir)
@@ -127,4 +155,5 @@ def land_all(spark: SparkSession, sf_dir: str, root: str, g: Gold | None = None)
     write_ndjson(raw_constructors(g), f"{root}/constructors", ["batch_id"])
     write_ndjson(raw_drivers(g, t["customer"]), f"{root}/drivers", ["batch_id"])
     result_pages(g).write.mode("overwrite").partitionBy("batch_id").text(f"{root}/pages/results")
+    driver_pages(g, t["customer"], t["nation"]).write.mode("overwrite").text(f"{root}/pages/drivers")
     return g

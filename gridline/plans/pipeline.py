@@ -8,8 +8,8 @@ parquet folders under ``lake``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 import threading
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -20,6 +20,7 @@ from ..operators import batch as B
 from ..operators import model as M
 from ..operators.clean import CLEAN_SPECS, clean, dedupe_keep_first
 from ..operators.quality import check_suites, constraint_suites, run_checks
+from ..session import checkpoint_root
 from ..sinks.upsert import newer_batch_guard, upsert, with_key_bucket
 from ..sinks.writes import append, overwrite, overwrite_partitions, path_exists, replace_partition
 from ..sources.files import add_ingestion_metadata, list_landing_batches, scan_landed
@@ -101,6 +102,9 @@ def clean_table(spark: SparkSession, lake: Lake, name: str, batch_id: str | None
     df = cleaned(spark, lake, name, batch_id)
     if name not in ("results", "sprints", "races"):
         df = with_key_bucket(df, KEYS[name], SILVER_BUCKETS)
+    # the checks, the constraint test and the write all read this one materialization
+    # (shared checkpoint folder), instead of re-running scan + dedupe + clean three times
+    df = df.checkpoint(eager=True)
 
     def parent(ref: str) -> DataFrame:
         tbl = ref.split(".")[-1]
@@ -154,7 +158,9 @@ def build_gold_tables(spark: SparkSession, lake: Lake, batch_id: str | None, ref
         if part == ["key_bucket"]:
             df = with_key_bucket(df, keys, SILVER_BUCKETS)
         cols = [c for c in df.columns if c not in keys and c not in part]
-        upsert(df, lake.gold(name), keys, cols, part, guard=None)
+        # the fact's key is unique by construction: checked cleaned keys + a literal session type
+        upsert(df, lake.gold(name), keys, cols, part, guard=None,
+               check_unique=name != "fact_session_results")
     _run_all(one, list(gold_frames(spark, lake, batch_id, ref_region).items()), parallel)
 
 
@@ -188,6 +194,7 @@ def complete_batch(spark: SparkSession, lake: Lake, batch_id: str) -> None:
 def run_batch(spark: SparkSession, landing: str, lake: Lake, batch_id: str | None, ref_region: DataFrame,
               parallel_loads: int = 3, control: bool = True) -> list[dict]:
     """M5: six loads (in parallel) → six cleans (parents first) → dims + fact → complete."""
+    checkpoint_root(spark)
     if control and batch_id is not None:
         start_batch(spark, lake, batch_id)
     _run_all(lambda n: load_raw(spark, landing, lake, n, batch_id), DATASETS, parallel_loads)
