@@ -93,7 +93,9 @@ def _session_lines(lineitem: DataFrame) -> DataFrame:
             F.min(F.when(cond, F.col("l_suppkey"))).alias(f"{tag}_supp"),
             F.sum(F.when(cond, F.col("l_quantity"))).alias(f"{tag}_qty"),
             F.min(F.when(cond, F.col("l_partkey"))).alias(f"{tag}_part"),
-            F.min(F.when(cond, F.col("l_returnflag"))).alias(f"{tag}_flag"),
+            # the return flag is a one-character code: its code point orders like the text and
+            # keeps the aggregation hash-based (a text min would force a sort-based aggregate)
+            F.min(F.when(cond, F.ascii("l_returnflag"))).alias(f"{tag}_flag"),
             F.count(F.when(cond, F.lit(1))).alias(f"{tag}_lines"),
         ]
     return lineitem.groupBy("l_orderkey").agg(*aggs)
@@ -125,8 +127,8 @@ def session_fact(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
                            method="row_number", out="final_position", unique=True)
     sessions = rank_within(sessions, grp, [("min_part", "asc"), ("driver_id", "asc")],
                            method="row_number", out="grid_position", unique=True)
-    status = (F.when(F.col("min_flag") == "A", "Finished")
-              .when(F.col("min_flag") == "N", "+1 Lap").otherwise("Engine"))
+    status = (F.when(F.col("min_flag") == ord("A"), "Finished")
+              .when(F.col("min_flag") == ord("N"), "+1 Lap").otherwise("Engine"))
     fact = sessions.select(
         F.col("season").cast("int"), F.col("round").cast("int"), "constructor_id", "driver_id",
         "grid_position", "completed_laps", (F.col("driver_id") % 100).cast("int").alias("car_number"),
