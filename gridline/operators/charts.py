@@ -81,6 +81,11 @@ def metric_long(stats: DataFrame, ids: Sequence[str], color: str, top_n: int | N
     return long.filter(F.col("value") != 0) if drop_zero else long
 
 
+def chart_order(long: DataFrame, partition_cols: Sequence[str] = ("season",)) -> DataFrame:
+    """L4: rows in display order -- score descending, then the fixed metric order."""
+    return long.orderBy(*[F.col(c) for c in partition_cols], F.col("sort_key").desc(), F.col("metric_sort"))
+
+
 def label_position(long: DataFrame, entity: Sequence[str], color: str, offset: float,
                    partition_cols: Sequence[str] = ("season",)) -> DataFrame:
     """H3: per entity the minimum value, score and colour; label height = slice minimum - offset."""
