@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from ..functions import batch_id, short_name, title_case
 from ..operators import analytics as A
 from ..operators import charts as C
-from ..operators.batch import validate_batches
-from ..operators.clean import dedupe_keep_first
+from ..operators.batch import race_in_lookback, validate_batches
+from ..operators.clean import dedupe_keep_first, drop_null_keys, rename_select
 from ..operators.joins import orphans, set_difference
+from ..operators.model import union_sessions
 from ..operators.ranking import group_extreme, keep_group_max, rank_within, running_total
 from . import race_views as V
 from .oracle_sql import short, tc
@@ -191,11 +192,45 @@ SELECT season, round, race_name, race_date FROM dim_races
 WHERE race_date BETWEEN DATE '1998-06-03' - INTERVAL 6 DAY AND DATE '1998-06-03' - INTERVAL 1 DAY
 ORDER BY race_date LIMIT 1""")
 def _lookback(g, cfg):
-    from ..operators.batch import race_in_lookback
     return race_in_lookback(g.dim_races, "race_date", "1998-06-03", days=6).select(
         "season", "round", "race_name", "race_date")
 
 
+@q("rename_select", """
+SELECT l_orderkey AS order_key, l_linenumber AS line_number, l_returnflag AS return_flag,
+       l_linestatus AS line_status, l_quantity FROM lineitem""")
+def _rename(g, cfg):
+    return rename_select(g.table("lineitem"), ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus",
+                                                "l_quantity"],
+                         {"l_orderkey": "order_key", "l_linenumber": "line_number", "l_returnflag": "return_flag",
+                          "l_linestatus": "line_status"})
+
+
+@q("null_key_filter", """
+SELECT l_orderkey, l_linenumber, p_partkey, p_size
+FROM lineitem LEFT JOIN (SELECT p_partkey, p_size FROM part WHERE p_size > 10) ON l_partkey = p_partkey
+WHERE l_orderkey IS NOT NULL AND p_partkey IS NOT NULL""")
+def _null_keys(g, cfg):
+    parts = g.table("part").filter(F.col("p_size") > 10).select("p_partkey", "p_size")
+    li = g.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    j = li.join(parts, li.l_partkey == parts.p_partkey, "left").drop("l_partkey")
+    return drop_null_keys(j, ["l_orderkey", "p_partkey"])
+
+
+@q("unpivot_metrics", """
+SELECT season, constructor_id, metric_key, value,
+       CASE metric_key WHEN 'wins' THEN 'Wins' WHEN 'podiums' THEN 'Podiums' WHEN 'finish_in_points'
+            THEN 'Pts finishes' WHEN 'pole_positions' THEN 'Poles' ELSE 'DNF/DNS/DSQ' END AS metric,
+       CAST(CASE metric_key WHEN 'wins' THEN 1 WHEN 'podiums' THEN 2 WHEN 'finish_in_points' THEN 3
+            WHEN 'pole_positions' THEN 4 ELSE 5 END AS INTEGER) AS metric_sort
+FROM (UNPIVOT (SELECT season, constructor_id, wins, podiums, finish_in_points, pole_positions, "dnf/dns/dsq"
+               FROM v_constructor_stats)
+      ON wins, podiums, finish_in_points, pole_positions, "dnf/dns/dsq" INTO NAME metric_key VALUE value)""")
+def _unpivot(g, cfg):
+    stats = V.constructor_stats(g, cfg).select("season", "constructor_id", *C.STAT_METRICS)
+    return C.unpivot_metrics(stats, ["season", "constructor_id"], C.STAT_METRICS)
+
+
 @q("dedupe_keep_first", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -236,7 +271,6 @@ SELECT season, round, driver_id, constructor_id, points, session_type FROM fact"
 def _union(g, cfg):
     race = g.fact.filter(F.col("session_type") == "RACE").drop("session_type")
     sprint = g.fact.filter(F.col("session_type") == "SPRINT").drop("session_type")
-    from ..operators.model import union_sessions
     u = union_sessions({"RACE": race, "SPRINT": sprint.select(*reversed(sprint.columns))})
     return u.select("season", "round", "driver_id", "constructor_id", "points", "session_type")
 
