@@ -55,6 +55,11 @@ def run_checks(df: DataFrame, checks: Sequence[Mapping[str, Any]], table_name: s
     plan: list[tuple[Mapping[str, Any], str | None, str | None]] = []   # (check, agg alias, error)
     for i, chk in enumerate(checks):
         ctype, alias = chk["type"], f"__c{i}"
+        named = [c for c in (chk.get("columns") or [chk.get("column")]) if c]
+        absent = [c for c in named if c.split(".")[0] not in df.columns]
+        if ctype in KNOWN_TYPES and absent:              # reported like any failed check, no engine error
+            plan.append((chk, None, f"Check execution error: column(s) not found: {absent}"))
+            continue
         try:
             if ctype == "not_null":
                 e = F.count_if(F.col(chk["column"]).isNull())

@@ -61,10 +61,20 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> DataFram
     ``spark.gridline.broadcastMaxRows``.
     """
     if max_rows is None:
-        max_rows = int(df.sparkSession.conf.get("spark.gridline.broadcastMaxRows", str(DEFAULT_BROADCAST_ROWS)))
+        max_rows = _max_rows(df.sparkSession)
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def _max_rows(spark) -> int:
+    return int(spark.conf.get("spark.gridline.broadcastMaxRows", str(DEFAULT_BROADCAST_ROWS)))
+
+
+def _is_bounded(df: DataFrame) -> bool:
+    """At most ``spark.gridline.broadcastMaxRows`` rows (reads at most that many + 1)."""
+    k = _max_rows(df.sparkSession)
+    return df.limit(k + 1).count() <= k
+
+
 def _pinned_small(df: DataFrame) -> DataFrame:
     """Checkpoint a derived table that is about to be both size-checked and joined,
     so the check and the join read the same files instead of computing it twice."""
@@ -95,6 +105,10 @@ def _row_numbers(df: DataFrame, by: Sequence[str], order: OrderSpec, out: str,
     ck = (df.withColumn(_G, _group_token(by)).repartitionByRange(n, *ordering).sortWithinPartitions(*ordering)
           .withColumn(_MID, F.monotonically_increasing_id())
           .checkpoint(eager=True))
+    if _is_bounded(ck):
+        # proven small: a plain window over the materialized rows is exact and cheapest
+        w = Window.partitionBy(_G).orderBy(*_order_cols(order))
+        return ck.withColumn(out, F.row_number().over(w).cast("long")).drop(_MID, _G)
     ck = ck.withColumns({_PID: F.shiftright(_MID, 33), _POS: F.col(_MID).bitwiseAND(F.lit((1 << 33) - 1))})
     # slice summary: one row per (range partition, group) -- at most partitions + groups
     # rows and at most `n` rows per group, so the offset window is bounded by `n`
@@ -122,8 +136,13 @@ def _weighted_prefix(df: DataFrame, by: Sequence[str], order: OrderSpec, weight:
     checkpoint_root(spark)
     n = partitions or shuffle_partitions(spark)
     ordering = [F.col(_G).asc()] + _order_cols(order)
-    r = (df.withColumn(_G, _group_token(by)).repartitionByRange(n, *ordering)
-         .withColumn(_PID, F.spark_partition_id()))
+    keyed = df.withColumn(_G, _group_token(by)).checkpoint(eager=True)
+    if _is_bounded(keyed):
+        # proven small: one window over the materialized distinct keys
+        w = (Window.partitionBy(_G).orderBy(*_order_cols(order))
+             .rowsBetween(Window.unboundedPreceding, -1))
+        return keyed.withColumn(out, F.coalesce(F.sum(weight).over(w), F.lit(0)).cast("long")).drop(_G)
+    r = keyed.repartitionByRange(n, *ordering).withColumn(_PID, F.spark_partition_id())
     frame = (Window.partitionBy(_PID, _G).orderBy(*_order_cols(order))
              .rowsBetween(Window.unboundedPreceding, -1))
     loc = r.withColumn(_LOC, F.coalesce(F.sum(weight).over(frame), F.lit(0))).checkpoint(eager=True)

@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 from gridline.operators.ranking import group_extreme, keep_group_max, rank_within, running_total
 
 
+@pytest.fixture(params=[50, 1_000_000], ids=["distributed", "small"])
+def bound(spark, request):
+    """50 rows forces the range-partitioned path; a large bound takes the proven-small path."""
+    spark.conf.set("spark.gridline.broadcastMaxRows", str(request.param))
+    yield request.param
+    spark.conf.unset("spark.gridline.broadcastMaxRows")
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     rnd = random.Random(7)
@@ -22,7 +30,7 @@ def skewed(spark):
 
 @pytest.mark.parametrize("method", ["rank", "dense_rank"])
 @pytest.mark.parametrize("direction", ["asc", "desc", "asc_nulls_last", "desc_nulls_first"])
-def test_rank_with_ties_matches_window(spark, skewed, method, direction):
+def test_rank_with_ties_matches_window(spark, skewed, bound, method, direction):
     got = rank_within(skewed, ["g", "h"], [("v", direction)], method=method, out="r", partitions=5)
     col = {"asc": F.col("v").asc(), "desc": F.col("v").desc(), "asc_nulls_last": F.col("v").asc_nulls_last(),
            "desc_nulls_first": F.col("v").desc_nulls_first()}[direction]
@@ -31,14 +39,14 @@ def test_rank_with_ties_matches_window(spark, skewed, method, direction):
     assert sorted(got.select("id", "r").collect()) == sorted(want.select("id", "r").collect())
 
 
-def test_row_number_unique_matches_window(spark, skewed):
+def test_row_number_unique_matches_window(spark, skewed, bound):
     got = rank_within(skewed, ["g"], [("v", "desc"), ("id", "asc")], method="row_number", out="r",
                       unique=True, partitions=7)
     want = skewed.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(F.col("v").desc(), "id")))
     assert sorted(got.select("id", "r").collect()) == sorted(want.select("id", "r").collect())
 
 
-def test_global_rank_without_groups(spark, skewed):
+def test_global_rank_without_groups(spark, skewed, bound):
     got = rank_within(skewed, [], [("v", "desc")], method="rank", out="r", partitions=3)
     want = skewed.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc())))
     assert sorted(got.select("id", "r").collect()) == sorted(want.select("id", "r").collect())

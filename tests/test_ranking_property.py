@@ -12,10 +12,15 @@ rows = st.lists(st.tuples(st.sampled_from(["x", "y", None]), st.one_of(st.none()
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(data=rows, method=st.sampled_from(["rank", "dense_rank"]), parts=st.integers(1, 6))
-def test_rank_property(spark, data, method, parts):
+@given(data=rows, method=st.sampled_from(["rank", "dense_rank"]), parts=st.integers(1, 6),
+       bound=st.sampled_from([5, 1000]))
+def test_rank_property(spark, data, method, parts, bound):
+    spark.conf.set("spark.gridline.broadcastMaxRows", str(bound))
     df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(data)], "id INT, g STRING, v INT")
     got = rank_within(df, ["g"], [("v", "desc")], method=method, out="r", partitions=parts)
     fn = F.rank() if method == "rank" else F.dense_rank()
     want = df.withColumn("r", fn.over(Window.partitionBy("g").orderBy(F.col("v").desc())))
-    assert sorted(got.select("id", "r").collect()) == sorted(want.select("id", "r").collect())
+    try:
+        assert sorted(got.select("id", "r").collect()) == sorted(want.select("id", "r").collect())
+    finally:
+        spark.conf.unset("spark.gridline.broadcastMaxRows")
