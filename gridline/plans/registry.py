@@ -34,6 +34,11 @@ def _gold_query(name: str, fn) -> Query:
     return run
 
 
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_conf(spark)
+    return V.driver_standings(build_gold(spark, sf_dir), CFG)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {name: _gold_query(name, fn) for name, (fn, _) in GOLD_QUERIES.items()}
     from .io_queries import IO_QUERIES
