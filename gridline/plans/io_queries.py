@@ -1,4 +1,4 @@
-"""Registered queries for sources, sinks, cleaning, quality, batch control and the pipeline.
+"""Registered queries for sources, sinks, cleaning, quality, batch control and the batch job.
 
 They land the test tables as raw batch files (``landing.land_all``, once per session
 and scale directory, under the session's shared checkpoint folder), then exercise the
@@ -23,7 +23,7 @@ from ..sources import payload as P
 from ..sources.files import add_ingestion_metadata, list_landing_batches, scan_landed
 from ..sources.tables import load_table
 from ..streaming.ingest import ingest_available
-from . import pipeline as PL
+from . import medallion as PL
 from .landing import land_all
 from .oracle_sql import GOLD, tc
 from .standin import nationality_region

@@ -1,4 +1,4 @@
-"""Landed batches derived from the test tables, in the pipeline's raw formats.
+"""Landed batches derived from the test tables, in the raw formats of the batch job.
 
 For every batch (season-round) of the stand-in star schema:
 

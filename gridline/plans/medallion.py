@@ -1,4 +1,4 @@
-"""The batch pipeline (M5): landed files → raw → cleaned (+ quality, guarded upsert) → star schema.
+"""The medallion batch job (M5): landed files → raw → cleaned (+ quality, guarded upsert) → star schema.
 
 Every step works on one batch (``batch_id``) or, for a backfill, on all landed
 batches at once (``batch_id=None``): the same DataFrame jobs then process every

@@ -1,9 +1,9 @@
-"""The batch pipeline: incremental runs, control table, audit trail, and equality with a backfill."""
+"""The medallion batch job: incremental runs, control table, audit trail, and equality with a backfill."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from gridline.plans import pipeline as PL
+from gridline.plans import medallion as PL
 from gridline.plans.io_queries import landed
 from gridline.plans.standin import nationality_region
 from gridline.session import scratch_path
