@@ -77,3 +77,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = 512 << 20, min_partitions: int = 200,
+               max_partitions: int = 50_000) -> dict[str, str]:
+    """Settings sized for an input of ``input_bytes`` (e.g. 100 TB on a large cluster).
+
+    Shuffle partitions target ~``partition_bytes`` each so a partition fits an executor's
+    memory without spilling; scans split files at the same size; AQE coalesces small
+    partitions back towards that size and splits a skewed partition once it is 4x the
+    median and above the advisory size. ``rank_within`` range-partitions into
+    ``spark.sql.shuffle.partitions`` slices, so the same number bounds its slice size.
+    """
+    n = max(min_partitions, min(max_partitions, -(-input_bytes // partition_bytes)))
+    size = str(partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int, **kw) -> SparkSession:
+    for k, v in scale_conf(input_bytes, **kw).items():
+        spark.conf.set(k, v)
+    return spark

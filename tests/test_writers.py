@@ -51,3 +51,10 @@ def test_views_are_queryable_with_sql(spark):
     assert spark.sql("SELECT short_race_name FROM v_constructor_round_wins").collect()[0][0] == "Bahrain GP"
     long = metric_long(spark.sql("SELECT * FROM v_driver_stats"), ["driver_id"], "color_code")
     assert [x.metric for x in chart_order(long).collect()] == ["Wins", "Podiums", "Pts finishes", "Poles"]
+
+
+def test_scale_conf_sizes_partitions():
+    from gridline.session import scale_conf
+    assert scale_conf(10 << 20)["spark.sql.shuffle.partitions"] == "200"
+    assert scale_conf(100 * (1 << 40))["spark.sql.shuffle.partitions"] == "50000"
+    assert scale_conf(1 << 40)["spark.sql.shuffle.partitions"] == "2048"
