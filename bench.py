@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
 Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS`` (default 8),
-``BENCH_RUNS`` (timed runs per query after one warm-up, default 3), ``BENCH_QUERIES``
+``BENCH_RUNS`` (timed runs per query after one warm-up, default 2), ``BENCH_QUERIES``
 (comma-separated subset). Each run executes the whole query into Spark's ``noop`` sink
 (full execution, no collection to the driver); the reported time is the median run.
 """
@@ -31,7 +31,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus, app_name="gridline-bench")
     qs = registry.queries()
