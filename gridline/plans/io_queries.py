@@ -18,7 +18,7 @@ from ..operators.clean import CLEAN_SPECS, clean
 from ..operators.quality import results_frame, run_checks
 from ..session import ensure_conf, scratch_path
 from ..sinks.upsert import merge_frames, newer_batch_guard, upsert
-from ..sinks.writes import path_exists, replace_partition
+from ..sinks.writes import overwrite, path_exists, replace_partition
 from ..sources import payload as P
 from ..sources.files import add_ingestion_metadata, list_landing_batches, scan_landed
 from ..sources.tables import load_table
@@ -161,7 +161,7 @@ def _replace(spark, sf):
     root = landed(spark, sf)
     path = scratch_path(spark, "bronze-results")
     raw = scan_landed(spark, root, "results")
-    raw.write.mode("overwrite").partitionBy("batch_id").parquet(path)
+    overwrite(raw, path, ["batch_id"])
     one = scan_landed(spark, root, "results", "1997-03").filter(F.col("position") <= 10).drop("batch_id")
     replace_partition(one, path, "1997-03")
     replace_partition(one, path, "1997-03")            # rerun: same result

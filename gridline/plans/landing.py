@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import batch_id as batch_id_col
-from ..sinks.writes import write_csv, write_json_array, write_ndjson
+from ..sinks.writes import balanced, write_csv, write_json_array, write_ndjson
 from ..sources.tables import load_tables
 from ..operators.ranking import rank_within
 from .standin import Gold, build_gold
@@ -154,6 +154,7 @@ def land_all(spark: SparkSession, sf_dir: str, root: str, g: Gold | None = None)
     write_csv(raw_circuits(g, t["nation"]), f"{root}/circuits", ["batch_id"])
     write_ndjson(raw_constructors(g), f"{root}/constructors", ["batch_id"])
     write_ndjson(raw_drivers(g, t["customer"]), f"{root}/drivers", ["batch_id"])
-    result_pages(g).write.mode("overwrite").partitionBy("batch_id").text(f"{root}/pages/results")
+    balanced(result_pages(g), ["batch_id"]).write.mode("overwrite").partitionBy("batch_id").text(
+        f"{root}/pages/results")
     driver_pages(g, t["customer"], t["nation"]).write.mode("overwrite").text(f"{root}/pages/drivers")
     return g

@@ -22,7 +22,7 @@ from ..functions import full_name, title_case
 from ..operators.model import add_flags
 from ..operators.ranking import rank_within
 from ..session import scratch_path
-from ..sinks.writes import path_exists
+from ..sinks.writes import balanced, path_exists
 from ..sources.tables import load_table, load_tables
 
 SVG_BASE = "assets/constructors-svg"
@@ -238,8 +238,11 @@ def materialize_gold(spark: SparkSession, sf_dir: str) -> StoredGold:
         root = scratch_path(spark, "gold")
         g = Gold(spark, sf_dir)
         for name in GOLD_TABLES:
-            w = getattr(g, name).write.mode("overwrite")
-            (w.partitionBy("season") if name == "fact" else w).parquet(f"{root}/{name}")
+            df = getattr(g, name)
+            if name == "fact":
+                balanced(df, ["season"]).write.mode("overwrite").partitionBy("season").parquet(f"{root}/{name}")
+            else:
+                df.write.mode("overwrite").parquet(f"{root}/{name}")
         spark.createDataFrame([("ok",)], "v STRING").coalesce(1).write.mode("overwrite").text(f"{root}/_DONE")
         _MATERIALIZED[key] = root
     return StoredGold(spark, sf_dir, root)

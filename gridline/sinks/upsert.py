@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
-from .writes import overwrite_partitions, path_exists
+from .writes import balanced, overwrite_partitions, path_exists
 
 Guard = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
 BUCKET = "key_bucket"
@@ -112,7 +112,7 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], update_cols: Seque
                                 "updated_timestamp": F.current_timestamp()})
     if not path_exists(spark, path):
         enforce_constraints(final, constraints, keys if check_unique else None)
-        final.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        balanced(final, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return "created"
     if check_unique:
         enforce_constraints(final, (), keys)

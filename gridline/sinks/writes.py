@@ -22,6 +22,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p)) and len(fs.listStatus(p)) > 0
 
 
+def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rebalance rows by the output partition columns before a partitioned write.
+
+    Without it every task writes one file per partition value it holds (tasks x values
+    small files); with the ``rebalance`` hint AQE groups each value's rows, splits a
+    value that is too large over several tasks and merges small ones, so files come out
+    near the advisory size and a hot value never lands on a single task.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def replace_partition(df: DataFrame, path: str, batch_id: str, partition_col: str = "batch_id") -> None:
     """K1: stamp ``batch_id`` and replace only that partition of the table at ``path``.
 
@@ -34,19 +45,19 @@ def replace_partition(df: DataFrame, path: str, batch_id: str, partition_col: st
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic partition overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """K5/K11."""
-    w = df.write.mode("append")
+    w = balanced(df, partition_by).write.mode("append")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """K6/K7/K8: full replace with the frame's (explicit) schema."""
-    w = df.write.mode("overwrite")
+    w = balanced(df, partition_by).write.mode("overwrite")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
@@ -65,13 +76,13 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None) -> Dat
 
 def write_ndjson(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """One JSON object per line (nulls kept as ``null``)."""
-    w = df.write.mode(mode).option("ignoreNullFields", False)
+    w = balanced(df, partition_by).write.mode(mode).option("ignoreNullFields", False)
     (w.partitionBy(*partition_by) if partition_by else w).json(path)
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Header CSV, UTF-8."""
-    w = df.write.mode(mode).option("header", True).option("encoding", "UTF-8")
+    w = balanced(df, partition_by).write.mode(mode).option("header", True).option("encoding", "UTF-8")
     (w.partitionBy(*partition_by) if partition_by else w).csv(path)
 
 
@@ -97,4 +108,4 @@ def write_json_array(df: DataFrame, path: str, partition_col: str, expected: Dat
                    .join(counts.select(partition_col), partition_col, "left_anti")
                    .withColumn("value", F.lit("[]")))
         arrays = arrays.unionByName(missing)
-    arrays.write.mode(mode).partitionBy(partition_col).text(path)
+    balanced(arrays, [partition_col]).write.mode(mode).partitionBy(partition_col).text(path)
