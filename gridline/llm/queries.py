@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_conf
 from .common import table
 from .line_dedup import dedup_lines
+from .mixing import plan_mix
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,10 +37,59 @@ select doc_id, count(*)::bigint n_lines, (count(*) filter (dropped))::bigint n_d
 from m group by doc_id
 """
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_conf(spark)
+    out = plan_mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP3_SQL = r"""
+with d as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint size,
+         md5('7:' || doc_id) draw
+  from documents),
+p as (select greatest(1, ceil(sum(size) / 1048576.0))::bigint shards, floor(sum(size) / 16 + 0.5)::bigint seats from d),
+s0 as (select source, sum(size)::bigint source_size, row_number() over (order by source nulls last) no from d group by source),
+s1 as (select *, (no - 1) % 3 + 1 w, 3 * source_size cap from s0),
+s2 as (
+  select *, (sum(source_size) over () - coalesce(sum(cap) over (order by cap / w, no rows between unbounded preceding and 1 preceding), 0))
+            / sum(w) over (order by cap / w, no rows between current row and unbounded following) lvl
+  from s1),
+s as (
+  select *, least(cap::double, (select lvl from s2 where lvl <= cap / w order by cap / w, no limit 1) * w) target
+  from s2),
+sq as (  -- all quotients of all sources; the highest ones hold the seats
+  select no, k, row_number() over (order by target / (2 * k + 1) desc, no) rank
+  from s, (select unnest(range((select seats from p) + 1)) k) where k <= target / 16 + (select count(*) from s0)),
+seats as (select no, count(*) q from sq where rank <= (select seats from p) group by no),
+u0 as (select source, ('0x' || substr(draw, 1, 8))::bigint % shards shard, sum(size)::bigint z from d, p group by all),
+u1 as (select s.no, shard, z, coalesce(q, 0) q, s.source_size, s.target from u0 join s on u0.source is not distinct from s.source left join seats using (no)),
+uq as (
+  select no, shard, q, row_number() over (partition by no order by z / (2 * k + 1) desc, shard) rank
+  from (select *, unnest(range(q + 1)) k from u1)),
+u2 as (select no, shard, count(*) q from uq where rank <= q group by all),
+u as (
+  select u1.no, shard, z, source_size, target, ceil(z / 16.0)::bigint n, least(coalesce(u2.q, 0), 3 * ceil(z / 16.0)::bigint) q,
+         ('0x' || substr(md5('7:' || u1.no || ':' || shard), 1, 8))::bigint draw
+  from u1 left join u2 using (no, shard)),
+v as (select *, case when n > 0 then q // n else 0 end rounds, case when n > 0 then q % n else 0 end extra, case when n > 0 then draw % n else 0 end start from u),
+l as (
+  select doc_id, size, s.no, ('0x' || substr(draw, 1, 8))::bigint % shards shard,
+         sum(size) over (partition by s.no, ('0x' || substr(draw, 1, 8))::bigint % shards order by draw, doc_id, size rows unbounded preceding) hi
+  from d join s on d.source is not distinct from s.source, p)
+select doc_id, size, source_size, target,
+       (rounds * size
+        + greatest(0, least(hi, least((start + extra) * 16, z)) - greatest(hi - size, start * 16))
+        + greatest(0, least(hi, greatest(start + extra - n, 0) * 16) - (hi - size)))::bigint taken
+from l join v using (no, shard)
+"""
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_mix_sources": op3_mix_sources,
 }
 
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
+    "op3_mix_sources": OP3_SQL,
 }
