@@ -9,6 +9,7 @@ from ..session import ensure_conf
 from .common import table
 from .line_dedup import dedup_lines
 from .mixing import plan_mix
+from .quality_llr import BASE, fit_weights, judge, trusted_ids
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,9 +85,17 @@ select doc_id, size, source_size, target,
 from l join v using (no, shard)
 """
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_conf(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    weights = fit_weights(docs, trusted_ids(table(spark, sf_dir, "labels")))
+    return judge(docs, weights).select("doc_id", *BASE, "llr_head", "llr_tail", "kept")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_mix_sources": op3_mix_sources,
+    "op4_quality_rules": op4_quality_rules,
 }
 
 ORACLES = {
