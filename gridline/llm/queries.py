@@ -10,6 +10,7 @@ from .common import table
 from .line_dedup import dedup_lines
 from .mixing import plan_mix
 from .quality_llr import BASE, fit_weights, judge, trusted_ids
+from .secret_ledger import BASE_RULES, RULES, find_secrets, spans_text
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,13 +93,52 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, weights).select("doc_id", *BASE, "llr_head", "llr_tail", "kept")
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_conf(spark)
+    found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = [r.kind for r in BASE_RULES]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    named = F.transform("spans", lambda s: s["kind"])
+    counts = [(F.size(named) - F.size(F.array_remove(named, k))).cast("bigint").alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *counts, F.sha2(spans_text(base), 256).alias("base_sha256"),
+                        spans_text(F.col("spans")).alias("spans"))
+
+
+def _op7_sql() -> str:
+    """Every rule's spans from the pieces between its matches, as the sums of their lengths."""
+    quoted = lambda p: "'" + p.replace("'", "''") + "'"
+    parts = " union all ".join(
+        f"select doc_id, '{r.kind}' kind, {i} k, {r.least} least, regexp_extract_all(t, {quoted(r.pattern)}, 0) ms, "
+        f"regexp_extract_all(t, {quoted(r.pattern)}, {r.group}) gs, regexp_split_to_array(t, {quoted(r.pattern)}) ps from d"
+        for i, r in enumerate(RULES))
+    return f"""
+with d as (select doc_id, coalesce(text, '') t from documents),
+m as ({parts}),
+u as (select doc_id, kind, k, least, unnest(ms) m, unnest(gs) g, unnest(ps[1:len(ms)]) b, unnest(range(len(ms))) i from m),
+w as (
+  select *, sum(length(b) + length(m)) over (partition by doc_id, kind order by i) fin from u),
+s as (select doc_id, kind, k, fin - length(m) st, fin from w where length(g) >= least),
+a as (
+  select doc_id, count(*) filter (kind = 'assign') n_assign, count(*) filter (kind = 'access') n_access,
+         count(*) filter (kind = 'hex') n_hex,
+         string_agg(kind || ':' || st::bigint || ':' || fin::bigint, ',' order by st, k) filter (k < 3) base,
+         string_agg(kind || ':' || st::bigint || ':' || fin::bigint, ',' order by st, k) spans
+  from s group by doc_id)
+select doc_id, coalesce(n_assign, 0)::bigint n_assign, coalesce(n_access, 0)::bigint n_access,
+       coalesce(n_hex, 0)::bigint n_hex, sha256(coalesce(base, '')) base_sha256, coalesce(spans, '') spans
+from documents left join a using (doc_id)
+"""
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
+    "op7_secret_scans": op7_secret_scans,
 }
 
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
     "op3_mix_sources": OP3_SQL,
+    "op7_secret_scans": _op7_sql(),
 }
