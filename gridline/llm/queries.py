@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_conf
 from .common import table
 from .line_dedup import dedup_lines
+from .minhash_join import near_duplicates
 from .mixing import plan_mix
 from .quality_llr import BASE, fit_weights, judge, trusted_ids
 from .secret_ledger import BASE_RULES, RULES, find_secrets, spans_text
@@ -130,15 +131,47 @@ from documents left join a using (doc_id)
 """
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_conf(spark)
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# All pairs that share a shingle, compared in full; components by a recursive walk from each document.
+OP8_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') w
+  from documents),
+s as (
+  select distinct doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+                                      when len(w) > 0 then ['short ' || array_to_string(w, ' ')] else [] end) g
+  from w),
+n as (select doc_id, count(*) n from s group by doc_id),
+p as (
+  select a.doc_id a, b.doc_id b, count(*) shared from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+e as (
+  select a, b from p join n x on a = x.doc_id join n y on b = y.doc_id where 100 * shared >= 75 * (x.n + y.n - shared)),
+r as (
+  select doc_id node, doc_id root from documents
+  union
+  select e.b, r.root from r join e on e.a = r.node)
+select d.doc_id, coalesce(n.n, 0)::bigint n_shingles, c.component_id, d.doc_id = c.component_id kept
+from documents d left join n on d.doc_id = n.doc_id
+join (select node, min(root) component_id from r group by node) c on c.node = d.doc_id
+"""
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
     "op7_secret_scans": op7_secret_scans,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
     "op3_mix_sources": OP3_SQL,
     "op7_secret_scans": _op7_sql(),
+    "op8_minhash_near_dedup": OP8_SQL,
 }
