@@ -12,6 +12,7 @@ from .minhash_join import near_duplicates
 from .mixing import plan_mix
 from .quality_llr import BASE, fit_weights, judge, trusted_ids
 from .secret_ledger import BASE_RULES, RULES, find_secrets, spans_text
+from .token_blocks import read_documents, write_tokens
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +41,13 @@ select doc_id, count(*)::bigint n_lines, (count(*) filter (dropped))::bigint n_d
 from m group by doc_id
 """
 
+def op2_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    ensure_conf(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return read_documents(spark, write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_conf(spark)
     out = plan_mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -163,6 +171,7 @@ join (select node, min(root) component_id from r group by node) c on c.node = d.
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_token_blocks": op2_token_blocks,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
     "op7_secret_scans": op7_secret_scans,
