@@ -31,11 +31,11 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, base, np.uint64))])
 
 
-def chunks(texts: list[str], limit: int = CHUNK) -> Iterator[list[bytes]]:
+def chunks(texts: list[str] | list[bytes], limit: int = CHUNK) -> Iterator[list[bytes]]:
     """The texts as UTF-8, in lists of about ``limit`` bytes; a longer text is a list of its own."""
     out, size = [], 0
     for t in texts:
-        b = (t or "").encode("utf-8", "surrogatepass")
+        b = t if isinstance(t, bytes) else (t or "").encode("utf-8", "surrogatepass")
         if out and size + len(b) > limit:
             yield out
             out, size = [], 0

@@ -9,6 +9,7 @@ from ..session import ensure_conf
 from .common import table
 from .line_dedup import dedup_lines
 from .minhash_join import near_duplicates
+from .mix_lm import score_documents
 from .mixing import plan_mix
 from .quality_llr import BASE, fit_weights, judge, trusted_ids
 from .secret_ledger import BASE_RULES, RULES, find_secrets, spans_text
@@ -102,6 +103,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, weights).select("doc_id", *BASE, "llr_head", "llr_tail", "kept")
 
 
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_conf(spark)
+    return score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_conf(spark)
     found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -174,6 +180,7 @@ QUERIES = {
     "op2_token_blocks": op2_token_blocks,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
+    "op6_lm_scores": op6_lm_scores,
     "op7_secret_scans": op7_secret_scans,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
