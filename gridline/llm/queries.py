@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_conf
 from .common import table
+from .html_wrapper import main_texts
 from .line_dedup import dedup_lines
 from .minhash_join import near_duplicates
 from .mix_lm import score_documents
@@ -103,6 +104,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, weights).select("doc_id", *BASE, "llr_head", "llr_tail", "kept")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_conf(spark)
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_conf(spark)
     return score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -180,6 +186,7 @@ QUERIES = {
     "op2_token_blocks": op2_token_blocks,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
+    "op5_html_extraction": op5_html_extraction,
     "op6_lm_scores": op6_lm_scores,
     "op7_secret_scans": op7_secret_scans,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
