@@ -10,9 +10,14 @@ _RNG = np.random.default_rng(20240229)
 # One random 64-bit value per byte, A-Z as a-z; a word's hash is a polynomial in an odd base, mixed.
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE[ord("A"):ord("Z") + 1] = _BYTE[ord("a"):ord("z") + 1]
+_EXACT = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)     # the same with A-Z apart, and a second value
+_OTHER = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_BASE = 0x9E3779B97F4A7C15 | 1
+SEPARATORS = _SPACE.copy()        # white space and ASCII punctuation
+SEPARATORS[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = True
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 _PLACE = _RNG.integers(1, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 CHUNK = 1 << 20   # bytes hashed at once, so that the arrays stay small
 SIZE = 5          # words of a shingle
@@ -27,8 +32,18 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, base, np.uint64))])
+    """The first n + 1 powers; kept for chunks of the usual size, made anew for a longer text."""
+    if len(_POWERS.get(base, ())) > n:
+        return _POWERS[base][:n + 1]
+    size = max(n, CHUNK + (1 << 16))
+    powers = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size, base, np.uint64))])
+    if n <= 4 * CHUNK:
+        _POWERS[base] = powers
+    return powers[:n + 1]
 
 
 def chunks(texts: list[str] | list[bytes], limit: int = CHUNK) -> Iterator[list[bytes]]:
@@ -45,22 +60,50 @@ def chunks(texts: list[str] | list[bytes], limit: int = CHUNK) -> Iterator[list[
         yield out
 
 
-def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(texts: list[bytes], blanks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of the texts joined by a space: bytes, first and end of each word, and its text's number."""
     joined = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    blank = _SPACE[joined]
+    blank = blanks[joined]
     edge = np.flatnonzero(np.diff(np.concatenate([[True], blank]).view(np.int8)))
     first, end = edge[::2], edge[1::2]
     starts = np.cumsum([0] + [len(t) + 1 for t in texts])
     return joined, first, end, np.searchsorted(starts, first, "right") - 1
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words (A-Z lower-cased) and the number of each word's text."""
-    joined, first, end, of = word_spans(texts)
+def distinct_pieces(joined: bytes, stops: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Texts cut where white space begins: first and end of each piece, its kind, and a piece of each kind.
+
+    ``stops`` are the ends of the texts. Pieces are of a kind if their hashes are equal and, which is
+    then checked, their lengths and the sums of another value per byte.
+    """
+    data = np.frombuffer(joined, np.uint8)
+    blank = _SPACE[data]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1:-1] = ~blank[:-1] & blank[1:]
+    cut[stops] = True
+    cut[0] = False
+    end = np.flatnonzero(cut)
+    first = np.concatenate([[0], end[:-1]])[:len(end)]
+    n = len(data)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_EXACT[data] * _powers(_BASE, n)[:n])])
+    key = (total[end] - total[first]) * _powers(_INVERSE, n)[first]
+    other = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_OTHER[data])])
+    check = (other[end] - other[first]) + (end - first).astype(np.uint64)
+    _, pick, kind = np.unique(key, return_index=True, return_inverse=True)
+    if not np.array_equal(check, check[pick][kind]):
+        _, pick, kind = np.unique(np.stack([key, check], 1), axis=0, return_index=True, return_inverse=True)
+    return first, end, kind.reshape(-1), pick
+
+
+def word_hashes(texts: list[bytes], blanks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words (A-Z lower-cased) and the number of each word's text.
+
+    Words are the runs of bytes that ``blanks`` doesn't mark: by default ASCII white space.
+    """
+    joined, first, end, of = word_spans(texts, blanks)
     n = len(joined)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[joined] * _powers(_BASE, n)[:n])])
-    raw = (total[end] - total[first]) * _powers(pow(_BASE, -1, 1 << 64), n)[first]
+    raw = (total[end] - total[first]) * _powers(_INVERSE, n)[first]
     return mix64(raw + (end - first).astype(np.uint64) * _PLACE[7]), of
 
 

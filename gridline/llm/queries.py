@@ -9,6 +9,7 @@ from ..session import ensure_conf
 from .common import table
 from .html_wrapper import main_texts
 from .line_dedup import dedup_lines
+from .lsa_decontam import contaminated
 from .minhash_join import near_duplicates
 from .mix_lm import score_documents
 from .mixing import plan_mix
@@ -181,6 +182,12 @@ join (select node, min(root) component_id from r group by node) c on c.node = d.
 """
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_conf(spark)
+    return contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                        table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_blocks": op2_token_blocks,
@@ -190,6 +197,7 @@ QUERIES = {
     "op6_lm_scores": op6_lm_scores,
     "op7_secret_scans": op7_secret_scans,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 ORACLES = {
