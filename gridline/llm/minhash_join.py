@@ -8,12 +8,17 @@
 3. Prefix: with all values ordered by how many classes hold them, rarest first, two classes that
    agree in 24 values share one of the first 48 - 24 + 1 of either. So only these postings are kept,
    and values that one class alone holds fill places without being posted: most classes vanish here.
-4. Skip: instead of all pairs of a posting list, each class is first confirmed against one leader
-   only, the smallest class of most of its lists; two further rounds do so with other leaders, for
-   lists that still hold several components. Only then are the pairs across components of a list
-   formed; lists of a single component are skipped, as their pairs can't change the result.
-5. Pairs count their collisions on whole signatures, those with ``MATCHES`` or more are confirmed on
-   the full shingle sets, and the confirmed links give the components.
+4. Skip: no list's pairs are formed as they are. Each class names the leader of most of its lists
+   (their smallest class); classes that so hang together get one reference, and each is compared in
+   full with that one only, which gives its missing shingles M and its further ones E. Two classes of
+   a reference then share |ref| - |M| - |M'| + (elements that both differences have) shingles. If
+   both are linked to the reference, nothing is left to find. If one is not, a link to any other
+   needs common elements of the differences, more the further they are from the reference, so these
+   pairs are found by a prefix join over the differences, rarest elements first. A large group of
+   near copies, or of texts with one passage in common, thus costs its size, not its square.
+5. Pairs of a list with different references, and the pairs found in 4, count their collisions on
+   whole signatures; those with ``MATCHES`` or more are confirmed on the full shingle sets, and the
+   confirmed links give the components.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import spread_join, stored, text_of
@@ -72,6 +77,24 @@ def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[np.array(keep, bool), ["a", "b"]]
 
 
+def _differ(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What each text's set lacks of its reference's (marked) and has besides."""
+    for batch in batches:
+        texts = list(dict.fromkeys([*batch["text"], *batch["text_ref"]]))
+        sets = dict(zip(texts, (s for part in chunks(texts) for s in shingle_sets(part))))
+        rows = []
+        for rep, ref, a, b in zip(batch["rep"].tolist(), batch["ref"].tolist(), batch["text"], batch["text_ref"]):
+            own, base = sets[a], sets[b]
+            lacks = np.setdiff1d(base, own, assume_unique=True)
+            has = np.setdiff1d(own, base, assume_unique=True)
+            both = np.concatenate([mix64(lacks ^ _COORD[1]), has]).view(np.int64)
+            rows.append((rep, ref, len(base), len(lacks), len(has), both))
+        yield pd.DataFrame(rows, columns=["rep", "ref", "n_ref", "lacks", "has", "diff"])
+
+
+DIFF = "rep bigint, ref bigint, n_ref bigint, lacks bigint, has bigint, diff array<bigint>"
+
+
 class _Join:
     """The classes' postings, signatures and texts, and the links confirmed so far."""
 
@@ -79,8 +102,7 @@ class _Join:
         self.least, self.spark = least, docs.sparkSession
         tokens = classes.select("rep", F.explode("sig").alias("token"))
         lists = stored(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "minhash-lists")
-        total = lists.agg(F.sum("df")).first()[0] or 0
-        held = (spread_join(tokens, lists, ["token"], "df", total, F.col("rep"))
+        held = (self.spread(tokens, lists, ["token"])
                 .groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t")))
         # The values that a class alone holds come first and take their places unposted.
         room = F.lit(COORDS - MATCHES + 1) - (F.lit(COORDS) - F.size("t"))
@@ -93,20 +115,85 @@ class _Join:
                             "minhash-texts")
         self.links: DataFrame | None = None
 
+    @staticmethod
+    def spread(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+        """Join with a table of keys and their frequencies df, hot keys split."""
+        return spread_join(big, small, keys, "df", small.agg(F.sum("df")).first()[0] or 0, F.col("rep"))
+
+    def add(self, links: DataFrame) -> None:
+        # Written anew, so that the links are one table however they were found.
+        self.links = links if self.links is None else stored(self.links.union(links), "minhash-links")
+
     def roots(self) -> DataFrame:
-        if self.links is None:
-            return self.spark.createDataFrame([], "node bigint, root bigint")
-        return components(self.links)
-
-    def labelled(self) -> DataFrame:
-        """(rep, token, label, n): postings and components of the lists that hold several components."""
-        p = self.postings.join(self.roots().withColumnRenamed("node", "rep"), "rep", "left")
-        p = p.select("rep", "token", F.coalesce("root", "rep").alias("label"))
-        mixed = stored(p.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                              F.count(F.lit(1)).alias("n"))
-                       .filter("lo < hi").select("token", "n"), "minhash-mixed")
-        total = mixed.agg(F.sum("n")).first()[0] or 0
-        return stored(spread_join(p, mixed, ["token"], "n", total, F.col("rep")), "minhash-labelled")
+        return components(self.links).withColumnRenamed("node", "rep")
+
+    def refer(self) -> DataFrame:
+        """(rep, token, ref): the postings with each class's reference."""
+        lead = self.postings.groupBy("token").agg(F.min("rep").alias("lead"), F.count(F.lit(1)).alias("df"))
+        lead = stored(lead.filter("df > 1"), "minhash-leaders")
+        votes = (self.spread(self.postings, lead, ["token"])
+                 .groupBy("rep", "lead").agg(F.count(F.lit(1)).alias("c")))
+        best = votes.groupBy("rep").agg(F.max(F.struct("c", (-F.col("lead")).alias("lead"))).alias("best"))
+        refs = components(best.select(F.col("rep").alias("a"), (-F.col("best.lead")).alias("b")))
+        p = self.postings.join(refs.withColumnRenamed("node", "rep"), "rep", "left")
+        return stored(p.select("rep", "token", F.coalesce("root", "rep").alias("ref")), "minhash-referred")
+
+    def differ(self, referred: DataFrame) -> DataFrame:
+        """Each class's difference from its reference; adds the links to the reference."""
+        pairs = referred.filter("rep <> ref").select("rep", "ref").distinct()
+        ref = self.texts.select(F.col("rep").alias("ref"), F.col("text").alias("text_ref"))
+        near = F.lit(100 - self.least) * F.col("n_ref")
+        far = F.lit(100) * F.col("lacks") + F.lit(self.least) * F.col("has")
+        diffs = stored(pairs.join(self.texts, "rep").join(ref, "ref").mapInPandas(_differ, DIFF)
+                       .withColumn("far", far).withColumn("near", near), "minhash-differences")
+        self.add(diffs.filter("far <= near").select(F.col("rep").alias("a"), F.col("ref").alias("b")))
+        return diffs
+
+    def pairs_by_difference(self, diffs: DataFrame) -> DataFrame:
+        """Pairs (a, b) of a reference, one of them not linked to it, that may be linked.
+
+        With ``far`` = 100 |M| + least |E| and ``near`` = (100 - least) |ref|, two classes are linked
+        if (100 + least) * common elements >= far + far' - near; not linked to the reference means
+        far > near. So beside an unlinked partner a class needs more than far / (100 + least) common
+        elements, and an unlinked one beside a linked partner at least (far - near) / (100 + least).
+        """
+        open_ = diffs.filter("far > near").select("ref").distinct()
+        d = diffs.join(open_, "ref", "left_semi").withColumn("size", F.size("diff"))
+        elements = d.select("rep", "ref", F.explode("diff").alias("el"))
+        lists = stored(elements.groupBy("ref", "el").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"),
+                       "minhash-elements")
+        held = (self.spread(elements, lists, ["ref", "el"]).groupBy("rep", "ref")
+                .agg(F.array_sort(F.collect_list(F.struct("df", "el"))).alias("t")))
+        held = held.join(d.select("rep", "ref", "size", "far", "near"), ["rep", "ref"])
+        unit, alone = F.lit(100 + self.least), F.col("size") - F.size("t")
+        short = F.col("size") - F.floor(F.col("far") / unit) - alone
+        long = F.col("size") - F.greatest(F.ceil((F.col("far") - F.col("near")) / unit), F.lit(1)) + 1 - alone
+
+        def prefix(rows: DataFrame, room: Column, name: str) -> DataFrame:
+            return (rows.filter(room > 0).withColumn("t", F.explode(F.slice("t", F.lit(1), room.cast("int"))))
+                    .select("ref", "t.el", F.col("rep").alias(name)))
+
+        loose, tied = held.filter("far > near"), held.filter("far <= near")
+        first = prefix(loose, long, "a").join(prefix(tied, short, "b"), ["ref", "el"])
+        second = prefix(loose, short, "a").join(prefix(loose, short, "b"), ["ref", "el"]).filter("a < b")
+        both = first.select("a", "b").union(second.select("a", "b"))
+        return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def pairs_across(self, referred: DataFrame) -> DataFrame:
+        """Pairs (a, b) of one list and different references."""
+        mixed = stored(referred.groupBy("token").agg(F.min("ref").alias("lo"), F.max("ref").alias("hi"),
+                                                     F.count(F.lit(1)).alias("df"))
+                       .filter("lo < hi").select("token", "df"), "minhash-mixed")
+        p = (self.spread(referred, mixed, ["token"]).groupBy("rep", "ref")
+             .agg(F.collect_list("token").alias("all")))
+        p = stored(p.withColumn("token", F.explode("all")), "minhash-across")
+        q = p.select(*[F.col(c).alias(f"{c}_b") for c in ("token", "rep", "ref", "all")])
+        # A pair is formed at the first value that both hold, not at each.
+        once = F.array_min(F.array_intersect("all", "all_b")) == F.col("token")
+        pairs = p.join(q, (F.col("token") == F.col("token_b")) & (F.col("rep") < F.col("rep_b"))
+                       & (F.col("ref") != F.col("ref_b")) & once)
+        return pairs.select(F.col("rep").alias("a"), F.col("rep_b").alias("b"))
+
 
     def confirm(self, pairs: DataFrame, name: str) -> None:
         """Add the pairs (a, b) that pass the count of collisions and the comparison of full sets."""
@@ -123,32 +210,17 @@ class _Join:
         near = pairs.join(side("a"), "a").join(side("b"), "b").filter(sized).filter(same >= MATCHES)
         near = stored(near.select("a", "b"), f"minhash-{name}-pairs")
         both = near.join(text("b"), "b").join(text("a"), "a").withColumn("least", F.lit(self.least))
-        links = stored(both.mapInPandas(_confirm, "a bigint, b bigint"), f"minhash-{name}-links")
-        # Written anew, so that the links are one table however many rounds there were.
-        self.links = links if self.links is None else stored(self.links.union(links), "minhash-links")
+        self.add(stored(both.mapInPandas(_confirm, "a bigint, b bigint"), f"minhash-{name}-links"))
 
-    def lead(self, turn: int) -> None:
-        """Pair each class with one leader of its lists that is not of its component."""
-        p = self.labelled()
-        order = F.struct((F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))).alias("o"), "rep", "label")
-        lead = p.groupBy("token").agg(F.min(order).alias("lead"), F.max("n").alias("m"))
-        other = (spread_join(p, lead, ["token"], "m", p.count(), F.col("rep"))
-                 .filter(F.col("lead.label") != F.col("label")))
-        votes = other.groupBy("rep", F.col("lead.rep").alias("to")).agg(F.count(F.lit(1)).alias("c"))
-        best = votes.groupBy("rep").agg(F.max(F.struct("c", (-F.col("to")).alias("to"))).alias("best"))
-        to = -F.col("best.to")
-        self.confirm(best.select(F.least("rep", to).alias("a"), F.greatest("rep", to).alias("b")).distinct(),
-                     f"lead-{turn}")
-
-    def rest(self) -> None:
-        """Pair the classes of different components that share a posting."""
-        p = self.labelled()
-        q = p.select("token", F.col("rep").alias("b"), F.col("label").alias("label_b"))
-        pairs = p.join(q, "token").filter((F.col("rep") < F.col("b")) & (F.col("label") != F.col("label_b")))
-        self.confirm(pairs.select(F.col("rep").alias("a"), "b").distinct(), "rest")
-
-
-def near_duplicates(docs: DataFrame, least: int = 75, rounds: int = 3) -> DataFrame:
+    def run(self) -> DataFrame:
+        referred = self.refer()
+        diffs = self.differ(referred)
+        self.confirm(self.pairs_by_difference(diffs), "difference")
+        self.confirm(self.pairs_across(referred), "across")
+        return self.roots()
+
+
+def near_duplicates(docs: DataFrame, least: int = 75) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): a row per row of ``docs``.
 
     Documents are linked if 100 * intersection >= ``least`` * union of their sets of distinct 5-word
@@ -169,11 +241,7 @@ def near_duplicates(docs: DataFrame, least: int = 75, rounds: int = 3) -> DataFr
         F.first("sig").alias("sig"))
     classes = stored(classes.select("s1", "s2", F.col("f.doc_id").alias("rep"), F.col("f.fp").alias("fp"), "n",
                                     "n_shingles", "sig"), "minhash-classes")
-    join = _Join(classes, d, least)
-    for turn in range(rounds):
-        join.lead(turn)
-    join.rest()
-    roots = join.roots().withColumnRenamed("node", "rep")
+    roots = _Join(classes, d, least).run()
     found = stored(classes.select("s1", "s2", "rep", "n").join(roots, "rep", "left")
                    .select("s1", "s2", F.coalesce("root", "rep").alias("root"), "n"), "minhash-roots")
     total = found.agg(F.sum("n")).first()[0] or 0
@@ -182,3 +250,12 @@ def near_duplicates(docs: DataFrame, least: int = 75, rounds: int = 3) -> DataFr
     return (rows.withColumn("component_id", component)
             .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
             .select("doc_id", "n_shingles", "component_id", "kept"))
+
+
+def keep_one_of_each(docs: DataFrame, least: int = 75) -> DataFrame:
+    """The rows of ``docs`` whose document is the smallest of its group, or of none.
+
+    Rows without doc_id are in no group and stay; repeated rows of a kept document all stay.
+    """
+    gone = (near_duplicates(docs, least).filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct())
+    return docs.join(gone, docs["doc_id"].cast("bigint") == F.col("__gone"), "left_anti")
