@@ -101,10 +101,14 @@ def word_hashes(texts: list[bytes], blanks: np.ndarray = _SPACE) -> tuple[np.nda
     Words are the runs of bytes that ``blanks`` doesn't mark: by default ASCII white space.
     """
     joined, first, end, of = word_spans(texts, blanks)
+    return span_hashes(joined, first, end), of
+
+
+def span_hashes(joined: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
     n = len(joined)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[joined] * _powers(_BASE, n)[:n])])
     raw = (total[end] - total[first]) * _powers(_INVERSE, n)[first]
-    return mix64(raw + (end - first).astype(np.uint64) * _PLACE[7]), of
+    return mix64(raw + (end - first).astype(np.uint64) * _PLACE[7])
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:

@@ -16,6 +16,7 @@ from .mixing import plan_mix
 from .quality_llr import BASE, fit_weights, judge, trusted_ids
 from .secret_ledger import BASE_RULES, RULES, find_secrets, spans_text
 from .token_blocks import read_documents, write_tokens
+from .weak_label import classify
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,6 +189,12 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         table(spark, sf_dir, "benchmark"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_conf(spark)
+    out = classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "p_quality", "p_tone", "kept")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_blocks": op2_token_blocks,
@@ -198,6 +205,7 @@ QUERIES = {
     "op7_secret_scans": op7_secret_scans,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLES = {
