@@ -5,21 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spread_join, stored
+from .common import stored
 
 
-def _star(edges: DataFrame, large: bool, total: int) -> DataFrame:
-    """One star step over links (u, v) with u > v: neighbours are linked to the smallest around u."""
+def _star(edges: DataFrame, large: bool) -> DataFrame:
+    """One star step over links (u, v) with u > v: neighbours are linked to the smallest around u.
+
+    The minimum is combined before its shuffle; a node with very many links is a skewed key of the
+    join, which adaptive execution splits.
+    """
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-    near = spread_join(both, least.withColumn("m", F.least("u", "m")), ["u"], "n", 2 * total, F.col("v"))
-    moved = near.filter(F.col("v") > F.col("u")) if large else near
-    out = moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
-    if not large:
-        out = out.union(near.select("u", F.col("m").alias("v")))
+    least = both.groupBy("u").agg(F.min("v").alias("m"))
+    near = both.join(least, "u").withColumn("m", F.least("u", "m"))
+    if large:
+        pairs = F.array(F.struct(F.col("v"), F.col("m")))
+        near = near.filter("v > u")
+    else:
+        pairs = F.array(F.struct(F.col("v"), F.col("m")), F.struct(F.col("u").alias("v"), F.col("m")))
+    out = near.select(F.explode(pairs).alias("p")).select(F.col("p.v").alias("u"), F.col("p.m").alias("v"))
     return out.filter("u <> v").distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one link at most, to a node that has none."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")),
+                                          F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))).alias("e"))
+    nodes = ends.groupBy("e.node").agg(F.sum("e.up").alias("ups"), F.count(F.lit(1)).alias("n"))
+    return nodes.filter("ups > 1 or ups = 1 and n > 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each linked node (other than that one) can reach.
 
@@ -30,13 +44,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     e = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                .filter("u <> v").distinct(), "links")
-    mark = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("decimal(38,0)"))).first()
-    before = mark(e)
-    while before[0]:
-        e = stored(_star(e, True, before[0]), "large-star")
-        e = stored(_star(e, False, before[0]), "small-star")
-        after = mark(e)
-        if after == before:
-            break
-        before = after
+    while not _are_stars(e):
+        e = stored(_star(e, True), "large-star")
+        e = stored(_star(e, False), "small-star")
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
