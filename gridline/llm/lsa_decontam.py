@@ -3,8 +3,8 @@
 1. Every text becomes the hashed terms of its words (white space and punctuation apart). The same
    pass counts in how many passages each term stands and adds up a sketch of the TF-IDF matrix of all
    passages: its product with a sparse random matrix that gives each passage one column and sign.
-2. The sketch's singular vectors span the matrix's leading directions (randomised SVD). Scaled by the
-   inverse singular values they give each term a vector; a passage's is the sum of its terms'.
+2. The sketch's singular vectors span the matrix's leading directions (randomised SVD) and give each
+   term a vector; a passage's is the sum of its terms'.
 3. Every window of every text is compared with every benchmark passage by cosine. The benchmark is a
    stated query set, taken in blocks of bounded size; only pairs above ``cosine`` go on.
 4. A candidate is confirmed on the words around the window: by the longest common subsequence with
@@ -27,8 +27,8 @@ from .hashing import SEPARATORS, chunks, mix64, word_hashes
 from .numeric import PARTS, blocks_of, summed
 
 TERMS = 1 << 14            # hash buckets of terms
-COLUMNS = 96               # columns of the sketch
-DIMS = 96                  # latent dimensions kept
+COLUMNS = 64               # columns of the sketch
+DIMS = 64                  # latent dimensions kept
 WINDOW = 32                # words of a passage
 STRIDE = 16                # words between the windows that are compared
 ANSWER = 5                 # last words of a benchmark passage that count as its answer
@@ -91,14 +91,45 @@ def _feed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def term_vectors(sketch: np.ndarray) -> np.ndarray:
     """(TERMS, DIMS) vectors by which passages are compared, from the summed sketch.
 
-    Inverse frequencies are squared, as they weigh either side of a product: else texts of a
-    language are near each other by its common words alone.
+    A term's direction is its row of the whitened singular vectors, its length a power of its inverse
+    frequency: so a term of a language that is rare in the corpus weighs as much as any other.
     """
     df = sketch[:, COLUMNS]
-    idf = np.where(df > 0, np.log((df.max(initial=0) + 1) / (df + 1)) + 1, 0.0) ** 2
+    idf = np.where(df > 0, np.log((df.max(initial=0) + 1) / (df + 1)) + 1, 0.0)
     left, values, _ = np.linalg.svd(sketch[:, :COLUMNS] * idf[:, None], full_matrices=False)
     keep = values[:DIMS] > 1e-9 * max(values[0], 1e-30)
-    return (left[:, :DIMS][:, keep] / values[:DIMS][keep] * idf[:, None]).astype(np.float32)
+    rows = left[:, :DIMS][:, keep] / values[:DIMS][keep]
+    return (_normal(rows) * idf[:, None] ** 1.5).astype(np.float32)
+
+
+def _step_sums(terms: np.ndarray, first: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """The vectors' sums over each step of up to STRIDE words; a word said again there counts once."""
+    size = np.diff(np.append(first, len(terms)))
+    out = np.zeros((len(first), vectors.shape[1]), np.float32)
+    before: list[np.ndarray] = []
+    for j in range(STRIDE):
+        own = terms[np.minimum(first + j, len(terms) - 1)]
+        new = size > j
+        for other in before:
+            new &= own != other
+        before.append(own)
+        if new.all():
+            out += vectors[own]
+        else:
+            at = np.flatnonzero(new)
+            out[at] += vectors[own[at]]
+    return out
+
+
+def _windows(terms: np.ndarray, counts: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, ...]:
+    """First word, text and vector of each window: a step and the next one of its text."""
+    first = _passages(counts, STRIDE)
+    text = np.searchsorted(np.cumsum(counts), first, "right")
+    steps = _step_sums(terms, first, vectors)
+    out = steps.copy()
+    more = np.flatnonzero(text[1:] == text[:-1])
+    out[more] += steps[more + 1]
+    return first, text, _normal(out)
 
 
 def _normal(x: np.ndarray) -> np.ndarray:
@@ -127,13 +158,15 @@ class Benchmark:
             terms = _terms([(t or "").encode("utf-8", "surrogatepass")])[0]
             if not len(terms):
                 continue
-            for k in range(0, max(1, len(terms) - STRIDE), STRIDE):
-                rows.append(vectors[terms[k:k + WINDOW]].sum(0))
-                self.of.append(len(self.ids))
+            own = _windows(terms, np.array([len(terms)]), vectors)[2]
+            # The last step's own window adds nothing to the one before it.
+            rows += list(own[:max(1, len(own) - 1)])
+            self.of += [len(self.ids)] * max(1, len(own) - 1)
             self.ids.append(i)
             self.terms.append(terms.astype(np.int64).tolist())
         self.of = np.array(self.of, np.int64)
-        self.rows = _normal(np.array(rows, np.float32).reshape(len(rows), vectors.shape[1]))
+        self.rows = np.array(rows, np.float32).reshape(len(rows), vectors.shape[1])
+        self.size = np.array([len(t) for t in self.terms], np.int64)
         self.times = [Counter(t) for t in self.terms]
         self.has = np.zeros((len(self.terms), TERMS), bool)
         for own, t in zip(self.has, self.terms):
@@ -158,25 +191,28 @@ def _finder(bench: Benchmark, vectors: np.ndarray, cosine: float, verbatim: floa
                 counts, terms = np.frombuffer(counts, "<i8"), np.frombuffer(terms, np.uint16)
                 if not len(terms) or not len(bench.rows):
                     continue
-                first = _passages(counts, STRIDE)
-                steps = np.add.reduceat(vectors[terms], first, axis=0)
-                doc = np.searchsorted(np.cumsum(counts), first, "right")
-                windows = steps.copy()
-                more = np.flatnonzero(doc[1:] == doc[:-1])     # a window is a step and the next of its text
-                windows[more] += steps[more + 1]
-                like = _normal(windows) @ bench.rows.T
+                first, doc, windows = _windows(terms, counts, vectors)
+                like = windows @ bench.rows.T
                 w, q = np.nonzero(like >= cosine)
-                starts = np.cumsum(counts) - counts
+                ends = np.cumsum(counts)
+                item, d, at = bench.of[q], doc[w], first[w]
+                order = np.lexsort((at, d, item))
+                item, d, at, close = item[order], d[order], at[order], like[w, q][order]
+                reach = bench.size[item]
+                # Windows of a text that lie together are looked at together.
+                new = np.ones(len(at), bool)
+                new[1:] = (item[1:] != item[:-1]) | (d[1:] != d[:-1]) | (at[1:] > at[:-1] + WINDOW + reach[1:])
+                lead = np.flatnonzero(new)
+                last = np.append(lead[1:], len(at)) - 1
+                low = np.maximum(ends[d[lead]] - counts[d[lead]], at[lead] - reach[lead])
+                high = np.minimum(ends[d[lead]], at[last] + WINDOW + reach[lead])
+                close = np.maximum.reduceat(close, lead) if len(lead) else close
                 best: dict[tuple[int, int], tuple] = {}
-                for at, row, close in zip(w.tolist(), q.tolist(), like[w, q].tolist()):
-                    item, d = int(bench.of[row]), int(doc[at])
-                    reach = len(bench.terms[item])
-                    low = max(int(starts[d]), int(first[at]) - reach)
-                    high = min(int(starts[d] + counts[d]), int(first[at]) + WINDOW + reach)
-                    share, answer = check(item, terms[low:high])
+                for i, k, a, b, c in zip(item[lead].tolist(), d[lead].tolist(), low.tolist(), high.tolist(), close.tolist()):
+                    share, answer = check(i, terms[a:b])
                     if share >= verbatim or share >= paraphrase and answer >= 0.8:
-                        best[d, item] = max(best.get((d, item), ()), (share, answer, close))
-                out += [(ids[d], fps[d], bench.ids[item], *v) for (d, item), v in best.items()]
+                        best[k, i] = max(best.get((k, i), ()), (share, answer, c))
+                out += [(ids[k], fps[k], bench.ids[i], *v) for (k, i), v in best.items()]
             frame = pd.DataFrame(out, columns=["doc_id", "text_hash", "item_id", "lcs_share", "answer_share", "cosine"])
             yield frame.astype({"doc_id": "Int64", "item_id": "Int64"})
     return find
@@ -185,7 +221,7 @@ def _finder(bench: Benchmark, vectors: np.ndarray, cosine: float, verbatim: floa
 FOUND = "doc_id bigint, text_hash bigint, item_id bigint, lcs_share double, answer_share double, cosine double"
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.42, verbatim: float = 0.8,
+def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.45, verbatim: float = 0.8,
                  paraphrase: float = 0.6) -> DataFrame:
     """(doc_id, text_hash, item_id, lcs_share, answer_share, cosine): documents holding a benchmark passage.
 
