@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import os
 import re
-import struct
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -32,17 +31,25 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path, shuffle_partitions
 from .common import text_of
+from .hashing import distinct_pieces
 
 BLOCK = 128
 FIT = 0.9                  # share of a block's differences that its width must hold
 SEGMENT = 1 << 16          # ids after which a segment ends, at the end of a document
 END = 0                    # id after each document
-HEAD = struct.Struct("<IBBB")
 SCHEMA = ("part int, segment int, start bigint, doc_ids array<bigint>, doc_lens array<int>, "
           "block_starts array<int>, payload binary")
 
 
 # ---- blocks ------------------------------------------------------------------------------------
+HEAD = 7                   # bytes before a block's exceptions: least id, width, exceptions, ids
+
+
+def _within(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, .. for each size, one after the other."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
 def pack(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     """Payload and block starts of an array of ids."""
     n_blocks = -(-len(ids) // BLOCK)
@@ -52,108 +59,157 @@ def pack(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     rows = padded.reshape(n_blocks, BLOCK)
     least = rows.min(1)
     diff = rows - least[:, None]
-    fit = np.sort(diff, axis=1)[:, int(np.ceil(FIT * BLOCK)) - 1]
+    nth = int(np.ceil(FIT * BLOCK)) - 1
+    fit = np.partition(diff, nth, axis=1)[:, nth]
     width = np.ceil(np.log2(fit.astype(np.float64) + 1)).astype(np.int64)
     odd = diff >= (np.uint64(1) << width.astype(np.uint64))[:, None]
+    n = odd.sum(1)
+    size = HEAD + 5 * n + BLOCK // 8 * width
+    starts = np.cumsum(size) - size
+    out = np.zeros(size.sum(), np.uint8)
+    head = np.empty((n_blocks, HEAD), np.uint8)
+    head[:, :4] = least.astype("<u4").view(np.uint8).reshape(-1, 4)
+    head[:, 4], head[:, 5], head[:, 6] = width, n, BLOCK
+    head[-1, 6] = len(ids) - (n_blocks - 1) * BLOCK
+    out[starts[:, None] + np.arange(HEAD)] = head
+    places, values = np.nonzero(odd)[1].astype(np.uint8), diff[odd].astype("<u4")
+    at = np.repeat(starts + HEAD, n) + _within(n)
+    out[at] = places
+    at = np.repeat(starts + HEAD + n, n) + 4 * _within(n)
+    out[at[:, None] + np.arange(4)] = values.view(np.uint8).reshape(-1, 4)
     kept = np.where(odd, np.uint32(0), diff)
-    packed: list[bytes] = [b""] * n_blocks
-    for w in np.unique(width[width > 0]):
-        at = np.flatnonzero(width == w)
-        bits = (kept[at][:, :, None] >> np.arange(w, dtype=np.uint32)) & np.uint32(1)
-        data = np.packbits(bits.astype(np.uint8).reshape(len(at), -1), axis=1, bitorder="little")
-        for i, row in zip(at.tolist(), data):
-            packed[i] = row.tobytes()
-    counts = odd.sum(1).tolist()
-    places = np.nonzero(odd)[1].astype(np.uint8)
-    values = diff[odd].astype("<u4")
-    out, starts, size, e = [], [], 0, 0
-    last = len(ids) - (n_blocks - 1) * BLOCK
-    for i, (low, w, n) in enumerate(zip(least.tolist(), width.tolist(), counts)):
-        block = (HEAD.pack(low, w, n, last if i == n_blocks - 1 else BLOCK)
-                 + places[e:e + n].tobytes() + values[e:e + n].tobytes() + packed[i])
-        out.append(block)
-        starts.append(size)
-        size += len(block)
-        e += n
-    return b"".join(out), np.array(starts, np.int32)
+    for w in np.unique(width[width > 0]).tolist():
+        own = np.flatnonzero(width == w)
+        bits = np.unpackbits(kept[own].astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, count=w, bitorder="little")
+        data = np.packbits(bits.reshape(len(own), -1), axis=1, bitorder="little")
+        out[(starts + HEAD + 5 * n)[own][:, None] + np.arange(data.shape[1])] = data
+    return out.tobytes(), starts.astype(np.int32)
 
 
 def unpack(payload: bytes, starts: np.ndarray) -> np.ndarray:
     """The ids of the blocks that begin at ``starts``."""
-    n_blocks = len(starts)
-    diff = np.zeros((n_blocks, BLOCK), np.uint32)
-    least, sizes = np.zeros(n_blocks, np.uint32), np.zeros(n_blocks, np.int64)
-    bits: dict[int, list[tuple[int, int]]] = {}
-    patches = []
-    for i, at in enumerate(np.asarray(starts).tolist()):
-        least[i], w, n, sizes[i] = HEAD.unpack_from(payload, at)
-        at += HEAD.size
-        if n:
-            patches.append((i, at, n))
-        if w:
-            bits.setdefault(w, []).append((i, at + 5 * n))
-    raw = np.frombuffer(payload, np.uint8)
-    for w, blocks in bits.items():
-        rows = np.array([i for i, _ in blocks])
-        data = raw[np.array([at for _, at in blocks])[:, None] + np.arange(BLOCK * w // 8)]
-        ones = np.unpackbits(data, axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
-        diff[rows] = ones @ (np.uint32(1) << np.arange(w, dtype=np.uint32))
-    for i, at, n in patches:
-        diff[i, raw[at:at + n]] = np.frombuffer(payload, "<u4", n, at + n)
-    full = diff + least[:, None]
-    return full[np.arange(BLOCK) < sizes[:, None]]
+    raw, starts = np.frombuffer(payload, np.uint8), np.asarray(starts, np.int64)
+    head = raw[starts[:, None] + np.arange(HEAD)]
+    least = head[:, :4].copy().view("<u4")
+    width, n, sizes = (head[:, i].astype(np.int64) for i in (4, 5, 6))
+    diff = np.zeros((len(starts), BLOCK), np.uint32)
+    for w in np.unique(width[width > 0]).tolist():
+        own = np.flatnonzero(width == w)
+        data = raw[(starts + HEAD + 5 * n)[own][:, None] + np.arange(BLOCK * w // 8)]
+        bits = np.zeros((len(own) * BLOCK, -(-w // 8) * 8), np.uint8)
+        bits[:, :w] = np.unpackbits(data, axis=1, bitorder="little").reshape(-1, w)
+        value = np.zeros((len(bits), 4), np.uint8)
+        value[:, :-(-w // 8)] = np.packbits(bits, axis=1, bitorder="little")
+        diff[own] = value.view("<u4").reshape(-1, BLOCK)
+    block = np.repeat(np.arange(len(starts)), n)
+    places = raw[np.repeat(starts + HEAD, n) + _within(n)]
+    values = raw[(np.repeat(starts + HEAD + n, n) + 4 * _within(n))[:, None] + np.arange(4)]
+    diff[block, places] = np.ascontiguousarray(values).view("<u4").reshape(-1)
+    full = diff + least
+    return full.reshape(-1)[:BLOCK * (len(starts) - 1) + sizes[-1]] if (
+        len(sizes) and (sizes[:-1] == BLOCK).all()) else full[np.arange(BLOCK) < sizes[:, None]]
 
 
 # ---- tokenizing --------------------------------------------------------------------------------
-# The tokenizer splits texts at white space first, so a text may be cut before a single space, and
-# before and after a single line end, without changing its ids. Texts with other white space, or
-# with several in a row, are encoded as they are.
-_ODD = re.compile(r"\s\s|\A\s|\s\Z|[^\S \n]|\x00")
+# The tokenizer first splits a text at white space, so it may be cut wherever white space begins
+# without changing its ids; a piece is white space and the word after it. Texts with white space
+# other than ASCII's are encoded as they are.
+_FAR_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_FAR_BYTES = (b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80",
+              b"\xe2\x81\x9f", b"\xe3\x80\x80")
+# Characters that byte-level tokenizers give the bytes: printable ones stand for themselves, the
+# others are numbered on from 256.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = {**{b: chr(b) for b in _SHOWN},
+               **{b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _SHOWN)}}
 
 
 class PieceEncoder:
-    """Encodes texts piece by piece and remembers the ids of up to ``limit`` pieces."""
+    """Encodes texts piece by piece and remembers the ids of up to ``limit`` frequent pieces."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        self._forget()
+        self.known: dict[bytes, int] = {}
+        self.stops: dict[bytes, list[int]] = {}   # by runs of full stops and commas
+        self.ids, self.first = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.size, self.hits = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids, self.first, self.size = (np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-    def _learn(self, pieces: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        sizes = np.array([len(x) for x in found], np.int64)
-        base = len(self.ids) + np.cumsum(sizes) - sizes
+        """Keep the half that was asked for most."""
+        keep = np.sort(np.argsort(-self.hits, kind="stable")[:self.limit // 2])
+        pieces = list(self.known)
+        size, first = self.size[keep], self.first[keep]
+        ends = np.cumsum(size)
+        self.ids = self.ids[np.repeat(first - (ends - size), size) + np.arange(ends[-1])]
+        self.first, self.size, self.hits = ends - size, size, self.hits[keep] // 2
+        self.known = {pieces[i]: n for n, i in enumerate(keep.tolist())}
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word(self, piece: bytes) -> list[int]:
+        """Ids of letters after at most one space: the tokenizer splits these no further before merging."""
+        return [t.id for t in self.tokenizer.model.tokenize(piece.decode("latin-1").translate(_BYTE_CHARS))]
+
+    def _stop(self, stop: bytes) -> list[int]:
+        if stop not in self.stops:
+            self.stops[stop] = self._word(stop) if stop else []
+        return self.stops[stop]
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        found: list = []
+        other = []
+        for p in pieces:
+            text = p.decode("utf-8", "surrogatepass")
+            word = text.rstrip(".,")
+            if (word[1:] if word[:1] == " " else word).isalpha():
+                stop = p[len(word.encode()):]
+                found.append(self._word(p[:len(p) - len(stop)]) + self._stop(stop))
+            else:
+                other.append(len(found))
+                found.append(text)
+        for i, ids in zip(other, self._whole([found[i] for i in other])):
+            found[i] = ids
+        size = np.array([len(x) for x in found], np.int64)
+        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.hits = np.concatenate([self.hits, np.zeros(len(size), np.int64)])
         self.ids = np.concatenate([self.ids, np.array([i for x in found for i in x], np.uint32)])
-        self.first, self.size = np.concatenate([self.first, base]), np.concatenate([self.size, sizes])
         self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each with END after it, and their number by text."""
         if len(self.known) > self.limit:
             self._forget()
-        pieces: list[str] = []
-        counts = []
-        for t in texts:
-            if _ODD.search(t):
-                pieces.append(t)
-                counts.append(1)
-            elif t:
-                own = t.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
-                pieces += own
-                counts.append(len(own))
-            else:
-                counts.append(0)
-        self._learn([p for p in dict.fromkeys(pieces) if p not in self.known])
-        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        joined = b"".join(raw)
+        whole = []
+        if any(x in joined for x in _FAR_BYTES):
+            whole = [i for i, t in enumerate(texts) if _FAR_SPACE.search(t)]
+            for i in whole:
+                raw[i] = b""
+            joined = b"".join(raw)
+        stops = np.cumsum([len(x) for x in raw])
+        first, end, kind, pick = distinct_pieces(joined, stops)
+        pieces = [joined[a:b] for a, b in zip(first[pick].tolist(), end[pick].tolist())]
+        own = np.array([self.known.get(p, -1) for p in pieces], np.int64)
+        new = np.flatnonzero(own < 0)
+        if len(new):
+            own[new] = np.arange(len(self.known), len(self.known) + len(new))
+            self._learn([pieces[i] for i in new.tolist()])
+        self.hits += np.bincount(own, np.bincount(kind, minlength=len(own)), len(self.hits)).astype(np.int64)
+        at = own[kind]
         size = self.size[at]
         upto = np.concatenate([[0], np.cumsum(size)])
         ids = self.ids[np.repeat(self.first[at] - upto[:-1], size) + np.arange(upto[-1])]
-        ends = upto[np.cumsum(counts)]
+        ends = upto[np.searchsorted(end, stops, "right")]
+        if whole:
+            parts = np.split(ids, ends[:-1])
+            for i, found in zip(whole, self._whole([texts[i] for i in whole])):
+                parts[i] = np.array(found, np.uint32)
+            ids, ends = np.concatenate(parts), np.cumsum([len(x) for x in parts])
         return np.insert(ids, ends, END), np.diff(np.concatenate([[0], ends])) + 1
 
 
@@ -166,7 +222,7 @@ def _encoder(path: str) -> PieceEncoder:
     return _ENCODERS[path]
 
 
-def _slices(texts: list[str], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _slices(texts: list[str], limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``limit`` characters."""
     first, size = 0, 0
     for i, t in enumerate(texts):
