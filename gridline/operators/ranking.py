@@ -15,8 +15,9 @@ operators here compute the same numbers without that single task:
 
 Ties (RANK / DENSE_RANK) are collapsed first with a partially aggregated
 ``groupBy(group, keys).count()`` -- a hot tie is combined map-side -- and the ranks
-of the distinct keys are joined back. AQE turns that join into a broadcast when the
-distinct-key table is small at run time and splits skewed partitions otherwise.
+of the distinct keys are joined back to the checkpointed input. AQE turns that join into
+a broadcast when the distinct-key table is small at run time and splits skewed partitions
+otherwise. There is one path for all sizes.
 """
 
 from __future__ import annotations
@@ -49,38 +50,6 @@ def _order_cols(order: OrderSpec) -> list[Column]:
     return [sort_col(c, d) for c, d in order]
 
 
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` only after proving it has at most ``max_rows`` rows.
-
-    The proof is ``limit(max_rows + 1).count()``, which stops reading once the bound is
-    exceeded, so it costs at most ``max_rows`` rows. Above the bound the frame is left
-    to a shuffle join (and to AQE). The bound can be set with the session conf
-    ``spark.gridline.broadcastMaxRows``.
-    """
-    if max_rows is None:
-        max_rows = _max_rows(df.sparkSession)
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
-def _max_rows(spark) -> int:
-    return int(spark.conf.get("spark.gridline.broadcastMaxRows", str(DEFAULT_BROADCAST_ROWS)))
-
-
-def _is_bounded(df: DataFrame) -> bool:
-    """At most ``spark.gridline.broadcastMaxRows`` rows (reads at most that many + 1)."""
-    k = _max_rows(df.sparkSession)
-    return df.limit(k + 1).count() <= k
-
-
-def _pinned_small(df: DataFrame) -> DataFrame:
-    """Checkpoint a derived table that is about to be both size-checked and joined,
-    so the check and the join read the same files instead of computing it twice."""
-    return broadcast_if_bounded(df.checkpoint(eager=True))
-
-
 def _group_token(by: Sequence[str]) -> Column:
     # One non-null token per group: struct equality compares fields null-safely, so the
     # group can be used as a plain equi-join / partition key even when a column is null.
@@ -105,10 +74,6 @@ def _row_numbers(df: DataFrame, by: Sequence[str], order: OrderSpec, out: str,
     ck = (df.withColumn(_G, _group_token(by)).repartitionByRange(n, *ordering).sortWithinPartitions(*ordering)
           .withColumn(_MID, F.monotonically_increasing_id())
           .checkpoint(eager=True))
-    if _is_bounded(ck):
-        # proven small: a plain window over the materialized rows is exact and cheapest
-        w = Window.partitionBy(_G).orderBy(*_order_cols(order))
-        return ck.withColumn(out, F.row_number().over(w).cast("long")).drop(_MID, _G)
     ck = ck.withColumns({_PID: F.shiftright(_MID, 33), _POS: F.col(_MID).bitwiseAND(F.lit((1 << 33) - 1))})
     # slice summary: one row per (range partition, group) -- at most partitions + groups
     # rows and at most `n` rows per group, so the offset window is bounded by `n`
@@ -117,9 +82,8 @@ def _row_numbers(df: DataFrame, by: Sequence[str], order: OrderSpec, out: str,
         _PID, _G, _FIRST,
         F.coalesce(F.sum(_W).over(Window.partitionBy(_G).orderBy(_PID)
                                   .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(_OFF))
-    # `off` has at most partitions + groups rows: broadcast it when that is proven small,
-    # so the numbered rows are not shuffled again for this join
-    res = ck.join(_pinned_small(off), [_PID, _G], "inner")
+    # `off` has at most partitions + groups rows; adaptive execution broadcasts it where it is small
+    res = ck.join(off, [_PID, _G], "inner")
     num = F.col(_OFF) + F.col(_POS) - F.col(_FIRST) + 1
     return res.withColumn(out, num.cast("long")).drop(_PID, _POS, _OFF, _FIRST, _MID, _G)
 
@@ -136,12 +100,7 @@ def _weighted_prefix(df: DataFrame, by: Sequence[str], order: OrderSpec, weight:
     checkpoint_root(spark)
     n = partitions or shuffle_partitions(spark)
     ordering = [F.col(_G).asc()] + _order_cols(order)
-    keyed = df.withColumn(_G, _group_token(by)).checkpoint(eager=True)
-    if _is_bounded(keyed):
-        # proven small: one window over the materialized distinct keys
-        w = (Window.partitionBy(_G).orderBy(*_order_cols(order))
-             .rowsBetween(Window.unboundedPreceding, -1))
-        return keyed.withColumn(out, F.coalesce(F.sum(weight).over(w), F.lit(0)).cast("long")).drop(_G)
+    keyed = df.withColumn(_G, _group_token(by))
     r = keyed.repartitionByRange(n, *ordering).withColumn(_PID, F.spark_partition_id())
     frame = (Window.partitionBy(_PID, _G).orderBy(*_order_cols(order))
              .rowsBetween(Window.unboundedPreceding, -1))
@@ -151,7 +110,7 @@ def _weighted_prefix(df: DataFrame, by: Sequence[str], order: OrderSpec, weight:
         _PID, _G,
         F.coalesce(F.sum(_W).over(Window.partitionBy(_G).orderBy(_PID)
                                   .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(_OFF))
-    res = loc.join(_pinned_small(off), [_PID, _G], "inner")
+    res = loc.join(off, [_PID, _G], "inner")
     return res.withColumn(out, (F.col(_OFF) + F.col(_LOC)).cast("long")).drop(_PID, _OFF, _LOC, _G)
 
 
@@ -172,6 +131,10 @@ def rank_within(df: DataFrame, by: Sequence[str], order: OrderSpec, method: str
     if method == "row_number":
         raise ValueError("row_number needs a unique ordering; pass unique=True with a tie-breaker")
     keys = [c for c, _ in order]
+    # The ranks are joined back by equality on the ordering columns. A sum of doubles computed twice
+    # may differ in its last bits, so both sides read one evaluation.
+    checkpoint_root(df.sparkSession)
+    df = df.checkpoint(eager=True)
     if method == "dense_rank":       # number the distinct keys; equal keys share the number
         distinct = df.select(*by, *keys).distinct()
         ranked = _row_numbers(distinct, by, order, out, partitions)
@@ -180,8 +143,7 @@ def rank_within(df: DataFrame, by: Sequence[str], order: OrderSpec, method: str
         ranked = _weighted_prefix(distinct, by, order, _W, out, partitions)
         ranked = ranked.withColumn(out, F.col(out) + 1)
     ranked = ranked.select(*by, *keys, F.col(out).cast("int").alias(out))
-    # one row per distinct (group, key): often small (ties collapse), then broadcast
-    return join_null_safe(df, _pinned_small(ranked), [*by, *keys])
+    return join_null_safe(df, ranked, [*by, *keys])
 
 
 def running_total(df: DataFrame, by: Sequence[str], step: str, measure: str, out: str) -> DataFrame:
@@ -211,6 +173,8 @@ def keep_group_max(df: DataFrame, by: Sequence[str], col: str) -> DataFrame:
     The maximum is a partial aggregate; ``<=>`` keeps every row of a group whose
     values are all null (RANK puts them all first there as well).
     """
+    checkpoint_root(df.sparkSession)
+    df = df.checkpoint(eager=True)      # the maximum and the rows must come from one evaluation
     g = df.groupBy(*by).agg(F.max(col).alias("__gmax"))
     return (join_null_safe(df, g, list(by))
             .filter(F.col(col).eqNullSafe(F.col("__gmax"))).drop("__gmax"))

@@ -20,6 +20,7 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.ansi.enabled": "true",          # strict casts
 }
 
 
@@ -56,15 +57,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for cut lineage and intermediate tables.
 
     Read ``spark.checkpoint.dir`` from the session (the cluster names a shared folder
-    there). Only when it is unset -- local runs and tests -- a private folder is set.
+    there), or the folder already given to ``setCheckpointDir``. Only when neither is set and
+    the master is local -- local runs and tests -- a private folder is set.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+         or sc.getCheckpointDir())
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="gridline-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d.rstrip("/")
@@ -79,8 +82,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def scale_conf(input_bytes: int, partition_bytes: int = 512 << 20, min_partitions: int = 200,
-               max_partitions: int = 50_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, partition_bytes: int = 512 << 20, min_partitions: int = 200) -> dict[str, str]:
     """Settings sized for an input of ``input_bytes`` (e.g. 100 TB on a large cluster).
 
     Shuffle partitions target ~``partition_bytes`` each so a partition fits an executor's
@@ -89,7 +91,7 @@ def scale_conf(input_bytes: int, partition_bytes: int = 512 << 20, min_partition
     median and above the advisory size. ``rank_within`` range-partitions into
     ``spark.sql.shuffle.partitions`` slices, so the same number bounds its slice size.
     """
-    n = max(min_partitions, min(max_partitions, -(-input_bytes // partition_bytes)))
+    n = max(min_partitions, -(-input_bytes // partition_bytes))
     size = str(partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(n),

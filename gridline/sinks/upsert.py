@@ -19,9 +19,11 @@ overwrite:
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..session import checkpoint_root
 from .writes import balanced, overwrite_partitions, path_exists
@@ -44,15 +46,6 @@ class ConstraintViolation(Exception):
     pass
 
 
-def check_constraints(df: DataFrame, constraints: Sequence[Mapping[str, str]]) -> dict[str, int]:
-    """Q12: count rows violating each named SQL predicate (null counts as a violation); one job."""
-    if not constraints:
-        return {}
-    aggs = [F.count_if(~F.coalesce(F.expr(c["condition"]), F.lit(False))).alias(c["name"]) for c in constraints]
-    row = df.agg(*aggs).first()
-    return {c["name"]: int(row[c["name"]]) for c in constraints}
-
-
 def enforce_constraints(df: DataFrame, constraints: Sequence[Mapping[str, str]],
                         unique_keys: Sequence[str] | None = None) -> None:
     """Refuse a write: CHECK predicates and (optionally) one row per key, in one aggregation job."""
@@ -99,6 +92,17 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], upda
     return j.select(*out)
 
 
+def stored_schema(spark: SparkSession, path: str, like: DataFrame) -> StructType:
+    """The table's schema with the written types of its partition columns.
+
+    Reading infers the types of partition columns from their folder names, which turns '007' into 7;
+    the types of ``like``, the rows about to be written, are the ones that were written before.
+    """
+    found = spark.read.parquet(path).schema
+    return StructType([StructField(f.name, like.schema[f.name].dataType if f.name in like.columns else f.dataType)
+                       for f in found])
+
+
 def upsert(source: DataFrame, path: str, keys: Sequence[str], update_cols: Sequence[str],
            partition_by: Sequence[str], guard: Guard | None = None,
            constraints: Sequence[Mapping[str, str]] = (), check_unique: bool = True) -> str:
@@ -116,11 +120,20 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], update_cols: Seque
         return "created"
     if check_unique:
         enforce_constraints(final, (), keys)
-    target = spark.read.parquet(path)
-    touched = final.select(*partition_by).distinct()
-    # only the partitions the batch touches are read (semi join on partition columns
-    # → dynamic partition pruning) and rewritten (dynamic partition overwrite)
-    t_part = target.join(touched, list(partition_by), "left_semi")
+    moved = sorted(set(partition_by) & set(update_cols))
+    if moved:
+        raise ValueError(f"partition columns {moved} can't be updated in place")
+    target = spark.read.schema(stored_schema(spark, path, final)).parquet(path)
+    # A key matches wherever it is stored. The partitions to rewrite are those of the source's rows
+    # and those that hold one of its keys; the search reads key and partition columns only.
+    place = list(dict.fromkeys(partition_by))
+    holding = target.select(*dict.fromkeys([*place, *keys])).join(
+        final.select(*keys).distinct(), list(keys), "left_semi").select(*place)
+    touched = holding.union(final.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in place])).distinct()
+    # Null-safe: rows whose partition value is null are a partition too.
+    touched = touched.select(*[F.col(c).alias(f"__in_{c}") for c in place])
+    same = reduce(lambda a, b: a & b, [target[c].eqNullSafe(F.col(f"__in_{c}")) for c in place])
+    t_part = target.join(touched, same, "left_semi")
     merged = merge_frames(t_part, final.select(*target.columns) if set(target.columns) <= set(final.columns)
                           else final, keys, update_cols, guard)
     enforce_constraints(merged, constraints)

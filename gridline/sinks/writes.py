@@ -38,11 +38,23 @@ def replace_partition(df: DataFrame, path: str, batch_id: str, partition_col: st
 
     The per-write option makes this overwrite dynamic whatever the session default is
     (``gridline.session`` also sets the session default); a static overwrite would wipe
-    every other batch.
+    every other batch. Dynamic overwrite leaves a partition alone for which there are no
+    rows, so a rerun without rows removes the batch's folder itself.
     """
+    if df.isEmpty():
+        drop_partition(df.sparkSession, path, partition_col, batch_id)
+        return
     overwrite_partitions(df.withColumn(partition_col, F.lit(batch_id)), path, [partition_col])
 
 
+def drop_partition(spark: SparkSession, path: str, partition_col: str, value: str) -> None:
+    """Remove one partition folder of a table (a no-op if there is none)."""
+    jvm = spark.sparkContext._jvm
+    escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={escaped}")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic partition overwrite)."""
     (balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -56,8 +68,8 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """K6/K7/K8: full replace with the frame's (explicit) schema."""
-    w = balanced(df, partition_by).write.mode("overwrite")
+    """K6/K7/K8: full replace with the frame's (explicit) schema, old partitions included."""
+    w = balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
@@ -98,8 +110,11 @@ def write_json_array(df: DataFrame, path: str, partition_col: str, expected: Dat
     cols = [c for c in df.columns if c != partition_col]
     counts = df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("__n"))
     chunks = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_records)))
-    chunked = (df.join(counts, partition_col)     # one row per partition value: a calendar-sized side
-               .withColumn("__chunk", F.pmod(F.xxhash64(*cols), chunks.cast("long"))))
+    small = counts.withColumnRenamed(partition_col, "__value")
+    # Equal rows are told apart by their place, so that they don't all meet in one array.
+    chunked = (df.withColumn("__place", F.monotonically_increasing_id())
+               .join(small, F.col(partition_col).eqNullSafe(F.col("__value")))
+               .withColumn("__chunk", F.pmod(F.xxhash64("__place"), chunks.cast("long"))))
     arrays = (chunked.groupBy(partition_col, "__chunk")
               .agg(F.to_json(F.collect_list(F.struct(*cols)), {"ignoreNullFields": "false"}).alias("value"))
               .select(partition_col, "value"))

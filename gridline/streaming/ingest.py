@@ -5,7 +5,8 @@ raw schema; ``trigger(availableNow=True)`` processes everything present and stop
 which makes the scheduled batch job an incremental, restartable stream: the
 checkpoint records which files were already loaded, so a rerun or a lost executor
 never loads a file twice. Each micro-batch replaces the raw partitions of the batch
-ids it contains (dynamic partition overwrite), so a replayed micro-batch is idempotent.
+ids it contains by all that these batches have landed (dynamic partition overwrite), so
+a batch may come in several parts and a replayed micro-batch is idempotent.
 """
 
 from __future__ import annotations
@@ -20,23 +21,34 @@ from ..sources.files import RAW_FORMATS, RAW_SCHEMAS, batch_path
 def landed_stream(spark: SparkSession, landing: str, dataset: str, max_files_per_trigger: int | None = None
                   ) -> DataFrame:
     """Streaming read of one landed dataset, with ``batch_id`` from the folder and load metadata."""
-    fmt = RAW_FORMATS[dataset]
-    r = (spark.readStream.schema(f"{RAW_SCHEMAS[dataset]}, batch_id STRING").option("mode", "FAILFAST")
-         .option("basePath", batch_path(landing, dataset)))
+    r = _reader(spark.readStream, dataset)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return _with_metadata(r, landing, dataset)
+
+
+def _reader(read, dataset: str):
+    return read.schema(f"{RAW_SCHEMAS[dataset]}, batch_id STRING").option("mode", "FAILFAST")
+
+
+def _with_metadata(r, landing: str, dataset: str) -> DataFrame:
     path = batch_path(landing, dataset)
-    if fmt == "csv":
-        df = r.option("header", True).csv(path)
-    else:
-        df = r.json(path)
+    r = r.option("basePath", path)
+    df = r.option("header", True).csv(path) if RAW_FORMATS[dataset] == "csv" else r.json(path)
     return df.withColumns({"ingestion_timestamp": F.current_timestamp(),
                            "source_file": F.col("_metadata.file_path")})
 
 
-def _replace_batches(target: str):
+def _replace_batches(spark: SparkSession, landing: str, dataset: str, target: str):
+    """Replace the raw partitions of the batches that a micro-batch has files of.
+
+    A batch's files may arrive in several micro-batches, so its partition is made from all files it
+    has landed so far, not from the new ones alone; a replayed micro-batch writes the same again.
+    """
     def write(batch: DataFrame, epoch_id: int) -> None:
-        overwrite_partitions(batch, target, ["batch_id"])
+        touched = batch.select("batch_id").distinct()
+        landed = _with_metadata(_reader(spark.read, dataset), landing, dataset)
+        overwrite_partitions(landed.join(touched, "batch_id", "left_semi").select(*batch.columns), target, ["batch_id"])
     return write
 
 
@@ -44,7 +56,7 @@ def ingest_available(spark: SparkSession, landing: str, dataset: str, target: st
                      max_files_per_trigger: int | None = None) -> None:
     """Load every not-yet-loaded landed file of ``dataset`` into the raw table at ``target``; then stop."""
     q = (landed_stream(spark, landing, dataset, max_files_per_trigger).writeStream
-         .foreachBatch(_replace_batches(target))
+         .foreachBatch(_replace_batches(spark, landing, dataset, target))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())

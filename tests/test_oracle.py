@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from gridline.plans import registry as R
 from gridline.sources.tables import TEST_TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -28,15 +29,15 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(R.queries()) == set(R.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(R.queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = R.queries()[name](spark, SF)
     cols = sorted(df.columns)
     rows = sorted(tuple(_norm(v) for v in r) for r in df.select(*cols).collect())
-    rel = con.execute(E.oracle_sql()[name])
+    rel = con.execute(R.oracle_sql()[name])
     ocols = [d[0] for d in rel.description]
     idx = sorted(range(len(ocols)), key=lambda i: ocols[i])
     orows = sorted(tuple(_norm(r[i]) for i in idx) for r in rel.fetchall())

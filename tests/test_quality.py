@@ -75,3 +75,11 @@ def test_constraints_refuse_the_write(spark, frame):
     enforce_constraints(frame.filter("x >= 0"), [{"name": "x_ok", "condition": "x IS NULL OR x >= 0"}])
     with pytest.raises(ValueError, match="duplicate keys"):
         enforce_constraints(frame, [], unique_keys=["id"])
+
+
+def test_a_check_that_fails_on_the_data_leaves_the_others(spark):
+    df = spark.createDataFrame([("1",), ("x",)], "v STRING")
+    checks = [{"name": "present", "type": "not_null", "column": "v"},
+              {"name": "range", "type": "value_range", "column": "v", "min": 0}]
+    got = {r["check_name"]: r["fail_count"] for r in run_checks(df, checks, "t", "b", raise_on_critical=False)}
+    assert got == {"present": 0, "range": -1}

@@ -32,3 +32,14 @@ def test_available_now_is_incremental(spark, tmp_dir):
     assert sorted((r.batch_id, r.n) for r in df.groupBy("batch_id").count().withColumnRenamed("count", "n")
                   .collect()) == [("2024-01", 3), ("2024-02", 2)]
     assert df.filter("source_file IS NULL OR ingestion_timestamp IS NULL").count() == 0
+
+
+def test_a_batch_in_several_files_stays_whole(spark, tmp_dir):
+    landing, target, ckpt = tmp_dir, scratch_path(spark, "bronze"), scratch_path(spark, "stream-ckpt")
+    _land(landing, "2024-01", 3, "a")
+    _land(landing, "2024-01", 4, "b")
+    ingest_available(spark, landing, "results", target, ckpt, max_files_per_trigger=1)
+    assert spark.read.parquet(target).count() == 7
+    _land(landing, "2024-01", 2, "c")
+    ingest_available(spark, landing, "results", target, ckpt)
+    assert spark.read.parquet(target).count() == 9

@@ -69,3 +69,27 @@ def test_update_matched_only(spark):
                               extra=lambda tc, sc: tc("status") == F.lit("in_progress"))
     assert sorted((r.batch_id, r.status) for r in out.collect()) == [
         ("b1", "completed"), ("b1", "completed"), ("b2", "in_progress")]
+
+
+def test_null_partition_values_stay(spark):
+    path = scratch_path(spark, "t-upsert")
+    for rows in ([(1, 2024, "a", "b1"), (2, None, "b", "b1")], [(3, None, "c", "b2")]):
+        upsert(spark.createDataFrame(rows, SCHEMA), path, KEYS, COLS, PART)
+    assert read(spark, path) == {1: ("a", "b1"), 2: ("b", "b1"), 3: ("c", "b2")}
+
+
+def test_text_partition_keys_keep_their_text(spark):
+    path = scratch_path(spark, "t-upsert")
+    schema = "k STRING, v STRING, batch_id STRING"
+    for v in ("a", "b"):
+        upsert(spark.createDataFrame([("007", v, "b1")], schema), path, ["k"], COLS, ["k"])
+    rows = spark.read.schema(schema).parquet(path).collect()
+    assert [(r.k, r.v) for r in rows] == [("007", "b")]
+
+
+def test_a_key_matches_in_any_partition(spark):
+    path = scratch_path(spark, "t-upsert")
+    upsert(spark.createDataFrame([(1, 2024, "a", "b1"), (2, 2024, "b", "b1")], SCHEMA), path, KEYS, COLS, PART)
+    upsert(spark.createDataFrame([(1, 2025, "new", "b2")], SCHEMA), path, KEYS, COLS, PART)
+    assert read(spark, path) == {1: ("new", "b2"), 2: ("b", "b1")}
+    assert spark.read.parquet(path).count() == 2

@@ -56,5 +56,25 @@ def test_views_are_queryable_with_sql(spark):
 def test_scale_conf_sizes_partitions():
     from gridline.session import scale_conf
     assert scale_conf(10 << 20)["spark.sql.shuffle.partitions"] == "200"
-    assert scale_conf(100 * (1 << 40))["spark.sql.shuffle.partitions"] == "50000"
+    assert scale_conf(100 * (1 << 40))["spark.sql.shuffle.partitions"] == "204800"
     assert scale_conf(1 << 40)["spark.sql.shuffle.partitions"] == "2048"
+
+
+def test_empty_rerun_and_full_replace_leave_nothing_behind(spark):
+    from gridline.sinks.writes import overwrite, replace_partition
+    path = scratch_path(spark, "t-replace")
+    df = spark.createDataFrame([(1,), (2,)], "k INT")
+    replace_partition(df, path, "b1")
+    replace_partition(df, path, "b2")
+    replace_partition(df.filter("k > 9"), path, "b1")
+    assert [r.batch_id for r in spark.read.parquet(path).select("batch_id").distinct().collect()] == ["b2"]
+    overwrite(spark.createDataFrame([(1, "x")], "k INT, p STRING"), path2 := scratch_path(spark, "t-over"), ["p"])
+    overwrite(spark.createDataFrame([(1, "y")], "k INT, p STRING"), path2, ["p"])
+    assert [r.p for r in spark.read.parquet(path2).collect()] == ["y"]
+
+
+def test_json_arrays_keep_rows_without_partition_value(spark):
+    from gridline.sinks.writes import write_json_array
+    path = scratch_path(spark, "t-arrays")
+    write_json_array(spark.createDataFrame([(1, "a"), (2, None)], "k INT, p STRING"), path, "p")
+    assert sorted(r.k for r in spark.read.schema("k INT").json(path).collect()) == [1, 2]
