@@ -9,7 +9,7 @@
    agree in 24 values share one of the first 48 - 24 + 1 of either. So only these postings are kept,
    and values that one class alone holds fill places without being posted: most classes vanish here.
 4. Skip: no list's pairs are formed as they are. Each class names the leader of most of its lists
-   (their smallest class); classes that so hang together get one reference, and each is compared in
+   (a list's smallest class, if another one); classes that so hang together get one reference, and each is compared in
    full with that one only, which gives its missing shingles M and its further ones E. Two classes of
    a reference then share |ref| - |M| - |M'| + (elements that both differences have) shingles. If
    both are linked to the reference, nothing is left to find. If one is not, a link to any other
@@ -133,7 +133,9 @@ class _Join:
         lead = stored(lead.filter("df > 1"), "minhash-leaders")
         votes = (self.spread(self.postings, lead, ["token"])
                  .groupBy("rep", "lead").agg(F.count(F.lit(1)).alias("c")))
-        best = votes.groupBy("rep").agg(F.max(F.struct("c", (-F.col("lead")).alias("lead"))).alias("best"))
+        # Of the leaders other than the class itself, the one of most lists.
+        best = (votes.filter("lead <> rep").groupBy("rep")
+                .agg(F.max(F.struct("c", (-F.col("lead")).alias("lead"))).alias("best")))
         refs = components(best.select(F.col("rep").alias("a"), (-F.col("best.lead")).alias("b")))
         p = self.postings.join(refs.withColumnRenamed("node", "rep"), "rep", "left")
         return stored(p.select("rep", "token", F.coalesce("root", "rep").alias("ref")), "minhash-referred")
