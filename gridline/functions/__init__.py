@@ -1,5 +1,4 @@
-from .columns import (batch_id, blank_to_null, default_to, full_name, negate, sentinel_replace, short_name,
-                      shorten, title_case, utc_run_id, weighted_score, zero_pad)
+from .columns import batch_id, blank_to_null, default_to, full_name, short_name, shorten, title_case, weighted_score, zero_pad
 
-__all__ = ["batch_id", "blank_to_null", "default_to", "full_name", "negate", "sentinel_replace", "short_name",
-           "shorten", "title_case", "utc_run_id", "weighted_score", "zero_pad"]
+__all__ = ["batch_id", "blank_to_null", "default_to", "full_name", "short_name", "shorten", "title_case",
+           "weighted_score", "zero_pad"]

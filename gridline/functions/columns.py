@@ -57,23 +57,6 @@ def batch_id(period, step) -> Column:
     return F.concat(_c(period).cast("string"), F.lit("-"), zero_pad(step, 2))
 
 
-def sentinel_replace(c, sentinel: str, replacement: str) -> Column:
-    """case-insensitive replacement of one sentinel value."""
-    c = _c(c)
-    return F.when(F.upper(c) == F.lit(sentinel.upper()), F.lit(replacement)).otherwise(c)
-
-
-def utc_run_id(table_name: str, batch: str) -> Column:
-    """``table__batch__yyyyMMddTHHmmss`` (UTC session)."""
-    return F.concat(F.lit(f"{table_name}__{batch}__"),
-                    F.date_format(F.current_timestamp(), "yyyyMMdd'T'HHmmss"))
-
-
-def negate(c) -> Column:
-    """F16."""
-    return F.lit(-1) * _c(c)
-
-
 def weighted_score(weights: dict[str, float]) -> Column:
     """sum of ``column * weight``."""
     expr = None

@@ -36,14 +36,6 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return out.drop(*r_alias.values())
 
 
-def lookup(df: DataFrame, ref: DataFrame, on: str | Sequence[str], cols: Sequence[str] | None = None,
-           how: str = "left") -> DataFrame:
-    """Left-outer lookup (J3/J4) keeping only the requested reference columns."""
-    on = [on] if isinstance(on, str) else list(on)
-    keep = list(cols) if cols is not None else [c for c in ref.columns if c not in on]
-    return df.join(ref.select(*on, *keep), on=on, how=how)
-
-
 def orphans(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:
     """Rows of ``df`` whose non-null ``column`` has no parent in ``ref``.
 

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from ..operators import batch as B
 from ..operators.clean import CLEAN_SPECS, clean
 from ..operators.quality import results_frame, run_checks
+from ..operators.ranking import rank_within
 from ..session import ensure_conf, scratch_path
-from ..sinks.upsert import merge_frames, newer_batch_guard, upsert
+from ..sinks.upsert import newer_batch_guard, upsert, upsert_unguarded
 from ..sinks.writes import overwrite, path_exists, replace_partition
 from ..sources import payload as P
 from ..sources.files import add_ingestion_metadata, list_landing_batches, scan_landed
@@ -223,14 +224,76 @@ SELECT season, round, constructor_id, driver_id,
 FROM ({_SILVER_RESULTS})"""))
 def _q_upsert_all(spark, sf):
     src = _clean_results(spark, sf)
-    keys = ["season", "round", "constructor_id", "driver_id"]
-    target = src.withColumns({"created_timestamp": F.current_timestamp(),
-                              "updated_timestamp": F.current_timestamp()})
+    keys, path = ["season", "round", "constructor_id", "driver_id"], scratch_path(spark, "gold-results")
     bumped = src.filter(F.col("season").isin(1997, 1998)).withColumn("points", F.col("points") + 1000) \
-        .withColumn("batch_id", F.lit("1990-01")).withColumns({"created_timestamp": F.current_timestamp(),
-                                                                "updated_timestamp": F.current_timestamp()})
-    merged = merge_frames(target, bumped, keys, ["points", "batch_id"], guard=None)
-    return merged.select(*keys, "points")
+        .withColumn("batch_id", F.lit("1990-01"))
+    for rows in (src, bumped):
+        upsert_unguarded(rows, path, keys, ["points", "batch_id"], ["season", "round"])
+    return spark.read.parquet(path).select(*keys, "points")
+
+
+@q("upsert_null_partition", """
+SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_nationkey END AS part,
+       CASE WHEN c_custkey % 2 = 0 THEN 'second' ELSE 'first' END AS said
+FROM customer""")
+def _q_upsert_null(spark, sf):
+    path = scratch_path(spark, "null-partition")
+    src = load_table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("bigint").alias("c_custkey"),
+        F.when(F.col("c_custkey") % 3 != 0, F.col("c_nationkey")).alias("part"), F.lit("first").alias("said"))
+    upsert(src, path, ["c_custkey"], ["said"], ["part"])
+    upsert(src.filter("c_custkey % 2 = 0").withColumn("said", F.lit("second")), path, ["c_custkey"], ["said"], ["part"])
+    return spark.read.parquet(path).select("c_custkey", F.col("part").cast(src.schema["part"].dataType).alias("part"), "said")
+
+
+@q("upsert_text_key", """
+SELECT lpad(n_nationkey::varchar, 3, '0') AS code, 'second' AS said FROM nation""")
+def _q_upsert_text(spark, sf):
+    path = scratch_path(spark, "text-key")
+    src = load_table(spark, sf, "nation").select(F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("code"))
+    for said in ("first", "second"):
+        upsert(src.withColumn("said", F.lit(said)), path, ["code"], ["said"], ["code"])
+    return spark.read.schema("code STRING, said STRING").parquet(path)
+
+
+@q("replace_partition_empty", "SELECT n_nationkey, 'kept' AS batch_id FROM nation")
+def _q_replace_empty(spark, sf):
+    path = scratch_path(spark, "replace-empty")
+    rows = load_table(spark, sf, "nation").select("n_nationkey")
+    for batch in ("gone", "kept"):
+        replace_partition(rows, path, batch)
+    replace_partition(rows.filter("n_nationkey < 0"), path, "gone")
+    return spark.read.parquet(path)
+
+
+@q("overwrite_partitioned", "SELECT n_nationkey, n_regionkey FROM nation WHERE n_regionkey <> 1")
+def _q_overwrite(spark, sf):
+    path = scratch_path(spark, "overwrite")
+    rows = load_table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
+    overwrite(rows, path, ["n_regionkey"])
+    overwrite(rows.filter("n_regionkey <> 1"), path, ["n_regionkey"])
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@q("rank_fractional", """
+WITH r AS (SELECT l_suppkey, sum(l_extendedprice * (1 - l_discount)) AS rev FROM lineitem GROUP BY l_suppkey)
+SELECT l_suppkey, round(rev, 2) AS rev, rank() OVER (ORDER BY rev DESC)::int AS rnk,
+       dense_rank() OVER (ORDER BY rev DESC)::int AS dense FROM r""")
+def _q_rank_fractional(spark, sf):
+    rev = load_table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
+        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("rev"))
+    ranked = rank_within(rank_within(rev, [], [("rev", "desc")], out="rnk"), [], [("rev", "desc")],
+                         method="dense_rank", out="dense")
+    return ranked.select("l_suppkey", F.round("rev", 2).alias("rev"), "rnk", "dense")
+
+
+@q("stream_ingest_two_triggers", _with(f"SELECT * EXCLUDE (date) FROM ({raw_results_sql('RACE')})"))
+def _q_stream_twice(spark, sf):
+    """One file per micro-batch: a batch's files arrive apart and its partition stays whole."""
+    out = scratch_path(spark, "bronze-stream")
+    ingest_available(spark, landed(spark, sf), "results", out, scratch_path(spark, "stream-ckpt"),
+                     max_files_per_trigger=200)
+    return spark.read.parquet(out).drop("date", "ingestion_timestamp", "source_file")
 
 
 _CONTROL = f"""

@@ -92,14 +92,14 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], upda
     return j.select(*out)
 
 
-def stored_schema(spark: SparkSession, path: str, like: DataFrame) -> StructType:
+def stored_schema(spark: SparkSession, path: str, like: DataFrame, partition_by: Sequence[str]) -> StructType:
     """The table's schema with the written types of its partition columns.
 
     Reading infers the types of partition columns from their folder names, which turns '007' into 7;
     the types of ``like``, the rows about to be written, are the ones that were written before.
     """
     found = spark.read.parquet(path).schema
-    return StructType([StructField(f.name, like.schema[f.name].dataType if f.name in like.columns else f.dataType)
+    return StructType([StructField(f.name, like.schema[f.name].dataType if f.name in partition_by else f.dataType)
                        for f in found])
 
 
@@ -123,7 +123,7 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], update_cols: Seque
     moved = sorted(set(partition_by) & set(update_cols))
     if moved:
         raise ValueError(f"partition columns {moved} can't be updated in place")
-    target = spark.read.schema(stored_schema(spark, path, final)).parquet(path)
+    target = spark.read.schema(stored_schema(spark, path, final, partition_by)).parquet(path)
     # A key matches wherever it is stored. The partitions to rewrite are those of the source's rows
     # and those that hold one of its keys; the search reads key and partition columns only.
     place = list(dict.fromkeys(partition_by))
