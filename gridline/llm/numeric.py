@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +16,15 @@ CELLS = 1 << 16            # cells of a table that travel as one row
 PARTS = "block int, cells binary"
 
 
+def give_back() -> None:
+    """Return freed memory to the system: idle worker processes keep theirs between tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def blocks_of(table: np.ndarray) -> Iterator[pd.DataFrame]:
     """Rows (block, cells) of a float table; blocks of zeros are left out."""
     flat = table.reshape(-1).astype(np.float32)
