@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 CELLS = 1 << 16            # cells of a table that travel as one row
 PARTS = "block int, cells binary"
 
@@ -49,6 +51,6 @@ def summed(parts: DataFrame, shape: tuple[int, ...], ways: int = 16) -> np.ndarr
     some = parts.withColumn("way", F.spark_partition_id() % ways).repartition("block", "way")
     rows = some.select("block", "cells").mapInPandas(_add, PARTS).repartition("block").mapInPandas(_add, PARTS)
     out = np.zeros(int(np.prod(shape)), np.float32)
-    for r in rows.toLocalIterator():
+    for r in stored(rows, "summed").toLocalIterator():
         out[r["block"] * CELLS:][:CELLS] = np.frombuffer(r["cells"], np.float32)
     return out.reshape(shape)
