@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +17,16 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
 
+PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table. Functions that run in tasks are imported by name there, so worker processes get
+    the folder of this package on their path (where it isn't installed)."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if PACKAGE_ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, PACKAGE_ROOT])
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -179,10 +179,15 @@ def posterior(patterns: np.ndarray, share: float, table: np.ndarray) -> np.ndarr
 # ---- scorer ------------------------------------------------------------------------------------
 def fit(rows: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray, epochs: int = 12, batch: int = 256,
         rate: float = 0.5, shrink: float = 1e-5, seed: int = 10) -> np.ndarray:
-    """Logistic weights per bucket, and the constant last, by adaptive gradient steps."""
+    """Logistic weights per bucket, and the constant last, by adaptive gradient steps.
+
+    A text's values add up to about 100, so single steps swing its score; the result is the average
+    of the weights over the second half of the epochs.
+    """
     weights, power = np.zeros(BUCKETS + 1), np.full(BUCKETS + 1, 1e-3)
+    total, steps = np.zeros(BUCKETS + 1), 0
     order = np.random.default_rng(seed)
-    for _ in range(epochs):
+    for epoch in range(epochs):
         mixed = order.permutation(len(rows))
         for i in range(0, len(mixed), batch):
             own = mixed[i:i + batch]
@@ -195,7 +200,10 @@ def fit(rows: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray, ep
             grad = np.bincount(where, push[text] * x) / len(own) + shrink * weights[used]
             power[used] += grad * grad
             weights[used] -= rate * grad / np.sqrt(power[used])
-    return weights
+            if 2 * epoch >= epochs:
+                total += weights
+                steps += 1
+    return total / max(steps, 1)
 
 
 def _judge(weights: dict[str, np.ndarray], threshold: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
