@@ -6,8 +6,11 @@
 2. The sketch's singular vectors span the matrix's leading directions (randomised SVD) and give each
    term a vector; a passage's is the sum of its terms'.
 3. Every window of every text is compared with every benchmark passage by cosine. The benchmark is a
-   stated query set, taken in blocks of bounded size; only pairs above ``cosine`` go on.
-4. A candidate is confirmed on the words around the window: by the longest common subsequence with
+   stated query set, taken in blocks of bounded size; pairs above ``cosine`` go on.
+4. A cosine can miss what the check would accept, short or much changed passages above all. So every
+   place that shares enough words with a passage goes on too: a common subsequence of k of a
+   passage's n words holds at least t of any n - k + t of them, so the rarest ones are counted.
+5. A candidate is confirmed on the words around the window: by the longest common subsequence with
    the whole benchmark passage, and for paraphrases, whose subsequence is shorter, also by its answer,
    the passage's last words.
 """
@@ -27,8 +30,8 @@ from .hashing import SEPARATORS, chunks, mix64, word_hashes
 from .numeric import PARTS, blocks_of, summed
 
 TERMS = 1 << 14            # hash buckets of terms
-COLUMNS = 64               # columns of the sketch
-DIMS = 64                  # latent dimensions kept
+COLUMNS = 96               # columns of the sketch
+DIMS = 96                  # latent dimensions kept
 WINDOW = 32                # words of a passage
 STRIDE = 16                # words between the windows that are compared
 ANSWER = 5                 # last words of a benchmark passage that count as its answer
@@ -106,18 +109,16 @@ def _step_sums(terms: np.ndarray, first: np.ndarray, vectors: np.ndarray) -> np.
     """The vectors' sums over each step of up to STRIDE words; a word said again there counts once."""
     size = np.diff(np.append(first, len(terms)))
     out = np.zeros((len(first), vectors.shape[1]), np.float32)
-    before: list[np.ndarray] = []
-    for j in range(STRIDE):
-        own = terms[np.minimum(first + j, len(terms) - 1)]
-        new = size > j
-        for other in before:
-            new &= own != other
-        before.append(own)
-        if new.all():
-            out += vectors[own]
-        else:
-            at = np.flatnonzero(new)
-            out[at] += vectors[own[at]]
+    none = np.vstack([vectors, np.zeros((1, vectors.shape[1]), np.float32)])     # its last row adds nothing
+    for i in range(0, len(first), 512):       # a part of the sums that stays in the cache
+        part, before = out[i:i + 512], []
+        for j in range(STRIDE):
+            own = terms[np.minimum(first[i:i + 512] + j, len(terms) - 1)].astype(np.int64)
+            new = size[i:i + 512] > j
+            for other in before:
+                new &= own != other
+            before.append(own)
+            part += none[np.where(new, own, len(vectors))]
     return out
 
 
@@ -152,7 +153,7 @@ def common_subsequence(item: list[int], words: list[int]) -> int:
 class Benchmark:
     """A block of benchmark passages: terms, and vectors of their windows."""
 
-    def __init__(self, ids: list, texts: list[str], vectors: np.ndarray):
+    def __init__(self, ids: list, texts: list[str], vectors: np.ndarray, df: np.ndarray, least: float):
         self.ids, self.terms, rows, self.of = [], [], [], []
         for i, t in zip(ids, texts):
             terms = _terms([(t or "").encode("utf-8", "surrogatepass")])[0]
@@ -168,11 +169,51 @@ class Benchmark:
         self.rows = np.array(rows, np.float32).reshape(len(rows), vectors.shape[1])
         self.size = np.array([len(t) for t in self.terms], np.int64)
         self.times = [Counter(t) for t in self.terms]
+        # Of a passage's words the rarest, and how many of these any stretch must hold that has a
+        # common subsequence of ``least`` of the words.
+        need = np.maximum(1, np.ceil(least * self.size - 1e-9)).astype(np.int64)
+        self.must = np.maximum(1, need // 2)
+        held = []
+        for i, t in enumerate(self.terms):
+            rare = sorted(t, key=lambda w: (df[w], w))[:len(t) - int(need[i]) + int(self.must[i])]
+            held += [(w, i, n) for w, n in Counter(rare).items()]
+        term, self.held, self.weight = np.array(sorted(held), np.int64).reshape(-1, 3).T
+        self.at = np.searchsorted(term, np.arange(TERMS + 1))
         self.has = np.zeros((len(self.terms), TERMS), bool)
         for own, t in zip(self.has, self.terms):
             own[t] = True
 
 
+def _shared(terms: np.ndarray, counts: np.ndarray, bench: Benchmark) -> tuple[np.ndarray, ...]:
+    """Item, text, first and last + 1 word of each stretch that holds enough of an item's rarest words.
+
+    A stretch is a run of WINDOW words and the item's length on either side, so any run of up to twice
+    the item's length lies in one. Words are counted by whole runs that the stretch touches.
+    """
+    first, ends = _passages(counts, WINDOW), np.cumsum(counts)
+    runs, items = len(first), len(bench.size)
+    known = np.flatnonzero((bench.at[1:] > bench.at[:-1])[terms])
+    run = np.searchsorted(first, known, "right") - 1
+    pair = np.unique(run * TERMS + terms[known])         # a word said again in a run counts once
+    run, term = pair // TERMS, pair % TERMS
+    size = bench.at[term + 1] - bench.at[term]
+    place = np.repeat(bench.at[term] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    table = np.bincount(bench.held[place] * runs + np.repeat(run, size), bench.weight[place], items * runs)
+    total = np.zeros((items, runs + 1), np.int32)
+    np.cumsum(table.reshape(items, runs), axis=1, out=total[:, 1:], dtype=np.int32)
+    text = np.searchsorted(ends, first, "right")
+    begin, end = np.searchsorted(text, text, "left"), np.searchsorted(text, text, "right")
+    reach, found = -(-bench.size // WINDOW), []
+    for r in np.unique(reach):
+        own = np.flatnonzero(reach == r)
+        low, high = np.maximum(begin, np.arange(runs) - r), np.minimum(end, np.arange(runs) + r + 1)
+        i, k = np.nonzero(total[own][:, high] - total[own][:, low] >= bench.must[own][:, None])
+        found.append((own[i], k))
+    item, k = (np.concatenate(x) for x in zip(*found))
+    low = np.maximum(ends[text[k]] - counts[text[k]], first[k] - bench.size[item])
+    return item, text[k], low, np.minimum(ends[text[k]], first[k] + WINDOW + bench.size[item])
+
+
 def _finder(bench: Benchmark, vectors: np.ndarray, cosine: float, verbatim: float, paraphrase: float
             ) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def check(item: int, terms: np.ndarray) -> tuple[float, float]:
@@ -203,7 +244,7 @@ def _finder(bench: Benchmark, vectors: np.ndarray, cosine: float, verbatim: floa
                 new = np.ones(len(at), bool)
                 new[1:] = (item[1:] != item[:-1]) | (d[1:] != d[:-1]) | (at[1:] > at[:-1] + WINDOW + reach[1:])
                 lead = np.flatnonzero(new)
-                last = np.append(lead[1:], len(at)) - 1
+                last = np.append(lead[1:], len(at))[:len(lead)] - 1
                 low = np.maximum(ends[d[lead]] - counts[d[lead]], at[lead] - reach[lead])
                 high = np.minimum(ends[d[lead]], at[last] + WINDOW + reach[lead])
                 close = np.maximum.reduceat(close, lead) if len(lead) else close
@@ -212,6 +253,11 @@ def _finder(bench: Benchmark, vectors: np.ndarray, cosine: float, verbatim: floa
                     share, answer = check(i, terms[a:b])
                     if share >= verbatim or share >= paraphrase and answer >= 0.8:
                         best[k, i] = max(best.get((k, i), ()), (share, answer, c))
+                for i, k, a, b in zip(*(x.tolist() for x in _shared(terms, counts, bench))):
+                    share, answer = check(i, terms[a:b])
+                    if share >= verbatim or share >= paraphrase and answer >= 0.8:
+                        c = float(like[np.searchsorted(first, a):np.searchsorted(first, b)][:, bench.of == i].max(initial=-1))
+                        best[k, i] = max(best.get((k, i), ()), (share, answer, c))
                 out += [(ids[k], fps[k], bench.ids[i], *v) for (k, i), v in best.items()]
             frame = pd.DataFrame(out, columns=["doc_id", "text_hash", "item_id", "lcs_share", "answer_share", "cosine"])
             yield frame.astype({"doc_id": "Int64", "item_id": "Int64"})
@@ -221,7 +267,7 @@ def _finder(bench: Benchmark, vectors: np.ndarray, cosine: float, verbatim: floa
 FOUND = "doc_id bigint, text_hash bigint, item_id bigint, lcs_share double, answer_share double, cosine double"
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.45, verbatim: float = 0.8,
+def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.42, verbatim: float = 0.8,
                  paraphrase: float = 0.6) -> DataFrame:
     """(doc_id, text_hash, item_id, lcs_share, answer_share, cosine): documents holding a benchmark passage.
 
@@ -243,7 +289,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.45, ve
     out = None
     for b in range(blocks):
         rows = passages.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id").collect()
-        bench = Benchmark([r["item_id"] for r in rows], [r["text"] for r in rows], vectors)
+        bench = Benchmark([r["item_id"] for r in rows], [r["text"] for r in rows], vectors, sketch[:, COLUMNS],
+                          min(verbatim, paraphrase))
         found = feed.mapInPandas(_finder(bench, vectors, cosine, verbatim, paraphrase), FOUND)
         out = found if out is None else out.unionByName(found)
     return out
