@@ -51,3 +51,17 @@ def test_op9_texts_without_a_near_window(spark):
     for cosine in (0.42, 2.0):      # no pair at all is this near
         found = lsa_decontam.contaminated(docs, items, cosine=cosine).collect()
         assert [(r.doc_id, r.item_id, r.lcs_share) for r in found] == [(2, 1, 1.0)]
+
+
+def test_op4_languages_without_trusted_text_are_judged_by_their_text(spark):
+    from gridline.llm import quality_llr
+    good = [" ".join(f"{w}{i}" for w in ("house", "river", "garden", "window")) + " stands by these quiet old green hills" for i in range(60)]
+    junk = [" ".join(f"{w}{i}" for w in ("zzxq", "qqwk", "xxvb", "kkjh")) + " xkcdz qzwxv bbnmq vvvxz wqzzk jjxqw" for i in range(60)]
+    rows = [(i, t, "en") for i, t in enumerate(good + junk)]
+    rows += [(1000 + i, t, lang) for i, (t, lang) in enumerate((t, lang) for lang in (None, "pl") for t in good[:20])]
+    rows += [(2000 + i, t, lang) for i, (t, lang) in enumerate((t, lang) for lang in (None, "pl") for t in junk[:20])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    trusted = spark.createDataFrame([(i,) for i in range(0, 60)], "doc_id bigint")
+    got = {r.doc_id: r.kept for r in quality_llr.judge(docs, quality_llr.fit_weights(docs, trusted)).collect()}
+    assert all(got[i] == (i < 60) for i in range(120))
+    assert all(got[1000 + i] and not got[2000 + i] for i in range(40))
