@@ -1,7 +1,9 @@
 """HTML extraction by wrapper induction over pages of a host.
 
-Pages of a host meet in blocks of up to ``BLOCK`` pages (a stream sorted by host, so memory is a
-block's whatever the host's size; hosts with many pages are dealt over several tasks). Within a block the
+Pages of a host meet in blocks of ``BLOCK`` pages and up to twice as many for the host's last block
+(a stream sorted by host, so memory is a block's whatever the host's size; hosts with many pages are
+dealt over several tasks, each with several blocks). So a block is smaller only if all pages of its
+host are in it. Within a block the
 pages' DOM trees are aligned with a reference page's by simple tree matching: the most node pairs
 that keep tags, order and ancestry. A reference node whose text is the same in nearly all pages that
 have it is template, the others are slots. Near copies say nothing about templates, so only pages
@@ -173,11 +175,18 @@ def _find(node: Node, tag: str, found: list[Node]) -> list[Node]:
 
 
 def content_root(root: Node) -> tuple[Node, bool]:
-    """The longest article, else main, else the whole page; and whether the page marks it itself."""
+    """All articles, else main, else the whole page; and whether the page marks it itself.
+
+    Readers' parts are pruned before. Several articles stand together below one node, in page order.
+    """
     for tag in ("article", "main"):
         found = _find(root, tag, [])
+        if len(found) > 1:
+            both = Node(tag)
+            both.children = list(found)
+            return both, True
         if found:
-            return max(found, key=lambda n: sum(map(len, blocks(n)))), True
+            return found[0], True
     return root, False
 
 
@@ -322,9 +331,12 @@ def _extract_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     rows, host = [], None
     for batch in batches:
         for own, page_id, url, html in batch[["__host", "page_id", "url", "html"]].itertuples(index=False):
-            if rows and (own != host or len(rows) == BLOCK):
+            if rows and own != host:
                 yield done(rows)
                 rows = []
+            elif len(rows) == 2 * BLOCK:      # what is left goes on with the pages that follow
+                yield done(rows[:BLOCK])
+                rows = rows[BLOCK:]
             host = own
             rows.append((None if pd.isna(page_id) else int(page_id), url, html))
     if rows:
@@ -345,7 +357,7 @@ def main_texts(pages: DataFrame, parts: int = 1000) -> DataFrame:
     p = p.withColumn("__host", host)
     sizes = p.groupBy("__host").agg(F.count(F.lit(1)).alias("n"))
     total = pages.count()
-    share = max(BLOCK, -(-total // parts))
+    share = max(4 * BLOCK, -(-total // parts))     # so that hardly a task is dealt less than a block
     hot = sizes.filter(F.col("n") > share).select("__host", F.ceil(F.col("n") / share).cast("int").alias("__salts"))
     dealt = p.join(F.broadcast(hot), "__host", "left").withColumn(
         "__salt", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("__salts", F.lit(1))).cast("int"))

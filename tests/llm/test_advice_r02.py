@@ -65,3 +65,22 @@ def test_op4_languages_without_trusted_text_are_judged_by_their_text(spark):
     got = {r.doc_id: r.kept for r in quality_llr.judge(docs, quality_llr.fit_weights(docs, trusted)).collect()}
     assert all(got[i] == (i < 60) for i in range(120))
     assert all(got[1000 + i] and not got[2000 + i] for i in range(40))
+
+
+@pytest.mark.parametrize("n", [64 + 1, 64 + 5, 2 * 64 + 7, 320])
+def test_op5_every_page_of_a_host_has_a_whole_block_to_compare_with(spark, n):
+    from gridline.llm import html_wrapper
+    rng = random.Random(n)
+    said = [" ".join(rng.choice("abcdefgh") * 3 + str(rng.randrange(10**6)) for _ in range(30)) for _ in range(n)]
+    rows = [(i, f"http://h/{i}", f"<article><h2>{t.split()[0]}</h2><p>{t}</p><blockquote>Read more on our site</blockquote></article>")
+            for i, t in enumerate(said)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in html_wrapper.main_texts(pages).collect()}
+    assert got == {i: f"{t.split()[0]} {t}" for i, t in enumerate(said)}
+
+
+def test_op5_keeps_all_articles():
+    from gridline.llm import html_wrapper
+    page = ("<main><article><h1>One</h1><p>first text</p></article><article><p>second one</p></article></main>"
+            "<div class=comments><article>a reader's</article></div>")
+    assert html_wrapper.extract([page]) == ["One first text second one"]
