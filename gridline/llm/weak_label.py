@@ -8,7 +8,8 @@
 3. The posterior labels of a bounded sample train a logistic scorer over hashed word features and the
    votes; it judges every document by its whole text, also where no labeller of weight speaks.
 Quality and tone are separate questions with labellers and scorers of their own: a well-formed text
-may be toxic. A document is kept if both scorers take it for good.
+may be toxic. Tone is judged by the worst window of a text's words, as a passage may be toxic in a long
+text that is civil elsewhere. A document is kept if both scorers take it for good.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ HEURISTICS = tuple(n for names in TASKS.values() for n in names[:-1])
 GIVEN_ERROR = 0.001        # share of the given labels that may be taken for wrong
 BUCKETS = 1 << 16
 SCALE, FEW = 50.0, 40      # a feature is its share of the text's words (FEW at least) times SCALE
+WINDOW = 250               # words of a window; a text's last one takes what is left
 _INSULTS = np.sort(word_hashes([INSULTS.encode()])[0])
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>{}[]^~=@\\"]] = True
@@ -56,6 +58,25 @@ class Texts:
         """Share of each text's words that are flagged."""
         return np.bincount(self.of, flags, self.n) / np.maximum(self.count, 1)
 
+    def windows(self) -> "Texts":
+        """The same words with each window as a text of its own; ``owner`` names each window's text."""
+        out = object.__new__(Texts)
+        out.__dict__.update(self.__dict__)
+        per = np.maximum(1, self.count // WINDOW)
+        base = np.cumsum(per) - per
+        place = np.arange(len(self.of)) - (np.cumsum(self.count) - self.count)[self.of]
+        out.of = base[self.of] + np.minimum(place // WINDOW, per[self.of] - 1)
+        out.n, out.owner = int(per.sum()), np.repeat(np.arange(self.n), per)
+        out.count = np.bincount(out.of, minlength=out.n)
+        return out
+
+    def _worst(self, flags: np.ndarray) -> np.ndarray:
+        """Share of flagged words in each text's worst window; one word alone is none in a long text."""
+        w = self.windows()
+        hits = np.bincount(w.of, flags, w.n)
+        share = np.where((hits > 1) | (self.count[w.owner] < 2 * WINDOW), hits / np.maximum(w.count, 1), 0.0)
+        return np.maximum.reduceat(share, np.searchsorted(w.owner, np.arange(self.n))) if self.n else share
+
     def _per_word(self, table: np.ndarray) -> np.ndarray:
         """How many of each word's bytes the table marks."""
         total = np.concatenate([[0], np.cumsum(table[self.bytes], dtype=np.int64)])
@@ -75,10 +96,11 @@ class Texts:
         symbol, table = self._share(symbols > 0), self._share((symbols == 1) & (size == 1))
         upper, stutter = self._share((capitals > 1) & (small == 0)), self._share(same)
         bang, insult = self._share(self._per_word(_BANG) > 0), self._share(_member(self.words, _INSULTS))
+        worst = np.maximum(insult, self._worst(_member(self.words, _INSULTS)))
         plain = (symbol < 0.05) & (upper < 0.2) & (stutter < 0.05) & (bang < 0.2)
         some = self.count > 0
         bad = {"symbols": symbol > 0.2, "table": table > 0.15, "capitals": upper > 0.4, "stutter": stutter > 0.2,
-               "poor": distinct < 0.4 * usual, "shouting": bang > 0.3, "insult": insult > 0.002}
+               "poor": distinct < 0.4 * usual, "shouting": bang > 0.3, "insult": worst > 0.002}
         good = {"prose": plain & some, "rich": plain & (distinct > 0.7 * usual) & some,
                 "civil": plain & (insult == 0) & (self.count >= 1000)}
         return np.stack([np.where(bad[n], BAD, NONE) if n in bad else np.where(good[n], GOOD, NONE)
@@ -94,9 +116,10 @@ class Texts:
         for k in range(2):
             at = np.maximum(self.end - 1 - k, 0)
             tail = tail * np.uint64(256) + np.where(self.end - 1 - k >= self.first, self.bytes[at].astype(np.uint64), np.uint64(0))
-        keys = np.concatenate([head * np.uint64(4), tail * np.uint64(4) + np.uint64(1)])
+        whole = mix64(self.words) * np.uint64(4) + np.uint64(3)
+        keys = np.concatenate([head * np.uint64(4), tail * np.uint64(4) + np.uint64(1), whole])
         bucket = (mix64(keys) >> np.uint64(48)).astype(np.int64)
-        pair = np.concatenate([self.of, self.of]) * BUCKETS + bucket
+        pair = np.concatenate([self.of, self.of, self.of]) * BUCKETS + bucket
         pair.sort()
         at = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.zeros(0, np.int64)
         times, pair = np.diff(np.append(at, len(pair))), pair[at]
@@ -212,8 +235,17 @@ def _judge(weights: dict[str, np.ndarray], threshold: float) -> Callable[[Iterat
             scores: list[np.ndarray] = []
             for part in chunks(batch["text"].tolist()):
                 t = Texts(part)
-                text, bucket, value = t.features(t.votes())
-                scores.append(np.stack([np.bincount(text, w[bucket] * value, t.n) + w[-1] for w in weights.values()]))
+                votes = t.votes()
+                own, parts = t.features(votes), t.windows()
+                # A window has its own words and the votes on its text.
+                small = parts.features(votes[parts.owner]) if parts.n > t.n else own
+                rows = []
+                for task, w in weights.items():
+                    text, bucket, value = small if task == "tone" else own
+                    row = np.bincount(text, w[bucket] * value, parts.n if task == "tone" else t.n) + w[-1]
+                    rows.append(np.minimum.reduceat(row, np.searchsorted(parts.owner, np.arange(t.n)))
+                                if task == "tone" else row)
+                scores.append(np.stack(rows))
             score = np.concatenate(scores, 1) if scores else np.zeros((len(weights), 0))
             p = 1 / (1 + np.exp(-np.clip(score, -50, 50)))
             out = {"doc_id": batch["doc_id"].astype("Int64"), "fp": batch["fp"]}

@@ -84,3 +84,22 @@ def test_op5_keeps_all_articles():
     page = ("<main><article><h1>One</h1><p>first text</p></article><article><p>second one</p></article></main>"
             "<div class=comments><article>a reader's</article></div>")
     assert html_wrapper.extract([page]) == ["One first text second one"]
+
+
+def test_op10_recall_of_toxic_documents_and_passages(spark):
+    from gridline.llm import weak_label
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    texts = {r.doc_id: r.text for r in docs.filter("text is not null").collect()}
+    told = {r.doc_id: (r.quality, r.toxic) for r in labels.collect() if r.doc_id in texts}
+    held = lambda kind: [i for i in sorted(told) if i % 4 == 0 and told[i] == kind]
+    rng, rows = random.Random(1), []
+    for i in held((1, 1)):      # a toxic text within a civil one of some thousand words, and that one alone
+        host = " ".join(texts[k] for k in rng.sample(held((1, 0)), 12)).split()
+        cut = rng.randrange(len(host))
+        rows += [(10**7 + i, " ".join([*host[:cut], texts[i], *host[cut:]])), (2 * 10**7 + i, " ".join(host))]
+    more = docs.unionByName(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    kept = {r.doc_id: r.kept for r in weak_label.classify(more, labels.filter("doc_id % 4 <> 0")).collect()}
+    share = lambda ids: np.mean([kept[i] for i in ids])
+    assert share(held((1, 1))) <= 0.09 and share(held((1, 0))) > 0.97
+    assert share([10**7 + i for i in held((1, 1))]) < 0.5 and share([2 * 10**7 + i for i in held((1, 1))]) > 0.97
