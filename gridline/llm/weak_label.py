@@ -158,7 +158,7 @@ def _sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             cuts = np.searchsorted(text[order], np.arange(1, t.n))
             for b, v in zip(np.split(bucket[order], cuts), np.split(value[order], cuts)):
                 rows.append((batch["doc_id"].iloc[at], batch["fp"].iloc[at], b.astype(np.uint16).tobytes(),
-                             v.astype(np.float32).tobytes()))
+                             v.astype(np.float16).tobytes()))
                 at += 1
         yield pd.DataFrame(rows, columns=["doc_id", "fp", "buckets", "vals"]).astype({"doc_id": "Int64"})
 
@@ -298,7 +298,7 @@ def classify(docs: DataFrame, labels: DataFrame, max_train: int = 30_000, thresh
                   .select("buckets", "vals", *names, F.xxhash64("fp", "doc_id").alias("order")).toPandas())
         sample = sample.sort_values(["order", "buckets"]).reset_index(drop=True)
         weights[task] = fit([np.frombuffer(b, np.uint16) for b in sample["buckets"]],
-                            [np.frombuffer(v, np.float32) for v in sample["vals"]],
+                            [np.frombuffer(v, np.float16) for v in sample["vals"]],
                             posterior(sample[list(names)].to_numpy(np.int64), share, table))
     return d.mapInPandas(_judge(weights, threshold),
                          "doc_id bigint, fp bigint, p_quality double, p_tone double, kept boolean")
