@@ -4,7 +4,7 @@
    signature of ``COORDS`` minima. Texts of equal sets are one class, standing for all copies.
 2. Each class is posted under every (coordinate, value) of its signature. Two classes with a
    Jaccard similarity of 0.75 agree in 36 of 48 coordinates on average, and in fewer than
-   ``MATCHES`` = 24 in about 1 of 60,000 cases.
+   ``MATCHES`` = 24 in about 1 of 19,400 cases.
 3. Prefix: with all values ordered by how many classes hold them, rarest first, two classes that
    agree in 24 values share one of the first 48 - 24 + 1 of either. So only these postings are kept,
    and values that one class alone holds fill places without being posted: most classes vanish here.
