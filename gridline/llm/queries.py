@@ -13,8 +13,10 @@ from .lsa_decontam import contaminated
 from .minhash_join import near_duplicates
 from .mix_lm import score_documents
 from .mixing import plan_mix
+from .periodic_runs import digest, periodic_runs
 from .quality_llr import BASE, fit_weights, judge, trusted_ids
 from .secret_ledger import BASE_RULES, RULES, find_secrets, spans_text
+from .spelling import variant_groups
 from .token_blocks import read_documents, write_tokens
 from .weak_label import classify
 
@@ -195,6 +197,16 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "p_quality", "p_tone", "kept")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_conf(spark)
+    return variant_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_conf(spark)
+    return digest(periodic_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), plant=True))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_blocks": op2_token_blocks,
@@ -206,6 +218,8 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLES = {
