@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_conf
 from .common import table
 from .html_wrapper import main_texts
+from .jaccard_join import similar_documents
 from .line_dedup import dedup_lines
 from .lsa_decontam import contaminated
 from .minhash_join import near_duplicates
@@ -207,6 +208,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(periodic_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), plant=True))
 
 
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_conf(spark)
+    return similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_blocks": op2_token_blocks,
@@ -220,6 +226,7 @@ QUERIES = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_ngram_jaccard_join": op13_ngram_jaccard_join,
 }
 
 ORACLES = {
