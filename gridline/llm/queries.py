@@ -14,6 +14,7 @@ from .lsa_decontam import contaminated
 from .minhash_join import near_duplicates
 from .mix_lm import score_documents
 from .mixing import plan_mix
+from .oracle_sql import OP11_SQL, OP12_SQL, OP13_SQL
 from .periodic_runs import digest, periodic_runs
 from .quality_llr import BASE, fit_weights, judge, trusted_ids
 from .secret_ledger import BASE_RULES, RULES, find_secrets, spans_text
@@ -234,4 +235,7 @@ ORACLES = {
     "op3_mix_sources": OP3_SQL,
     "op7_secret_scans": _op7_sql(),
     "op8_minhash_near_dedup": OP8_SQL,
+    "op11_spelling_variants": OP11_SQL,
+    "op12_periodic_runs": OP12_SQL,
+    "op13_ngram_jaccard_join": OP13_SQL,
 }

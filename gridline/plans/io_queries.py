@@ -18,6 +18,7 @@ from ..operators.clean import CLEAN_SPECS, clean
 from ..operators.quality import results_frame, run_checks
 from ..operators.ranking import rank_within
 from ..session import ensure_conf, scratch_path
+from ..sinks.snapshots import append_table, overwrite_table, read_table, upsert_table
 from ..sinks.upsert import newer_batch_guard, upsert, upsert_unguarded
 from ..sinks.writes import overwrite, path_exists, replace_partition
 from ..sources import payload as P
@@ -399,7 +400,7 @@ def _q_backfill(spark, sf):
     lake = PL.Lake(scratch_path(spark, "lake"))
     t = {n: load_table(spark, sf, n) for n in ("nation", "region")}
     PL.backfill(spark, landed(spark, sf), lake, nationality_region(t["nation"], t["region"]))
-    return spark.read.parquet(lake.gold("fact_session_results")).drop("created_timestamp", "updated_timestamp")
+    return read_table(spark, lake.gold("fact_session_results")).drop("created_timestamp", "updated_timestamp")
 
 
 @q("stream_ingest", _with(f"SELECT * EXCLUDE (date) FROM ({raw_results_sql('RACE')})"))

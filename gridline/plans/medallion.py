@@ -2,14 +2,15 @@
 
 Every step works on one batch (``batch_id``) or, for a backfill, on all landed
 batches at once (``batch_id=None``): the same DataFrame jobs then process every
-batch in one pass instead of a driver loop over batches. Tables are path-based
-parquet folders under ``lake``.
+batch in one pass instead of a driver loop over batches. Raw tables are parquet folders
+under ``lake`` with a partition per batch; cleaned, star, control and audit tables are
+versioned (``sinks.snapshots``), so a reader never sees half a write. Runs claim their batch
+and record finished steps in a ledger (``sinks.ledger``): a retry goes on where a run failed.
 """
 
 from __future__ import annotations
 
-import threading
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -21,8 +22,10 @@ from ..operators import model as M
 from ..operators.clean import CLEAN_SPECS, clean, dedupe_keep_first
 from ..operators.quality import check_suites, constraint_suites, run_checks
 from ..session import checkpoint_root
-from ..sinks.upsert import newer_batch_guard, upsert, with_key_bucket
-from ..sinks.writes import append, overwrite, overwrite_partitions, path_exists, replace_partition
+from ..sinks.ledger import claim, finished_steps, run_step
+from ..sinks.snapshots import append_table, overwrite_table, read_table, table_exists, update_table, upsert_table, version
+from ..sinks.upsert import BUCKET, newer_batch_guard, with_key_bucket
+from ..sinks.writes import overwrite_partitions, replace_partition
 from ..sources.files import add_ingestion_metadata, list_landing_batches, scan_landed
 
 DATASETS = ("circuits", "races", "constructors", "drivers", "results", "sprints")
@@ -31,9 +34,9 @@ CLEAN_LEVELS = (("circuits", "constructors", "drivers"), ("races", "results", "s
 KEYS = {"circuits": ["circuit_id"], "races": ["season", "round"], "constructors": ["constructor_id"],
         "drivers": ["driver_id"], "results": ["season", "round", "constructor_id", "driver_id"],
         "sprints": ["season", "round", "constructor_id", "driver_id"]}
-# Partitioning of the cleaned tables: results by their (season, round) key part, the
-# others by a hash bucket of the key, so an upsert rewrites only touched partitions.
-SILVER_BUCKETS = 16
+# Partitioning of the cleaned tables: results by their (season, round) key part, the others by a hash
+# bucket of the key, so an upsert rewrites only touched partitions. A table gets a bucket per so many rows.
+BUCKET_ROWS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -53,13 +56,17 @@ class Lake:
     def control(self) -> str:
         return f"{self.root}/control/batch_control"
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/control/batch_steps"
+
     @property
     def audit(self) -> str:
         return f"{self.root}/silver/data_quality_results"
 
 
 def _partitioning(name: str) -> list[str]:
-    return ["season", "round"] if name in ("results", "sprints", "races") else ["key_bucket"]
+    return ["season", "round"] if name in ("results", "sprints", "races") else [BUCKET]
 
 
 # --- raw ("bronze") ---------------------------------------------------------------------
@@ -87,21 +94,36 @@ KEYS_RAW = {"circuits": ["circuitId"], "races": ["season", "round"], "constructo
             "sprints": ["season", "round", "constructorId", "driverId"]}
 
 
-_AUDIT_LOCK = threading.Lock()
+def upsert_bucketed(df: DataFrame, path: str, keys: Sequence[str], update_cols: Sequence[str],
+                    bucket_rows: int = BUCKET_ROWS, **kw) -> None:
+    """Upsert into a table partitioned by hash buckets of its key, whose number follows its size.
 
+    The number is kept with the table. Once its rows are four times what the buckets are meant for, the
+    whole table is dealt anew, to twice as many buckets as needed: that costs a rewrite each time
+    the table has grown by some factor, and a bucket stays of one size.
+    """
+    spark = df.sparkSession
+    v = version(spark, path)
+    if v is None:
+        buckets = _buckets_for(df.count(), bucket_rows)
+    else:
+        buckets, rows = int(v.properties["buckets"]), read_table(spark, path).count()
+        if rows > 4 * buckets * bucket_rows:
+            buckets = _buckets_for(2 * rows, bucket_rows)
+            overwrite_table(with_key_bucket(read_table(spark, path).drop(BUCKET), keys, buckets), path, [BUCKET],
+                            {"buckets": str(buckets)})
+    upsert_table(with_key_bucket(df, keys, buckets), path, keys, update_cols, [BUCKET], key_decides=True,
+                 properties={"buckets": str(buckets)}, **kw)
 
-def _append_audit(rows: DataFrame, path: str) -> None:
-    """Appends to one folder must not overlap (they share its ``_temporary`` staging area)."""
-    with _AUDIT_LOCK:
-        append(rows, path)
+
+def _buckets_for(rows: int, bucket_rows: int) -> int:
+    return max(1, -(-rows // bucket_rows))
 
 
 def clean_table(spark: SparkSession, lake: Lake, name: str, batch_id: str | None,
                 raise_on_critical: bool = True) -> list[dict]:
     """T-n: clean → quality suite (audited, may raise) → guarded upsert with the table's constraints."""
     df = cleaned(spark, lake, name, batch_id)
-    if name not in ("results", "sprints", "races"):
-        df = with_key_bucket(df, KEYS[name], SILVER_BUCKETS)
     # the checks, the constraint test and the write all read this one materialization
     # (shared checkpoint folder), instead of re-running scan + dedupe + clean three times
     df = df.checkpoint(eager=True)
@@ -109,17 +131,20 @@ def clean_table(spark: SparkSession, lake: Lake, name: str, batch_id: str | None
     def parent(ref: str) -> DataFrame:
         tbl = ref.split(".")[-1]
         p = lake.silver(tbl)
-        if not path_exists(spark, p):
+        if not table_exists(spark, p):
             raise LookupError(f"Table or view not found: {ref}")
-        return spark.read.parquet(p)
+        return read_table(spark, p)
 
     results = run_checks(df, check_suites()[name], lake.silver(name), batch_id or "*", ref_tables=parent,
                          raise_on_critical=raise_on_critical,
-                         audit=lambda r: _append_audit(r, lake.audit))
+                         audit=lambda r: append_table(r, lake.audit))
     spec_cols = [c for c in df.columns if c not in KEYS[name] and c not in _partitioning(name)]
     # the suite's critical `unique` check has already refused duplicate keys
-    upsert(df, lake.silver(name), KEYS[name], spec_cols, _partitioning(name), guard=newer_batch_guard,
-           constraints=constraint_suites()[name], check_unique=False)
+    kw = {"guard": newer_batch_guard, "constraints": constraint_suites()[name], "check_unique": False}
+    if _partitioning(name) == [BUCKET]:
+        upsert_bucketed(df, lake.silver(name), KEYS[name], spec_cols, **kw)
+    else:
+        upsert_table(df, lake.silver(name), KEYS[name], spec_cols, _partitioning(name), **kw)
     return results
 
 
@@ -127,7 +152,7 @@ def clean_table(spark: SparkSession, lake: Lake, name: str, batch_id: str | None
 def gold_frames(spark: SparkSession, lake: Lake, batch_id: str | None,
                 ref_region: DataFrame) -> dict[str, DataFrame]:
     def silver(name: str) -> DataFrame:
-        df = spark.read.parquet(lake.silver(name))
+        df = read_table(spark, lake.silver(name))
         return df if batch_id is None else df.filter(F.col("batch_id") == batch_id)
 
     races, circuits = silver("races"), silver("circuits")
@@ -154,13 +179,14 @@ def build_gold_tables(spark: SparkSession, lake: Lake, batch_id: str | None, ref
     def one(item):
         name, df = item
         keys = GOLD_KEYS[name]
-        part = ["season", "round"] if "round" in keys else ["key_bucket"]
-        if part == ["key_bucket"]:
-            df = with_key_bucket(df, keys, SILVER_BUCKETS)
+        part = ["season", "round"] if "round" in keys else [BUCKET]
         cols = [c for c in df.columns if c not in keys and c not in part]
         # the fact's key is unique by construction: checked cleaned keys + a literal session type
-        upsert(df, lake.gold(name), keys, cols, part, guard=None,
-               check_unique=name != "fact_session_results")
+        kw = {"guard": None, "check_unique": name != "fact_session_results"}
+        if part == [BUCKET]:
+            upsert_bucketed(df, lake.gold(name), keys, cols, **kw)
+        else:
+            upsert_table(df, lake.gold(name), keys, cols, part, **kw)
     _run_all(one, list(gold_frames(spark, lake, batch_id, ref_region).items()), parallel)
 
 
@@ -172,7 +198,7 @@ def _run_all(fn, items, parallel: int) -> list:
 
 # --- batch control and the whole run ------------------------------------------------------
 def control_table(spark: SparkSession, lake: Lake) -> DataFrame:
-    return spark.read.parquet(lake.control) if path_exists(spark, lake.control) else B.empty_control(spark)
+    return read_table(spark, lake.control) if table_exists(spark, lake.control) else B.empty_control(spark)
 
 
 def next_batch_id(spark: SparkSession, landing: str, lake: Lake) -> str | None:
@@ -182,29 +208,45 @@ def next_batch_id(spark: SparkSession, landing: str, lake: Lake) -> str | None:
 
 
 def start_batch(spark: SparkSession, lake: Lake, batch_id: str) -> None:
-    append(B.start_row(spark, batch_id), lake.control)
+    append_table(B.start_row(spark, batch_id), lake.control)
 
 
 def complete_batch(spark: SparkSession, lake: Lake, batch_id: str) -> None:
-    """M3: rewrite the (small) control table with the batch's in_progress rows completed."""
-    updated = B.complete_rows(control_table(spark, lake), batch_id).checkpoint(eager=True)
-    overwrite(updated, lake.control)
+    """M3 by K10: the batch's in_progress rows of the control table become completed, nothing else changes."""
+    done = (spark.createDataFrame([(batch_id, B.COMPLETED)], "batch_id STRING, status STRING")
+            .withColumn("updated_timestamp", F.current_timestamp()))
+    update_table(done, lake.control, ["batch_id"], ["status", "updated_timestamp"],
+                 extra=lambda t, s: t("status") == B.IN_PROGRESS)
 
 
 def run_batch(spark: SparkSession, landing: str, lake: Lake, batch_id: str | None, ref_region: DataFrame,
-              parallel_loads: int = 3, control: bool = True) -> list[dict]:
-    """M5: six loads (in parallel) → six cleans (parents first) → dims + fact → complete."""
+              parallel_loads: int = 3, control: bool = True, retry: bool = False) -> list[dict]:
+    """M5: six loads (in parallel) → six cleans (parents first) → dims + fact → complete.
+
+    A batch is claimed first; one that another run has claimed is refused. A batch whose run failed
+    stays claimed (and in_progress) until it is run with ``retry``, which takes it over and goes
+    on with the first step that isn't recorded as finished.
+    """
     checkpoint_root(spark)
-    if control and batch_id is not None:
-        start_batch(spark, lake, batch_id)
-    _run_all(lambda n: load_raw(spark, landing, lake, n, batch_id), DATASETS, parallel_loads)
+    tracked = control and batch_id is not None
+    step: Callable = lambda name, work: work()
+    if tracked:
+        run = claim(spark, lake.ledger, batch_id, retry)
+        done = finished_steps(spark, lake.ledger, batch_id)
+
+        def step(name, work):
+            return [] if name in done else run_step(spark, lake.ledger, run, name, work)
+
+        step("start", lambda: start_batch(spark, lake, batch_id))
+    _run_all(lambda n: step(f"load {n}", lambda: load_raw(spark, landing, lake, n, batch_id)), DATASETS, parallel_loads)
     dq: list[dict] = []
     for level in CLEAN_LEVELS:
-        for res in _run_all(lambda n: clean_table(spark, lake, n, batch_id), level, parallel_loads):
+        for res in _run_all(lambda n: step(f"clean {n}", lambda: clean_table(spark, lake, n, batch_id)), level,
+                            parallel_loads):
             dq += res
-    build_gold_tables(spark, lake, batch_id, ref_region)
-    if control and batch_id is not None:
-        complete_batch(spark, lake, batch_id)
+    step("star schema", lambda: build_gold_tables(spark, lake, batch_id, ref_region))
+    if tracked:
+        step("complete", lambda: complete_batch(spark, lake, batch_id))
     return dq
 
 
@@ -224,3 +266,12 @@ def run_pending(spark: SparkSession, landing: str, lake: Lake, ref_region: DataF
         run_batch(spark, landing, lake, b, ref_region)
         done.append(b)
     return done
+
+
+def retry_failed(spark: SparkSession, landing: str, lake: Lake, ref_region: DataFrame) -> list[str]:
+    """Take over every batch that is still in_progress, oldest first (a list of open runs, not of data)."""
+    rows = control_table(spark, lake).filter(F.col("status") == B.IN_PROGRESS).select("batch_id").distinct()
+    ids = sorted(r["batch_id"] for r in rows.collect())
+    for b in ids:
+        run_batch(spark, landing, lake, b, ref_region, retry=True)
+    return ids
