@@ -180,7 +180,9 @@ class _Join:
         rows = rows.filter("keys is not null").withColumn("held", F.size("keys"))
         tokens = rows.select("rep", "n", "slot", "exact", "held", F.explode("keys").alias("key"))
         lists = stored(tokens.groupBy("key").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "jaccard-lists")
-        found = stored(spread_join(tokens, lists, ["key"], "df", _total(lists, "df"), F.col("rep")), "jaccard-tokens")
+        # Most keys are of one class and go here; a key of very many is a skewed one of this join, which
+        # adaptive execution splits, as the other side holds it once.
+        found = stored(tokens.join(lists, "key"), "jaccard-tokens")
         # Rarest first; keys that a class alone holds come before and take their places unposted.
         by = ["rep", "n", "slot", "held"]
         t = (found.filter("exact").groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("t")))
