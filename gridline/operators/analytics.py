@@ -6,20 +6,26 @@ distributed ranking in ``ranking.py``:
 
 * per-entity windows (running totals) only ever see one row per step of a period,
   a calendar bound (rounds of a season), so a plain window is safe there;
-* per-period windows (rank of everybody in a round / season) go through
-  ``rank_within``, which never gives one period group to one task;
+* per-period windows (rank of everybody in a round / season) go through a ``ranker``, which never
+  gives one period group to one task: ``rank_within`` (the default) samples and pins its numbering
+  when it is called; ``rank_live`` only plans, so a view made with it ranks the rows there are when it is read;
 * "rank = 1" and "max over period" become partial aggregates + joins.
+
+Sums that are compared or ranked are exact (``exact_sum``), so that all reads of them agree.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import join_null_safe
-from .ranking import keep_group_max, rank_within, running_total
+from .live_ranking import exact_sum, top_n
+from .ranking import OrderSpec, keep_group_max, rank_within, running_total
+
+Ranker = Callable[..., DataFrame]
 
 
 def in_scope(fact: DataFrame, period: str, min_period, sessions: Sequence[str] | None = None,
@@ -37,8 +43,8 @@ def distinct_periods(fact: DataFrame, period: str, min_period) -> DataFrame:
 
 
 def step_totals(df: DataFrame, by: Sequence[str], measure: str, out: str) -> DataFrame:
-    """A1: SUM(measure) per group (map-side partial aggregation)."""
-    return df.groupBy(*by).agg(F.sum(measure).alias(out))
+    """A1: SUM(measure) per group (map-side partial aggregation), the same however rows are dealt."""
+    return df.groupBy(*by).agg(exact_sum(df, measure).alias(out))
 
 
 def latest_attribution(base: DataFrame, keys: Sequence[str], step: str, attr: str,
@@ -46,9 +52,12 @@ def latest_attribution(base: DataFrame, keys: Sequence[str], step: str, attr: st
     """V2 core: the ``attr`` of each key at its latest ``step``.
 
     ``ties='all'`` keeps every attribute seen at the latest step (the view's
-    behaviour, which can fan out consumers); ``ties='one'`` keeps the smallest.
+    behaviour, which can fan out consumers); ``ties='one'`` keeps the smallest. A key has as many
+    rows as the calendar has steps, and of these each task shuffles the latest ones only.
     """
-    latest = keep_group_max(base.select(*keys, step, attr), list(keys), step).select(*keys, attr)
+    w = Window.partitionBy(*keys).orderBy(F.col(step).desc())
+    latest = (base.select(*keys, step, attr).withColumn("__recent", F.rank().over(w))
+              .filter(F.col("__recent") == 1).select(*keys, attr))
     if ties == "one":
         return latest.groupBy(*keys).agg(F.min(attr).alias(attr))
     if ties != "all":
@@ -71,12 +80,13 @@ def densify(df: DataFrame, period: str, step: str, entity: str, fill: Mapping[st
 
 
 def cumulative_rank(step_pts: DataFrame, period: str, step: str, entity: str, measure: str,
-                    cumulative: str, rank_col: str, densify_steps: bool = False) -> DataFrame:
+                    cumulative: str, rank_col: str, densify_steps: bool = False,
+                    ranker: Ranker = rank_within) -> DataFrame:
     """V3/V4 core: running total per (period, entity) by step, then RANK per (period, step)."""
     if densify_steps:
         step_pts = densify(step_pts, period, step, entity, {measure: 0})
     cum = running_total(step_pts, [period, entity], step, measure, cumulative)
-    return rank_within(cum, [period, step], [(cumulative, "desc")], method="rank", out=rank_col)
+    return ranker(cum, [period, step], [(cumulative, "desc")], method="rank", out=rank_col)
 
 
 def group_winners(df: DataFrame, group: Sequence[str], entity: str, measure: str, total: str,
@@ -101,28 +111,40 @@ def finish_histogram(df: DataFrame, by: Sequence[str], position: str, step: str,
     return df.groupBy(*by).agg(*aggs)
 
 
+def _countback(points: DataFrame, finishes: DataFrame, period: str, entity: str, total: str, step: str,
+               depth: int, timing: int, missing: int) -> tuple[DataFrame, OrderSpec, list[str]]:
+    """The rows to rank, their 26-column ordering, and the helper columns in it."""
+    merged = join_null_safe(points, finishes, [period, entity], "left")
+    keys = {"__best": F.coalesce(F.col("best_finish"), F.lit(missing))}
+    keys.update({f"__first{i}": F.coalesce(F.col(f"first_p{i}_{step}"), F.lit(missing))
+                 for i in range(1, timing + 1)})
+    order = [(total, "desc")] + [(f"p{i}", "desc") for i in range(1, depth + 1)]
+    order += [("__best", "asc")] + [(f"__first{i}", "asc") for i in range(1, timing + 1)]
+    return merged.withColumns(keys), [*order, (entity, "asc")], list(keys)
+
+
 def countback_standings(points: DataFrame, finishes: DataFrame, period: str, entity: str,
                         total: str, standing: str, step: str, depth: int = 20, timing: int = 3,
-                        missing: int = 999) -> DataFrame:
+                        missing: int = 999, ranker: Ranker = rank_within) -> DataFrame:
     """V7/V8 core: DENSE_RANK within the period by total, then p1..p<depth> counts, best finish,
     earliest step of the first ``timing`` finishes, then the entity id.
 
     ``points`` holds one row per (period, entity) (a dimension key is unique, as the
     upsert guarantees), so the ordering ends in a unique key and DENSE_RANK equals the
-    row number computed by ``rank_within``. Null counts (no classified finish) sort last
-    on DESC, as in SQL; missing best finish / timings become ``missing``.
+    row number. Null counts (no classified finish) sort last on DESC, as in SQL; missing best finish /
+    timings become ``missing``. (One packed key for the 26 columns, ``functions.sortkey``, sorts the
+    same; building it took longer than it saved, as the first column decides nearly all comparisons.)
     """
-    hist = finishes
-    merged = join_null_safe(points, hist, [period, entity], "left")
-    keys = {"__best": F.coalesce(F.col("best_finish"), F.lit(missing))}
-    keys.update({f"__first{i}": F.coalesce(F.col(f"first_p{i}_{step}"), F.lit(missing))
-                 for i in range(1, timing + 1)})
-    merged = merged.withColumns(keys)
-    order = [(total, "desc")] + [(f"p{i}", "desc") for i in range(1, depth + 1)]
-    order += [("__best", "asc")] + [(f"__first{i}", "asc") for i in range(1, timing + 1)]
-    order += [(entity, "asc")]
-    ranked = rank_within(merged, [period], order, method="dense_rank", out=standing, unique=True)
-    return ranked.drop(*keys.keys())
+    merged, order, helpers = _countback(points, finishes, period, entity, total, step, depth, timing, missing)
+    return ranker(merged, [period], order, method="dense_rank", out=standing, unique=True).drop(*helpers)
+
+
+def countback_leaders(points: DataFrame, finishes: DataFrame, period: str, entity: str,
+                      total: str, standing: str, step: str, k: int = 1, depth: int = 20, timing: int = 3,
+                      missing: int = 999) -> DataFrame:
+    """H7/L3: the first ``k`` of ``countback_standings`` per period, found in two phases without ranking the rest."""
+    merged, order, helpers = _countback(points, finishes, period, entity, total, step, depth, timing, missing)
+    return top_n(merged, [period], order, k, standing).drop(*helpers)
 
 
 def outcome_counts(df: DataFrame, by: Sequence[str], flags: Mapping[str, str], status: str,

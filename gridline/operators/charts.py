@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import weighted_score
 from .joins import join_null_safe
+from .live_ranking import top_n_ties
 from .ranking import group_extreme, rank_within
 
 # Fixed values of the stats charts: metric order, labels and score weights.
@@ -68,9 +69,11 @@ def metric_long(stats: DataFrame, ids: Sequence[str], color: str, top_n: int | N
                 weights: Mapping[str, float] = STAT_WEIGHTS, drop_zero: bool = True) -> DataFrame:
     """H1/H2: score, rank in the slice, optional top-N, fold, |value|, tooltip, safe colour."""
     scored = stats.withColumn("sort_key", weighted_score(weights))
-    scored = rank_within(scored, _scope_keys(partition_cols), [("sort_key", "desc")], method="rank", out="rank")
-    if top_n is not None:
-        scored = scored.filter(F.col("rank") <= top_n)
+    scope, order = _scope_keys(partition_cols), [("sort_key", "desc")]
+    if top_n is not None:                   # the others are never ranked
+        scored = top_n_ties(scored, scope, order, top_n, out="rank")
+    else:
+        scored = rank_within(scored, scope, order, method="rank", out="rank")
     keep = list(dict.fromkeys([*partition_cols, *ids, color, "sort_key", "rank"]))
     long = unpivot_metrics(scored.select(*keep, *metrics.keys()), keep, metrics)
     long = long.withColumns({

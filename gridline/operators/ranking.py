@@ -170,11 +170,10 @@ def group_extreme(df: DataFrame, by: Sequence[str], col: str, out: str, fn: str
 def keep_group_max(df: DataFrame, by: Sequence[str], col: str) -> DataFrame:
     """Rows whose ``col`` equals the group maximum (RANK() = 1, ties kept).
 
-    The maximum is a partial aggregate; ``<=>`` keeps every row of a group whose
-    values are all null (RANK puts them all first there as well).
+    The maximum is a partial aggregate joined back, however many rows tie; ``<=>`` keeps every row of
+    a group whose values are all null (RANK puts them all first there as well). Both sides evaluate
+    ``df``: sums of doubles among its columns must be exact (``live_ranking.exact_sum``).
     """
-    checkpoint_root(df.sparkSession)
-    df = df.checkpoint(eager=True)      # the maximum and the rows must come from one evaluation
     g = df.groupBy(*by).agg(F.max(col).alias("__gmax"))
     return (join_null_safe(df, g, list(by))
             .filter(F.col(col).eqNullSafe(F.col("__gmax"))).drop("__gmax"))

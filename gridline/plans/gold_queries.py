@@ -12,12 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import batch_id, short_name, title_case
+from ..functions import batch_id, short_name, title_case, weighted_score
+from ..functions.sortkey import packed_key
 from ..operators import analytics as A
 from ..operators import charts as C
 from ..operators.batch import race_in_lookback, validate_batches
 from ..operators.clean import dedupe_keep_first, drop_null_keys, rename_select
 from ..operators.joins import orphans, set_difference
+from ..operators.live_ranking import rank_live, top_n
 from ..operators.model import union_sessions
 from ..operators.ranking import group_extreme, keep_group_max, rank_within, running_total
 from . import race_views as V
@@ -125,6 +127,41 @@ def _max_over(g, cfg):
     return group_extreme(t, ["season"], "constructor_points", "season_max", "max")
 
 
+@q("top_n_score", """
+SELECT season, driver_id, score, place FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY season ORDER BY score DESC, driver_id) AS INTEGER) AS place
+  FROM (SELECT season, driver_id, wins * 1000000 + podiums * 10000 + finish_in_points * 100 + pole_positions AS score
+        FROM v_driver_stats)) WHERE place <= 10""")
+def _top_n(g, cfg):
+    score = weighted_score(C.STAT_WEIGHTS).alias("score")
+    return top_n(V.driver_stats(g, cfg).select("season", "driver_id", score), ["season"],
+                 [("score", "desc"), ("driver_id", "asc")], 10)
+
+
+_PACKED = [("l_returnflag", "desc"), ("l_discount", "asc"), ("l_quantity", "desc"), ("l_shipdate", "asc_nulls_last"),
+           ("l_orderkey", "desc"), ("l_linenumber", "asc")]
+
+
+@q("rank_packed_key", """
+SELECT l_linestatus, l_orderkey, l_linenumber, CAST(row_number() OVER (
+  PARTITION BY l_linestatus ORDER BY l_returnflag DESC NULLS LAST, l_discount NULLS FIRST, l_quantity DESC NULLS LAST,
+               l_shipdate NULLS LAST, l_orderkey DESC, l_linenumber) AS INTEGER) AS place FROM lineitem""")
+def _rank_packed(g, cfg):
+    rows = g.table("lineitem").select("l_linestatus", *[c for c, _ in _PACKED])
+    ranked = rank_within(rows.withColumn("key", packed_key(rows, _PACKED)), ["l_linestatus"], [("key", "asc")],
+                         "row_number", "place", unique=True)
+    return ranked.select("l_linestatus", "l_orderkey", "l_linenumber", "place")
+
+
+@q("rank_live_ties", """
+SELECT *, CAST(rank() OVER (PARTITION BY season, round ORDER BY round_points DESC) AS INTEGER) AS step_rank,
+       CAST(dense_rank() OVER (PARTITION BY season, round ORDER BY round_points DESC) AS INTEGER) AS step_dense
+FROM drv_round_points""")
+def _rank_live_ties(g, cfg):
+    by, order = ["season", "round"], [("round_points", "desc")]
+    return rank_live(rank_live(_agg_sum(g, cfg), by, order, "rank", "step_rank"), by, order, "dense_rank", "step_dense")
+
+
 @q("densify_grid", "SELECT season, round, driver_id, round_points FROM drv_cumulative")
 def _densify(g, cfg):
     return A.densify(_agg_sum(g, cfg), "season", "round", "driver_id", {"round_points": 0})
@@ -398,7 +435,7 @@ def _chart_rank(g, cfg):
 
 @q("dashboard_leader", "SELECT * FROM v_driver_standings WHERE standing = 1")
 def _leader(g, cfg):
-    return C.leader(V.driver_standings(g, cfg))
+    return V.driver_standings(g, cfg, first=1)
 
 
 @q("dashboard_gap_to_leader", """

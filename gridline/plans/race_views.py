@@ -7,13 +7,16 @@ defaults) and is built from the generic operators in ``gridline.operators``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import default_to, short_name, shorten
 from ..operators import analytics as A
+from ..operators.live_ranking import rank_live
+from ..operators.ranking import rank_within
 from .standin import FLAG_BASE, SVG_BASE, Gold
 
 
@@ -24,6 +27,8 @@ class RaceConfig:
     default_color: str = "#7C8AA5"
     default_logo: str = SVG_BASE + "/default.svg"
     default_flag: str = FLAG_BASE + "/default-32px.png"
+    # How ranks are found: ``rank_live`` makes every view a plan that no job has gone into.
+    ranker: Callable[..., DataFrame] = rank_within
 
 
 RACE, SPRINT = "RACE", "SPRINT"
@@ -58,12 +63,15 @@ def constructor_reference(g: Gold, cfg: RaceConfig, ties: str = "all") -> DataFr
                     default_to("logo_svg", cfg.default_logo).alias("cons_logo")))
 
 
-def constructor_evolution(g: Gold, cfg: RaceConfig) -> DataFrame:
-    """V3 v_constructor_evolution: cumulative points and rank per round (no densify)."""
-    pts = A.step_totals(_base(g, cfg, [RACE, SPRINT]), ["season", "round", "constructor_id"],
-                        "points", "round_points")
-    ranked = A.cumulative_rank(pts, "season", "round", "constructor_id", "round_points",
-                               "cumulative_points", "constructor_rank")
+def constructor_evolution(g: Gold, cfg: RaceConfig, ranked: DataFrame | None = None) -> DataFrame:
+    """V3 v_constructor_evolution: cumulative points and rank per round (no densify).
+
+    ``ranked`` is the ranked series kept elsewhere (``plans.incremental``)."""
+    if ranked is None:
+        pts = A.step_totals(_base(g, cfg, [RACE, SPRINT]), ["season", "round", "constructor_id"],
+                            "points", "round_points")
+        ranked = A.cumulative_rank(pts, "season", "round", "constructor_id", "round_points",
+                                   "cumulative_points", "constructor_rank", ranker=cfg.ranker)
     c = g.dim_constructors.select("constructor_id", F.col("constructor_name").alias("cons_name"),
                                   shorten("constructor_name", " Team", "").alias("constructor_name"))
     r = _races(g).select("season", "round", "circuit_name", "short_race_name")
@@ -74,12 +82,14 @@ def constructor_evolution(g: Gold, cfg: RaceConfig) -> DataFrame:
                       default_to("color_code", cfg.default_color).alias("color_code"))
 
 
-def driver_evolution(g: Gold, cfg: RaceConfig, cref: DataFrame | None = None) -> DataFrame:
+def driver_evolution(g: Gold, cfg: RaceConfig, cref: DataFrame | None = None,
+                     ranked: DataFrame | None = None) -> DataFrame:
     """V4 v_driver_evolution: densified (0 for missed rounds) cumulative points and rank."""
     cref = cref if cref is not None else constructor_reference(g, cfg)
-    pts = A.step_totals(_base(g, cfg, [RACE, SPRINT]), ["season", "round", "driver_id"], "points", "round_points")
-    ranked = A.cumulative_rank(pts, "season", "round", "driver_id", "round_points", "cumulative_points",
-                               "driver_rank", densify_steps=True)
+    if ranked is None:
+        pts = A.step_totals(_base(g, cfg, [RACE, SPRINT]), ["season", "round", "driver_id"], "points", "round_points")
+        ranked = A.cumulative_rank(pts, "season", "round", "driver_id", "round_points", "cumulative_points",
+                                   "driver_rank", densify_steps=True, ranker=cfg.ranker)
     d = g.dim_drivers.select("driver_id", "driver_name", short_name("driver_name").alias("short_name"))
     dc = g.ref_driver_code.select("driver_id", F.col("fia_driver_code").alias("driver_code"))
     r = _races(g).select("season", "round", "race_name", "short_race_name", "circuit_name")
@@ -130,27 +140,34 @@ def _classified(base: DataFrame) -> DataFrame:
                        & (F.col("final_position") > 0) & ((st == "Finished") | st.like("+%")))
 
 
-def _standings(g: Gold, cfg: RaceConfig, entity: str, dim: DataFrame, dim_cols: list[str]) -> DataFrame:
+def _standings(g: Gold, cfg: RaceConfig, entity: str, dim: DataFrame, dim_cols: list[str],
+               parts: tuple[DataFrame, DataFrame] | None = None, first: int | None = None) -> DataFrame:
+    """Points are added per (season, entity) before the dimension is joined: it is unique per entity,
+    so the shuffle of the fact carries its sums only. ``parts`` are sums and histogram kept elsewhere;
+    ``first`` asks for the first so many of each season only."""
     base = _base(g, cfg, [RACE, SPRINT])
-    pts = (base.select("season", entity, "points").join(dim.select(entity, *dim_cols), entity, "inner")
-           .groupBy("season", entity, *dim_cols).agg(F.sum("points").alias("total_points")))
-    fin = A.finish_histogram(_classified(base), ["season", entity], "final_position", "round")
-    return A.countback_standings(pts, fin, "season", entity, "total_points", "standing", "round")
+    if parts is None:
+        parts = (A.step_totals(base, ["season", entity], "points", "total_points"),
+                 A.finish_histogram(_classified(base), ["season", entity], "final_position", "round"))
+    pts = parts[0].join(dim.select(entity, *dim_cols), entity, "inner")
+    args = (pts, parts[1], "season", entity, "total_points", "standing", "round")
+    return A.countback_standings(*args, ranker=cfg.ranker) if first is None else A.countback_leaders(*args, k=first)
 
 
-def driver_standings(g: Gold, cfg: RaceConfig, cref: DataFrame | None = None) -> DataFrame:
-    """V7 v_driver_standings."""
+def driver_standings(g: Gold, cfg: RaceConfig, cref: DataFrame | None = None, parts=None,
+                     first: int | None = None) -> DataFrame:
+    """V7 v_driver_standings (the first ``first`` of each season, if given)."""
     cref = cref if cref is not None else constructor_reference(g, cfg)
-    st = _standings(g, cfg, "driver_id", g.dim_drivers, ["driver_name", "nationality"])
+    st = _standings(g, cfg, "driver_id", g.dim_drivers, ["driver_name", "nationality"], parts, first)
     out = st.join(cref.select("season", "driver_id", "constructor_id", "color_code", "cons_logo"),
                   ["season", "driver_id"], "left")
     return out.select("season", "driver_id", "driver_name", short_name("driver_name").alias("short_name"),
                       "nationality", "standing", "total_points", "constructor_id", "color_code", "cons_logo")
 
 
-def constructor_standings(g: Gold, cfg: RaceConfig) -> DataFrame:
-    """V8 v_constructor_standings."""
-    st = _standings(g, cfg, "constructor_id", g.dim_constructors, ["constructor_name", "nationality"])
+def constructor_standings(g: Gold, cfg: RaceConfig, parts=None, first: int | None = None) -> DataFrame:
+    """V8 v_constructor_standings (the first ``first`` of each season, if given)."""
+    st = _standings(g, cfg, "constructor_id", g.dim_constructors, ["constructor_name", "nationality"], parts, first)
     cc = g.ref_color.select("constructor_id", "color_code", "logo_svg")
     out = st.join(cc, "constructor_id", "left")
     return out.select("season", "constructor_id", "constructor_name", "nationality", "standing", "total_points",
@@ -218,7 +235,30 @@ def all_views(g: Gold, cfg: RaceConfig) -> dict[str, DataFrame]:
     }
 
 
+class LiveViews:
+    """The views as ``CREATE OR REPLACE VIEW`` gives them -- each read sees the tables as they are.
+
+    ``source`` opens the star schema. A temp view keeps the file list it was made with, so the views are
+    planned anew on the newest tables when a query is run through ``sql`` or ``table``; planning them
+    runs no job (``rank_live``). ``refresh`` does it for sessions that call ``spark.sql`` themselves.
+    """
+
+    def __init__(self, spark: SparkSession, source: Callable[[], Gold], cfg: RaceConfig):
+        self.spark, self.source, self.cfg = spark, source, replace(cfg, ranker=rank_live)
+
+    def refresh(self) -> LiveViews:
+        for name, df in all_views(self.source(), self.cfg).items():
+            df.createOrReplaceTempView(name)
+        return self
+
+    def sql(self, text: str) -> DataFrame:
+        return self.refresh().spark.sql(text)
+
+    def table(self, name: str) -> DataFrame:
+        return all_views(self.source(), self.cfg)[name]
+
+
 def register_views(g: Gold, cfg: RaceConfig) -> None:
-    """Expose every view as a temp view for SQL users."""
+    """Every view as a temp view on one opened star schema."""
     for name, df in all_views(g, cfg).items():
         df.createOrReplaceTempView(name)
