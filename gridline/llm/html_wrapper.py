@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 64
+DEPTH = 256        # levels of a tree; far below what Python's calls bear
 # Element names of HTML by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s "
@@ -50,11 +51,21 @@ _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("tag", "marks", "parent", "children", "key", "no")
+    """An element. ``parent`` is the one it was opened in, ``home`` the one that holds it in the tree:
+    below ``DEPTH`` levels elements stand side by side, as in browsers; ``off`` if it was opened in a
+    dropped one there, which its place no longer says."""
+    __slots__ = ("tag", "marks", "parent", "home", "depth", "off", "children", "key", "no")
 
     def __init__(self, tag: str, marks: frozenset = frozenset(), parent: "Node | None" = None):
-        self.tag, self.marks, self.parent = tag, marks, parent
         self.children: list[Node | str] = []
+        self.tag, self.marks, self.parent, self.home, self.depth, self.off = tag, marks, parent, None, 0, False
+        if parent is not None:
+            self.home = parent
+            if parent.depth >= DEPTH:
+                self.home, self.marks = parent.home, marks | parent.marks
+                self.off = parent.off or parent.tag in DROPPED
+            self.depth = self.home.depth + 1
+            self.home.children.append(self)
 
 
 class TreeBuilder(HTMLParser):
@@ -63,20 +74,28 @@ class TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root")
+        self.skipped: Counter = Counter()      # inline elements opened below DEPTH: their text is their parent's
+
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """Sections ``<![name[...]]>`` of names that the parser doesn't know are comments up to their ``>``."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.rawdata.find(">", i) + 1 or -1
 
     def _open(self, tag: str, attrs: list) -> Node:
         marks = {w.lower() for k, v in attrs if v and k in ("class", "id", "role") for w in _WORDS.findall(v)}
         if any(k == "hidden" for k, _ in attrs):
             marks.add("hidden")
-        node = Node(tag, frozenset(marks), self.at)
-        self.at.children.append(node)
-        return node
+        return Node(tag, frozenset(marks), self.at)
 
     def _close(self, tags: tuple, stop: frozenset) -> None:
         node = self.at
         while node.parent is not None and node.tag not in stop:
             if node.tag in tags:
                 self.at = node.parent
+                if self.at.depth >= DEPTH:     # what follows stands beside the element that ended
+                    self.at = Node(self.at.tag, self.at.marks, self.at.parent)
                 return
             node = node.parent
 
@@ -87,6 +106,9 @@ class TreeBuilder(HTMLParser):
             self._close(SAME[tag], frozenset(("ul", "ol", "dl", "table")) if tag != "option" else SCOPES)
         if tag == "body" or (tag in CLOSES_P and self.at.tag == "head"):
             self._close(("head",), frozenset())
+        if tag in INLINE and self.at.depth >= DEPTH:
+            self.skipped[tag] += tag not in VOID
+            return
         node = self._open(tag, attrs)
         if tag not in VOID:
             self.at = node
@@ -97,7 +119,9 @@ class TreeBuilder(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag not in VOID:
+        if self.skipped[tag]:
+            self.skipped[tag] -= 1
+        elif tag not in VOID:
             self._close((tag,), frozenset())
 
     def handle_data(self, data: str) -> None:
@@ -117,7 +141,7 @@ def _holds_article(node: Node) -> bool:
 
 
 def _bad(node: Node, inside: bool) -> bool:
-    if node.tag in DROPPED or node.marks & READERS:
+    if node.tag in DROPPED or node.off or node.marks & READERS:
         return True
     if node.marks & MARKS or not inside and (node.tag == "header" or node.marks & HEADERS):
         return not _holds_article(node)     # a layout box around the article, such as "with-sidebar"
@@ -213,16 +237,27 @@ class Skeleton:
 
 
 def match(a: Skeleton, b: Skeleton) -> tuple[int, list[tuple[Skeleton, Skeleton]]]:
-    """Simple tree matching: the number of pairs of the best alignment, and the pairs."""
+    """Simple tree matching: the number of pairs of the best alignment, and the pairs.
+
+    Only pairs of children that both have children are matched in turn; two others pair as they are.
+    """
     if a.tag != b.tag:
         return 0, []
     n, m = len(a.children), len(b.children)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
+    best = [[0] * (m + 1)]
     own: dict[tuple[int, int], tuple[int, list]] = {}
-    for i in range(n):
-        for j in range(m):
-            own[i, j] = match(a.children[i], b.children[j])
-            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + own[i, j][0])
+    for i, x in enumerate(a.children):
+        above, row, at = best[-1], [0], 0
+        for j, y in enumerate(b.children):
+            score = 0
+            if x.tag == y.tag:
+                score = 1
+                if x.children and y.children:
+                    own[i, j] = match(x, y)
+                    score = own[i, j][0]
+            at = max(above[j + 1], at, above[j] + score)
+            row.append(at)
+        best.append(row)
     pairs, i, j = [(a, b)], n, m
     while i and j:
         if best[i][j] == best[i - 1][j]:
@@ -231,7 +266,7 @@ def match(a: Skeleton, b: Skeleton) -> tuple[int, list[tuple[Skeleton, Skeleton]
             j -= 1
         else:
             i, j = i - 1, j - 1
-            pairs += own[i, j][1]
+            pairs += own[i, j][1] if (i, j) in own else [(a.children[i], b.children[j])]
     return best[n][m] + 1, pairs
 
 

@@ -166,3 +166,18 @@ def test_classifier(docs, labels):
         assert len(out) == len(ROWS) and all(0 <= r.p_quality <= 1 and r.kept is not None for r in out)
         assert len({r.p_tone for r in out if r.doc_id == 3}) == 1
     assert weak_label.classify(docs.limit(0), labels).count() == 0
+
+
+def test_odd_html():
+    """Nesting beyond any limit, sections of unknown names, and long pages of many blocks."""
+    import time
+    deep = "<article>" + "<div>" * 3000 + "inside" + "</div>" * 3000 + "<p>after</article><nav>no</nav>"
+    assert html_wrapper.extract([deep]) == ["inside after"]
+    mixed = "<article>" + "<div>a<b>b</b>" * 400 + "<nav>no<i>no</i></nav>c" + "</div>d" * 400 + "</article>"
+    assert html_wrapper.extract([mixed]) == [" ".join(["ab"] * 400 + ["c"] + ["d"] * 400)]
+    hidden = "<article>" + "<div>" * 300 + "<nav>no<p>no</p>no</nav>yes<aside><div>no</div></aside>" + "</div>" * 300 + "!</article>"
+    assert html_wrapper.extract([hidden]) == ["yes !"]
+    assert html_wrapper.extract(["<article>a<![foo[x]]>b<![if IE]>c<![CDATA[d]]>e<!x>f</article>", "<![foo["])[0][:1] == "a"
+    began = time.time()
+    pages = ["<main>" + "".join(f"<p>{k} {i}<div>x</div>" for i in range(600)) + "</main>" for k in "abc"]
+    assert all(len(t) > 1000 for t in html_wrapper.extract(pages)) and time.time() - began < 20
