@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import stored, text_of
 from .hashing import chunks, mix64, span_hashes, word_hashes, word_spans
+from .numeric import give_back
 
 BAD, NONE, GOOD = 0, 1, 2
 # Fixed list: English insults.
@@ -295,10 +296,14 @@ def classify(docs: DataFrame, labels: DataFrame, max_train: int = 30_000, thresh
                   .select(F.col("doc_id").alias("id"), F.col("fp").alias("h"), *names))
         sample = (d.filter(own).mapInPandas(_sample, SAMPLED).dropDuplicates(["doc_id", "fp"])
                   .join(chosen, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("fp") == F.col("h")))
-                  .select("buckets", "vals", *names, F.xxhash64("fp", "doc_id").alias("order")).toPandas())
-        sample = sample.sort_values(["order", "buckets"]).reset_index(drop=True)
-        weights[task] = fit([np.frombuffer(b, np.uint16) for b in sample["buckets"]],
-                            [np.frombuffer(v, np.float16) for v in sample["vals"]],
-                            posterior(sample[list(names)].to_numpy(np.int64), share, table))
+                  .select("buckets", "vals", *names, F.xxhash64("fp", "doc_id").alias("order")))
+        # A part at a time, so that the driver holds the sample once, as packed numbers.
+        rows = [(r["order"], r["buckets"], r["vals"], [r[n] for n in names])
+                for r in stored(sample, "weak-sample").toLocalIterator()]
+        rows.sort(key=lambda r: (r[0], r[1]))
+        weights[task] = fit([np.frombuffer(r[1], np.uint16) for r in rows], [np.frombuffer(r[2], np.float16) for r in rows],
+                            posterior(np.array([r[3] for r in rows], np.int64).reshape(-1, len(names)), share, table))
+        del rows
+        give_back()
     return d.mapInPandas(_judge(weights, threshold),
                          "doc_id bigint, fp bigint, p_quality double, p_tone double, kept boolean")
