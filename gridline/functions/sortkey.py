@@ -62,12 +62,18 @@ STRINGS = 4       # numbers taken of a text, of seven bytes each
 
 def level_numbers(df: DataFrame, order: Sequence[tuple[str, str]]) -> list[Column]:
     """Numbers that sort, one after the other, as the ordering does: turned round where descending, nulls
-    at their end. Where rows agree in a number, they agree in its column, unless it is ``CLIPPED``; the
-    list ends behind a column (a text, a wide decimal) whose numbers can't tell all values apart."""
+    at their end. Rows that agree in a number agree in its column, unless the number is an end of its
+    range (``at_end``); the list ends behind a column (a text, a wide decimal) whose numbers can't tell all
+    values apart. Floating-point columns are numbers as they are, others give whole numbers."""
     out: list[Column] = []
     for name, direction in order:
         desc, first = _spec(direction)
         c, kind = F.col(name), df.schema[name].dataType
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            v = c.cast("double")
+            v = F.when(F.isnan(v), F.lit(float("-inf"))).otherwise(-v) if desc else v
+            out.append(F.when(c.isNull(), F.lit(float("-inf" if first else "nan"))).otherwise(v))
+            continue
         weak = isinstance(kind, T.StringType) or (isinstance(kind, T.DecimalType) and kind.precision > 18)
         if isinstance(kind, T.StringType):
             values = [sortable_number(F.expr(f"substring(hex(`{name}`), {14 * i + 1}, 14)"), None) for i in range(STRINGS)]
@@ -81,6 +87,22 @@ def level_numbers(df: DataFrame, order: Sequence[tuple[str, str]]) -> list[Colum
     return out
 
 
+def at_end(number: str, kind: T.DataType) -> Column:
+    """Whether a level's number is one that different values may share."""
+    c = F.col(number)
+    return F.isnan(c) | (F.abs(c) == float("inf")) if isinstance(kind, T.DoubleType) else c.isin(*CLIPPED)
+
+
+def as_distance(number: str, kind: T.DataType) -> Column:
+    """A level's number on a finite scale: whole numbers as they are, others by their logarithm, as a few
+    of them may be far out."""
+    c = F.col(number).cast("double")
+    if not isinstance(kind, T.DoubleType):
+        return c
+    scaled = F.signum(c) * F.log1p(F.abs(c))
+    return F.when(F.isnan(c), F.lit(900.0)).otherwise(F.greatest(F.least(scaled, F.lit(800.0)), F.lit(-800.0)))
+
+
 def _turned(text: Column, desc: bool) -> Column:
     return F.translate(text, "0123456789ABCDEF", "FEDCBA9876543210") if desc else text
 

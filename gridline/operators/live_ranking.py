@@ -25,12 +25,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.sortkey import CLIPPED, level_numbers
+from ..functions.sortkey import as_distance, at_end, level_numbers
 from .joins import join_null_safe
 from .ranking import OrderSpec, _group_token, _order_cols
 
-FAN = 4096
-DEPTH = 2
+FAN = 4096        # digits of a node
+DEPTH = 2         # levels of the tree, where several columns order the rows
 _G, _W, _N = "__lr_g", "__lr_w", "__lr_n"
 
 
@@ -55,14 +55,15 @@ def _split(rows: DataFrame, node: Sequence[str], numbers: Sequence[str], digit:
     Two aggregates: the ranges of a node's numbers, then the weights of its digits.
     """
     ranges = rows.groupBy(*node).agg(*[F.min(c).alias(f"{c}_lo") for c in numbers], *[F.max(c).alias(f"{c}_hi") for c in numbers])
-    value, low, high = F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(0).cast("long")
+    value = low = high = F.lit(0.0)
     for c in reversed(numbers):               # the first number that differs decides
-        differs = F.col(f"{c}_lo") != F.col(f"{c}_hi")
-        end = F.col(f"{c}_lo").isin(*CLIPPED)  # values may differ unseen: the node isn't split by what follows
-        value, low, high = (F.when(differs, F.col(x)).when(end, F.lit(0).cast("long")).otherwise(y)
+        kind = rows.schema[c].dataType
+        differs = ~F.col(f"{c}_lo").eqNullSafe(F.col(f"{c}_hi"))
+        end = at_end(f"{c}_lo", kind)          # values may differ unseen: the node isn't split by what follows
+        value, low, high = (F.when(differs, as_distance(x, kind)).when(end, F.lit(0.0)).otherwise(y)
                             for x, y in ((c, value), (f"{c}_lo", low), (f"{c}_hi", high)))
-    # In doubles, as the range may exceed a long; each step keeps the order weakly.
-    share = (value.cast("double") - low.cast("double")) / F.greatest(high.cast("double") - low.cast("double"), F.lit(1.0))
+    # Each step keeps the order weakly.
+    share = F.when(high > low, (value - low) / (high - low)).otherwise(0.0)
     placed = rows.join(ranges, list(node)).withColumn(digit, F.least(F.floor(share * FAN), F.lit(FAN - 1)).cast("int"))
     placed = placed.drop(*[f"{c}_{x}" for c in numbers for x in ("lo", "hi")])
     cells = placed.groupBy(*node, digit).agg(F.sum(_W).alias("__lr_cell"))
@@ -77,7 +78,8 @@ def _numbered(rows: DataFrame, order: OrderSpec) -> DataFrame:
     numbers = [f"__lr_c{i}" for i in range(len(levels))]
     rows = rows.withColumns(dict(zip(numbers, levels)))
     node, parts = [_G], []
-    for level in range(DEPTH):
+    # One column's values are split well by its range; rows that tie in a first of several need its node split again.
+    for level in range(1 if len(order) == 1 else DEPTH):
         digit, before = f"__lr_d{level}", f"__lr_b{level}"
         rows = _split(rows, node, numbers, digit, before)
         node, parts = [*node, digit], [*parts, before]

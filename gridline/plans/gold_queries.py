@@ -17,14 +17,18 @@ from ..functions.sortkey import packed_key
 from ..operators import analytics as A
 from ..operators import charts as C
 from ..operators.batch import race_in_lookback, validate_batches
-from ..operators.clean import dedupe_keep_first, drop_null_keys, rename_select
+from ..operators.clean import dedupe_hash_first, dedupe_keep_first, drop_null_keys, rename_select
 from ..operators.joins import orphans, set_difference
 from ..operators.live_ranking import rank_live, top_n
 from ..operators.model import union_sessions
 from ..operators.ranking import group_extreme, keep_group_max, rank_within, running_total
+from ..session import scratch_path
+from ..sinks.snapshots import append_table, read_table, upsert_table
 from . import race_views as V
+from .incremental import ViewState as IncrementalState
+from .incremental import refresh, series, standing_parts
 from .oracle_sql import short, tc
-from .standin import Gold
+from .standin import GOLD_TABLES, Gold
 
 GoldFn = Callable[[Gold, V.RaceConfig], DataFrame]
 
@@ -196,6 +200,56 @@ def _outcome(g, cfg):
                             V._OK_STATUS, V._OK_LIKE, V.DNF)
 
 
+# --- live and incremental views ----------------------------------------------------------
+def _stored_fact(g, rows: DataFrame, keys=("season", "round", "session_type", "driver_id", "constructor_id")) -> str:
+    path = scratch_path(g.spark, "fact-versions")
+    upsert_table(rows, path, keys, [c for c in rows.columns if c not in keys], ["season", "round"])
+    return path
+
+
+class _WithFact:
+    """A star schema with its fact in a versioned table."""
+
+    def __init__(self, g: Gold, path: str):
+        self.__dict__.update({n: getattr(g, n) for n in GOLD_TABLES if n != "fact"})
+        self.fact = read_table(g.spark, path).select(*g.fact.columns)
+
+
+@q("view_after_append", "SELECT * FROM v_constructor_evolution")
+def _view_after_append(g, cfg):
+    """The views are registered on half of the fact; the other half is appended afterwards."""
+    path = _stored_fact(g, g.fact.filter("round <= 6"))
+    views = V.LiveViews(g.spark, lambda: _WithFact(g, path), cfg).refresh()
+    append_table(g.fact.filter("round > 6"), path)
+    return views.sql("SELECT * FROM v_constructor_evolution")
+
+
+def _advanced(g, entity: str, densify: bool) -> tuple[IncrementalState, _WithFact]:
+    """Three batches, the first one wrong for one season and corrected by the third; a refresh after each."""
+    keys = ["season", "round", "session_type", "driver_id", "constructor_id"]
+    wrong = g.fact.filter("round <= 6").withColumn("points", F.when(F.col("season") == 1998, F.col("points") + 7).otherwise(F.col("points")))
+    path = _stored_fact(g, wrong, keys)
+    st = IncrementalState(scratch_path(g.spark, "view-state"), path, entity, densify)
+    refresh(g.spark, st)
+    cols = [c for c in g.fact.columns if c not in keys]
+    for batch in (g.fact.filter("round > 6"), g.fact.filter("round <= 6 and season = 1998")):
+        upsert_table(batch, path, keys, cols, ["season", "round"])
+        refresh(g.spark, st)
+    return st, _WithFact(g, path)
+
+
+@q("standings_incremental", "SELECT * FROM v_driver_standings")
+def _standings_incremental(g, cfg):
+    st, now = _advanced(g, "driver_id", True)
+    return V.driver_standings(now, cfg, parts=standing_parts(g.spark, st, cfg))
+
+
+@q("evolution_incremental", "SELECT * FROM v_constructor_evolution")
+def _evolution_incremental(g, cfg):
+    st, now = _advanced(g, "constructor_id", False)
+    return V.constructor_evolution(now, cfg, ranked=series(g.spark, st, cfg, "constructor_rank"))
+
+
 # --- row-level operators ---------------------------------------------------------------
 @q("title_case_short_name", f"""
 SELECT c_custkey AS driver_id, {tc("lower(c_mktsegment) || ' ' || lower(c_name)")} AS driver_name,
@@ -280,6 +334,15 @@ def _dedupe(g, cfg):
     return dedupe_keep_first(li, ["l_orderkey", "l_linenumber"])
 
 
+@q("dedupe_hash_first", """
+SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, l_quantity FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY l_orderkey, l_linenumber, l_quantity) AS rn
+  FROM lineitem) WHERE rn = 1""")
+def _dedupe_hash(g, cfg):
+    li = g.table("lineitem").select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity")
+    return dedupe_hash_first(li, ["l_partkey", "l_suppkey"])
+
+
 @q("join_anti_orphans", """
 SELECT o_orderkey, o_custkey FROM orders
 WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'HOUSEHOLD')""")

@@ -14,21 +14,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import batch as B
+from ..operators.check_state import CheckState
 from ..operators.clean import CLEAN_SPECS, clean
 from ..operators.quality import results_frame, run_checks
 from ..operators.ranking import rank_within
 from ..session import ensure_conf, scratch_path
-from ..sinks.snapshots import append_table, overwrite_table, read_table, upsert_table
+from ..sinks.snapshots import append_table, read_table, update_table, upsert_table, write_unpublished
 from ..sinks.upsert import newer_batch_guard, upsert, upsert_unguarded
-from ..sinks.writes import overwrite, path_exists, replace_partition
+from ..sinks.writes import overwrite, path_exists, replace_partition, write_ndjson
 from ..sources import payload as P
 from ..sources.files import add_ingestion_metadata, list_landing_batches, scan_landed
 from ..sources.tables import load_table
+from ..streaming.guard import upsert_stream
 from ..streaming.ingest import ingest_available
 from . import medallion as PL
-from .landing import land_all
+from .landing import land_all, result_pages
 from .oracle_sql import GOLD, tc
-from .standin import nationality_region
+from .standin import materialize_gold, nationality_region
 
 Query = Callable[[SparkSession, str], DataFrame]
 IO_QUERIES: dict[str, tuple[Query, str | None]] = {}
@@ -150,6 +152,43 @@ def _combine(spark, sf):
     return P.page_check(recs, ["season", "round"], F.size("record.Results"))
 
 
+def _sprint_pages(spark, sf) -> DataFrame:
+    path = scratch_path(spark, "pages-sprints")
+    result_pages(materialize_gold(spark, sf), "SPRINT").write.partitionBy("batch_id").text(path)
+    return P.read_complete_pages(spark, path, "RaceTable", "Races", P.RACE_RECORD,
+                                 by={"season": "season", "round": "round"}, records="SprintResults")
+
+
+@q("scan_pages", _with("""
+SELECT season, round, count(*) AS results, CAST(ceil(count(*) / 100) AS BIGINT) AS pages
+FROM fact WHERE session_type = 'SPRINT' GROUP BY 1, 2"""))
+def _scan_pages(spark, sf):
+    recs = _sprint_pages(spark, sf)
+    return recs.groupBy(F.col("record.season").cast("int").alias("season"), F.col("record.round").cast("int").alias("round")).agg(
+        F.sum(F.size("record.SprintResults")).cast("long").alias("results"), F.count_distinct("offset").alias("pages"))
+
+
+@q("flatten_sprints_payload", _with("""
+SELECT strftime(r.race_date, '%Y-%m-%d') AS date, lower(r.race_name) AS raceName, f.round, f.season,
+       'race/' || f.season || '/' || f.round AS url, CAST(f.constructor_id AS VARCHAR) AS constructorId,
+       CAST(f.driver_id AS VARCHAR) AS driverId, f.grid_position AS grid, f.completed_laps AS laps,
+       f.car_number AS number, f.points, f.final_position AS position, f.final_position_text AS positionText,
+       f.status
+FROM fact f LEFT JOIN dim_races r ON r.season = f.season AND r.round = f.round
+WHERE f.session_type = 'SPRINT'"""))
+def _flatten_sprints(spark, sf):
+    return P.flatten_sprints(P.races_of(_sprint_pages(spark, sf)))
+
+
+@q("flatten_races_payload", _with("""
+SELECT CAST(f.season AS VARCHAR) AS season, CAST(f.round AS VARCHAR) AS round, 'race/' || f.season || '/' || f.round AS url,
+       lower(r.race_name) AS raceName, strftime(r.race_date, '%Y-%m-%d') AS date, lower(r.country) AS circuitId
+FROM (SELECT season, round, CAST(ceil(count(*) / 100) AS BIGINT) AS pages FROM fact WHERE session_type = 'RACE' GROUP BY 1, 2) f
+JOIN dim_races r ON r.season = f.season AND r.round = f.round, unnest(range(f.pages)) AS p(page)"""))
+def _flatten_races(spark, sf):
+    return P.flatten_races(P.races_of(_pages(spark, sf)))
+
+
 @q("list_landing_batches", _with(f"SELECT DISTINCT {_BATCH} AS batch_id FROM dim_races"))
 def _list(spark, sf):
     return list_landing_batches(spark, landed(spark, sf))
@@ -248,34 +287,70 @@ def _q_upsert_null(spark, sf):
 
 
 @q("upsert_text_key", """
-SELECT lpad(n_nationkey::varchar, 3, '0') AS code, 'second' AS said FROM nation""")
+SELECT lpad((c_custkey % 40)::varchar, 3, '0') AS code, c_custkey,
+       CASE WHEN c_custkey % 40 < 20 THEN 'second' ELSE 'first' END AS said FROM customer""")
 def _q_upsert_text(spark, sf):
     path = scratch_path(spark, "text-key")
-    src = load_table(spark, sf, "nation").select(F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("code"))
-    for said in ("first", "second"):
-        upsert(src.withColumn("said", F.lit(said)), path, ["code"], ["said"], ["code"])
-    return spark.read.schema("code STRING, said STRING").parquet(path)
+    src = load_table(spark, sf, "customer").select(
+        F.lpad((F.col("c_custkey") % 40).cast("string"), 3, "0").alias("code"), "c_custkey")
+    for said, rows in (("first", src), ("second", src.filter("code < '020'"))):
+        upsert(rows.withColumn("said", F.lit(said)), path, ["code", "c_custkey"], ["said"], ["code"])
+    return spark.read.schema("code STRING, c_custkey BIGINT, said STRING").parquet(path)
 
 
-@q("replace_partition_empty", "SELECT n_nationkey, 'kept' AS batch_id FROM nation")
+@q("replace_partition_empty", "SELECT o_orderkey, 'kept' AS batch_id FROM orders")
 def _q_replace_empty(spark, sf):
     path = scratch_path(spark, "replace-empty")
-    rows = load_table(spark, sf, "nation").select("n_nationkey")
+    rows = load_table(spark, sf, "orders").select("o_orderkey")
     for batch in ("gone", "kept"):
         replace_partition(rows, path, batch)
-    replace_partition(rows.filter("n_nationkey < 0"), path, "gone")
+    replace_partition(rows.filter("o_orderkey < 0"), path, "gone")
     return spark.read.parquet(path)
 
 
-@q("overwrite_partitioned", "SELECT n_nationkey, n_regionkey FROM nation WHERE n_regionkey <> 1")
+@q("overwrite_partitioned", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'F'")
 def _q_overwrite(spark, sf):
     path = scratch_path(spark, "overwrite")
-    rows = load_table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
-    overwrite(rows, path, ["n_regionkey"])
-    overwrite(rows.filter("n_regionkey <> 1"), path, ["n_regionkey"])
+    rows = load_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    overwrite(rows, path, ["o_orderstatus"])
+    overwrite(rows.filter("o_orderstatus <> 'F'"), path, ["o_orderstatus"])
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@q("upsert_snapshot", _with(f"""
+SELECT season, round, constructor_id, driver_id,
+       CASE WHEN season = 1998 THEN points + 1000 ELSE points END AS points,
+       CASE WHEN season = 1998 THEN '2099-01' ELSE batch_id END AS batch_id
+FROM ({_SILVER_RESULTS})"""))
+def _q_upsert_snapshot(spark, sf):
+    """Guarded upserts into a versioned table, with a write between them that dies before its pointer."""
+    path = scratch_path(spark, "snapshot-results")
+    src = _clean_results(spark, sf)
+    keys = ["season", "round", "constructor_id", "driver_id"]
+    cols = [c for c in src.columns if c not in keys]
+    bumped = src.withColumn("points", F.col("points") + 1000)
+    stale = bumped.filter(F.col("season") == 1997).withColumn("batch_id", F.lit("1990-01"))
+    newer = bumped.filter(F.col("season") == 1998).withColumn("batch_id", F.lit("2099-01"))
+    for rows in (src.filter(F.col("round") <= 6), src.filter(F.col("round") >= 4), stale.unionByName(newer)):
+        upsert_table(rows, path, keys, cols, ["season", "round"], newer_batch_guard)
+        write_unpublished(bumped, path, ["season", "round"])
+    return read_table(spark, path).select(*keys, "points", "batch_id")
+
+
+@q("control_table_updates", _with(f"""
+SELECT batch_id, CASE WHEN batch_id < '1999-01' THEN 'completed' ELSE 'in_progress' END AS status
+FROM (SELECT DISTINCT {_BATCH} AS batch_id FROM dim_races)"""))
+def _q_control_updates(spark, sf):
+    """K5, K10 on a stored table: batches start, and the matched in_progress rows among them are completed."""
+    path = scratch_path(spark, "control")
+    ids = list_landing_batches(spark, landed(spark, sf))
+    append_table(ids.withColumn("status", F.lit(B.IN_PROGRESS)), path)
+    done = ids.filter("batch_id < '1999-01'").withColumn("status", F.lit(B.COMPLETED))
+    missing = ids.withColumn("batch_id", F.concat("batch_id", F.lit("-x"))).withColumn("status", F.lit("none"))
+    update_table(done.unionByName(missing), path, ["batch_id"], ["status"], extra=lambda t, s: t("status") == B.IN_PROGRESS)
+    return read_table(spark, path)
+
+
 @q("rank_fractional", """
 WITH r AS (SELECT l_suppkey, sum(l_extendedprice * (1 - l_discount)) AS rev FROM lineitem GROUP BY l_suppkey)
 SELECT l_suppkey, round(rev, 2) AS rev, rank() OVER (ORDER BY rev DESC)::int AS rnk,
@@ -290,13 +365,35 @@ def _q_rank_fractional(spark, sf):
 
 @q("stream_ingest_two_triggers", _with(f"SELECT * EXCLUDE (date) FROM ({raw_results_sql('RACE')})"))
 def _q_stream_twice(spark, sf):
-    """One file per micro-batch: a batch's files arrive apart and its partition stays whole."""
-    out = scratch_path(spark, "bronze-stream")
-    ingest_available(spark, landed(spark, sf), "results", out, scratch_path(spark, "stream-ckpt"),
-                     max_files_per_trigger=200)
+    """Several files a batch, fewer files a micro-batch: a batch's files arrive apart and its partition stays whole."""
+    root, out = scratch_path(spark, "landing-split"), scratch_path(spark, "bronze-stream")
+    for part in (0, 1):                     # a file per batch and part
+        rows = scan_landed(spark, landed(spark, sf), "results").filter(F.pmod(F.xxhash64("driverId"), F.lit(2)) == part)
+        write_ndjson(rows.withColumn("date", F.date_format("date", "yyyy-MM-dd")), f"{root}/results", ["batch_id"], "append")
+    took = ingest_available(spark, root, "results", out, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=60)
+    if took < 2:
+        raise AssertionError(f"{took} micro-batch")
     return spark.read.parquet(out).drop("date", "ingestion_timestamp", "source_file")
 
 
+@q("stream_stale_guard", _with(f"""
+SELECT season, round, constructorId, driverId, CASE WHEN season = 1998 THEN points + 1000 ELSE points END AS points,
+       CASE WHEN season = 1998 THEN '2099-01' ELSE batch_id END AS batch_id
+FROM ({raw_results_sql('RACE')})"""))
+def _q_stream_guard(spark, sf):
+    """Files of an older batch land after a restart and change nothing; those of a newer one do."""
+    root, out, ckpt = (scratch_path(spark, n) for n in ("landing-guard", "silver-stream", "guard-ckpt"))
+    rows = scan_landed(spark, landed(spark, sf), "results").withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+    bumped = rows.withColumn("points", (F.col("points") + 1000).cast("float"))
+    stale = bumped.filter("season <> 1998").withColumn("batch_id", F.lit("1990-01"))
+    newer = bumped.filter("season = 1998").withColumn("batch_id", F.lit("2099-01"))
+    keys = ["season", "round", "constructorId", "driverId"]
+    for landing in (rows, newer, stale):
+        write_ndjson(landing, f"{root}/results", ["batch_id"], "append")
+        upsert_stream(spark, root, "results", out, ckpt, keys, ["season", "round"])
+    return read_table(spark, out).select(*keys, "points", "batch_id")
+
+
 _CONTROL = f"""
 landed AS (SELECT DISTINCT {_BATCH} AS batch_id FROM dim_races),
 control AS (
@@ -390,6 +487,42 @@ def _q_dq(spark, sf):
     return results_frame(spark, res).drop("run_id", "table_name", "batch_id", "run_timestamp")
 
 
+_KEPT_CHECKS = [c for c in DQ_CHECKS if c["type"] in ("not_null", "unique", "min_rows", "value_range", "not_negative",
+                                                      "referential") and c["name"] not in ("bad_column", "missing_parent")]
+
+
+@q("dq_incremental", """
+WITH s AS (SELECT count(*) AS total, count_if(l_orderkey IS NULL) AS nn,
+                  count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS dup,
+                  count_if(l_discount IS NOT NULL AND (l_discount < 0 OR l_discount > 0.05)) AS rng,
+                  count_if(l_quantity IS NOT NULL AND l_quantity < 0) AS neg,
+                  count_if(l_partkey IS NOT NULL AND l_partkey NOT IN
+                           (SELECT p_partkey FROM part WHERE p_size > 10 AND p_partkey IS NOT NULL)) AS orph
+           FROM lineitem),
+r AS (
+  SELECT 'orderkey_not_null' AS check_name, 'not_null' AS check_type, 'critical' AS severity, nn AS fail_count, total FROM s
+  UNION ALL SELECT 'line_key_unique', 'unique', 'warning', dup, total FROM s
+  UNION ALL SELECT 'min_rows_big', 'min_rows', 'warning', greatest(100000 - total, 0), total FROM s
+  UNION ALL SELECT 'discount_range', 'value_range', 'warning', rng, total FROM s
+  UNION ALL SELECT 'quantity_not_negative', 'not_negative', 'critical', neg, total FROM s
+  UNION ALL SELECT 'part_ref_big_parts', 'referential', 'warning', orph, total FROM s)
+SELECT check_name, check_type, severity, fail_count = 0 AS passed, fail_count::bigint AS fail_count, total::bigint AS total_rows
+FROM r""")
+def _q_dq_incremental(spark, sf):
+    """Four batches of lineitem, the third one at first with wrong rows and then again; some parts come late."""
+    li = load_table(spark, sf, "lineitem")
+    parts, late = load_table(spark, sf, "part").filter(F.col("p_size") > 10), [True]
+    state = CheckState(spark, scratch_path(spark, "check-state"), _KEPT_CHECKS,
+                       lambda name: parts.filter("p_partkey % 2 = 0") if late[0] else parts)
+    for n in range(4):
+        rows = li.filter(F.col("l_orderkey") % 4 == n)
+        if n == 2:
+            state.add_batch(rows.union(rows).withColumn("l_quantity", F.lit(-1.0)), str(n))
+        state.add_batch(rows, str(n))
+    late[0] = False
+    return state.results()
+
+
 # --- pipeline and streaming -------------------------------------------------------------------
 @q("medallion_backfill", _with("""
 SELECT season, round, CAST(constructor_id AS VARCHAR) AS constructor_id, CAST(driver_id AS VARCHAR) AS driver_id,
@@ -403,6 +536,89 @@ def _q_backfill(spark, sf):
     return read_table(spark, lake.gold("fact_session_results")).drop("created_timestamp", "updated_timestamp")
 
 
+_LAKES: dict[tuple[str, str], PL.Lake] = {}
+
+
+def _backfilled(spark, sf) -> PL.Lake:
+    """The lake of a backfill, run once per application and scale directory for the rows on its tables."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LAKES:
+        lake = PL.Lake(scratch_path(spark, "lake"))
+        t = {n: load_table(spark, sf, n) for n in ("nation", "region")}
+        PL.backfill(spark, landed(spark, sf), lake, nationality_region(t["nation"], t["region"]))
+        _LAKES[key] = lake
+    return _LAKES[key]
+
+
+_STORED = ("created_timestamp", "updated_timestamp", "ingestion_timestamp", "source_file", "key_bucket")
+
+
+@q("medallion_dim_drivers", _with("""
+SELECT CAST(driver_id AS VARCHAR) AS driver_id, driver_name, date_of_birth, nationality, nationality_region
+FROM dim_drivers WHERE driver_id IN (SELECT driver_id FROM fact)"""))
+def _q_lake_drivers(spark, sf):
+    return read_table(spark, _backfilled(spark, sf).gold("dim_drivers")).drop(*_STORED)
+
+
+@q("medallion_dim_constructors", _with("""
+SELECT CAST(constructor_id AS VARCHAR) AS constructor_id, constructor_name, nationality, nationality_region
+FROM dim_constructors WHERE constructor_id IN (SELECT constructor_id FROM fact)"""))
+def _q_lake_constructors(spark, sf):
+    return read_table(spark, _backfilled(spark, sf).gold("dim_constructors")).drop(*_STORED)
+
+
+@q("medallion_dim_races", _with("SELECT * FROM dim_races"))
+def _q_lake_races(spark, sf):
+    return read_table(spark, _backfilled(spark, sf).gold("dim_races")).drop(*_STORED)
+
+
+@q("clean_circuits", _with(f"""
+SELECT lower(country) AS circuit_id, circuit_name, CAST(n_nationkey * 3.5 - 40.0 AS DOUBLE) AS latitude,
+       CAST(n_nationkey * 7.0 - 80.0 AS DOUBLE) AS longitude,
+       locality, country, max({_BATCH}) AS batch_id
+FROM dim_races JOIN nation ON n_name = country GROUP BY 1, 2, 3, 4, 5, 6"""))
+def _q_lake_circuits(spark, sf):
+    return read_table(spark, _backfilled(spark, sf).silver("circuits")).drop(*_STORED)
+
+
+@q("dq_suites_passed", _with("""
+SELECT t AS table_name, true AS passed FROM unnest(['circuits', 'races', 'constructors', 'drivers', 'results', 'sprints']) AS x(t)"""))
+def _q_suites(spark, sf):
+    """Q10, Q13: the audit rows of the six suites of a backfill; no check failed or couldn't run."""
+    rows = read_table(spark, _backfilled(spark, sf).audit)
+    name = F.element_at(F.split("table_name", "/"), -1).alias("table_name")
+    return rows.groupBy(name).agg(F.bool_and(F.col("passed")).alias("passed"))
+
+
+@q("batch_retry", _with("""
+SELECT season, round, CAST(constructor_id AS VARCHAR) AS constructor_id, CAST(driver_id AS VARCHAR) AS driver_id,
+       session_type, CAST(points AS FLOAT) AS points, final_position, is_win
+FROM fact WHERE season = (SELECT min(season) FROM fact)
+  AND round = (SELECT min(round) FROM fact WHERE season = (SELECT min(season) FROM fact))"""))
+def _q_retry(spark, sf):
+    """The first batch fails at its last step but one, is refused to another run, and is taken up where it failed."""
+    lake = PL.Lake(scratch_path(spark, "lake"))
+    root, t = landed(spark, sf), {n: load_table(spark, sf, n) for n in ("nation", "region")}
+    b = PL.next_batch_id(spark, root, lake)
+
+    class Lost(Exception):
+        pass
+
+    def lost(step: str) -> None:
+        if step == "star schema":
+            raise Lost
+
+    region = nationality_region(t["nation"], t["region"])
+    try:
+        PL.run_batch(spark, root, lake, b, region, before_step=lost)
+    except Lost:
+        pass
+    if PL.next_batch_id(spark, root, lake) == b or PL.retry_failed(spark, root, lake, region) != [b]:
+        raise AssertionError("the failed batch is not held for a retry")
+    return read_table(spark, lake.gold("fact_session_results")).select(
+        "season", "round", "constructor_id", "driver_id", "session_type", "points", "final_position", "is_win")
+
+
 @q("stream_ingest", _with(f"SELECT * EXCLUDE (date) FROM ({raw_results_sql('RACE')})"))
 def _q_stream(spark, sf):
     out = scratch_path(spark, "bronze-stream")

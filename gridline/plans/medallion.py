@@ -220,12 +220,13 @@ def complete_batch(spark: SparkSession, lake: Lake, batch_id: str) -> None:
 
 
 def run_batch(spark: SparkSession, landing: str, lake: Lake, batch_id: str | None, ref_region: DataFrame,
-              parallel_loads: int = 3, control: bool = True, retry: bool = False) -> list[dict]:
+              parallel_loads: int = 3, control: bool = True, retry: bool = False,
+              before_step: Callable[[str], object] = lambda name: None) -> list[dict]:
     """M5: six loads (in parallel) → six cleans (parents first) → dims + fact → complete.
 
     A batch is claimed first; one that another run has claimed is refused. A batch whose run failed
     stays claimed (and in_progress) until it is run with ``retry``, which takes it over and goes
-    on with the first step that isn't recorded as finished.
+    on with the first step that isn't recorded as finished. ``before_step`` is told each step's name.
     """
     checkpoint_root(spark)
     tracked = control and batch_id is not None
@@ -235,7 +236,10 @@ def run_batch(spark: SparkSession, landing: str, lake: Lake, batch_id: str | Non
         done = finished_steps(spark, lake.ledger, batch_id)
 
         def step(name, work):
-            return [] if name in done else run_step(spark, lake.ledger, run, name, work)
+            if name in done:
+                return []
+            before_step(name)
+            return run_step(spark, lake.ledger, run, name, work)
 
         step("start", lambda: start_batch(spark, lake, batch_id))
     _run_all(lambda n: step(f"load {n}", lambda: load_raw(spark, landing, lake, n, batch_id)), DATASETS, parallel_loads)

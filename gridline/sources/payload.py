@@ -8,7 +8,8 @@ them is not part of this library.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +63,34 @@ def page_check(records: DataFrame, by: Sequence[str] = (), count: Column | None
             .drop("limit"))
 
 
+class PagesMissing(Exception):
+    """Landed pages don't make up what their headers declare."""
+
+
+def read_complete_pages(spark: SparkSession, path: str, data_key: str, record_key: str, record: str,
+                        by: Mapping[str, str] = MappingProxyType({}), records: str | None = None) -> DataFrame:
+    """The records of all pages, refused unless every endpoint's pages are all there.
+
+    ``by`` names the record fields that tell endpoints apart (season and round of a results endpoint), ``records``
+    the array in a record that ``total`` counts. An endpoint's offsets must be 0, limit, 2 limit, ... below
+    its total, each once; which are missing or landed twice is said in the error, for the first few endpoints.
+    """
+    found = combine_pages(read_pages(spark, path, data_key, record_key, record), data_key, record_key)
+    named = found.withColumns({k: F.col(f"record.{v}") for k, v in by.items()})
+    count = F.size(f"record.{records}") if records else F.lit(1)
+    pages = named.groupBy(*by, "total", "limit", "offset").agg(F.sum(count).alias("n"), F.count_if(F.col("pos") == 0).alias("times"))
+    whole = pages.groupBy(*by, "total", "limit").agg(
+        F.collect_set("offset").alias("offsets"), F.sum("n").alias("n"), F.max("times").alias("times"))
+    # A list entry per page of an endpoint, as many as its fetch had requests.
+    missing = F.array_except(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("total") - 1, F.lit(0)), F.col("limit")), "offsets")
+    bad = whole.withColumn("missing", missing).filter((F.size("missing") > 0) | (F.col("n") != F.col("total")) | (F.col("times") > 1))
+    wrong = bad.limit(5).collect()
+    if wrong:
+        raise PagesMissing("; ".join(f"{[r[k] for k in by]}: {r['n']} of {r['total']} records, offsets missing {r['missing'][:10]}"
+                                     + (", some landed twice" if r["times"] > 1 else "") for r in wrong))
+    return found
+
+
 def _result_rows(races: DataFrame, array_field: str, first_race_only: bool) -> DataFrame:
     if first_race_only:
         races = races.filter(F.col("pos") == 0)

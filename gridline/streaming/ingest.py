@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sinks.writes import overwrite_partitions
-from ..sources.files import RAW_FORMATS, RAW_SCHEMAS, batch_path
+from ..sources.files import RAW_FORMATS, RAW_SCHEMAS, batch_path, with_source_file
 
 
 def landed_stream(spark: SparkSession, landing: str, dataset: str, max_files_per_trigger: int | None = None
@@ -31,12 +31,14 @@ def _reader(read, dataset: str):
     return read.schema(f"{RAW_SCHEMAS[dataset]}, batch_id STRING").option("mode", "FAILFAST")
 
 
-def _with_metadata(r, landing: str, dataset: str) -> DataFrame:
-    path = batch_path(landing, dataset)
-    r = r.option("basePath", path)
-    df = r.option("header", True).csv(path) if RAW_FORMATS[dataset] == "csv" else r.json(path)
-    return df.withColumns({"ingestion_timestamp": F.current_timestamp(),
-                           "source_file": F.col("_metadata.file_path")})
+def _scan(r, path, dataset: str) -> DataFrame:
+    return r.option("header", True).csv(path) if RAW_FORMATS[dataset] == "csv" else r.json(path)
+
+
+def _with_metadata(r, landing: str, dataset: str, path=None) -> DataFrame:
+    base = batch_path(landing, dataset)
+    df = with_source_file(_scan(r.option("basePath", base), path or base, dataset))
+    return df.withColumn("ingestion_timestamp", F.current_timestamp())
 
 
 def _replace_batches(spark: SparkSession, landing: str, dataset: str, target: str):
@@ -44,20 +46,27 @@ def _replace_batches(spark: SparkSession, landing: str, dataset: str, target: st
 
     A batch's files may arrive in several micro-batches, so its partition is made from all files it
     has landed so far, not from the new ones alone; a replayed micro-batch writes the same again.
+    Only the folders of these batches are opened: their ids, at most one per file of the micro-batch,
+    name the paths to read.
     """
     def write(batch: DataFrame, epoch_id: int) -> None:
-        touched = batch.select("batch_id").distinct()
-        landed = _with_metadata(_reader(spark.read, dataset), landing, dataset)
-        overwrite_partitions(landed.join(touched, "batch_id", "left_semi").select(*batch.columns), target, ["batch_id"])
+        ids = sorted(r["batch_id"] for r in batch.select("batch_id").distinct().collect())
+        if not ids:
+            return
+        paths = [batch_path(landing, dataset, i) for i in ids]
+        landed = _with_metadata(_reader(spark.read, dataset), landing, dataset, paths)
+        overwrite_partitions(landed.select(*batch.columns), target, ["batch_id"])
     return write
 
 
 def ingest_available(spark: SparkSession, landing: str, dataset: str, target: str, checkpoint: str,
-                     max_files_per_trigger: int | None = None) -> None:
-    """Load every not-yet-loaded landed file of ``dataset`` into the raw table at ``target``; then stop."""
+                     max_files_per_trigger: int | None = None) -> int:
+    """Load every not-yet-loaded landed file of ``dataset`` into the raw table at ``target``, then stop.
+    Returns how many micro-batches it took."""
     q = (landed_stream(spark, landing, dataset, max_files_per_trigger).writeStream
          .foreachBatch(_replace_batches(spark, landing, dataset, target))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
+    return sum(p["numInputRows"] > 0 for p in q.recentProgress)

@@ -43,3 +43,28 @@ def test_a_batch_in_several_files_stays_whole(spark, tmp_dir):
     _land(landing, "2024-01", 2, "c")
     ingest_available(spark, landing, "results", target, ckpt)
     assert spark.read.parquet(target).count() == 9
+
+
+def test_stale_rows_are_dropped_after_a_restart(spark, tmp_dir):
+    from gridline.sinks.snapshots import read_table, versions
+    from gridline.streaming.guard import upsert_stream
+
+    target, ckpt = scratch_path(spark, "silver"), scratch_path(spark, "guard-ckpt")
+    keys = ["season", "round", "constructorId", "driverId"]
+    run = lambda **kw: upsert_stream(spark, tmp_dir, "results", target, ckpt, keys, ["season", "round"], **kw)
+
+    def stored():
+        return {(r.driverId, r.batch_id) for r in read_table(spark, target).collect()}
+
+    _land(tmp_dir, "2024-05", 2, "a")
+    run()
+    assert stored() == {("d0", "2024-05"), ("d1", "2024-05")}
+    _land(tmp_dir, "2024-04", 3, "late")               # older for d0 and d1, the first of d2
+    run()
+    assert stored() == {("d0", "2024-05"), ("d1", "2024-05"), ("d2", "2024-04")}
+    _land(tmp_dir, "2024-06", 1, "b")
+    _land(tmp_dir, "2024-03", 1, "older")
+    assert run(max_files_per_trigger=1) == 2
+    assert stored() == {("d0", "2024-06"), ("d1", "2024-05"), ("d2", "2024-04")}
+    n = len(versions(spark, target))
+    assert run() == 0 and len(versions(spark, target)) == n
