@@ -94,7 +94,8 @@ def _batches(ids: DataFrame, batches: int) -> list[float]:
 def repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int = 4,
                    fanout: int = 2) -> DataFrame:
     """Line keys of at least ``min_chars`` code points found in at least ``min_docs`` documents:
-    (h1, h2, n_docs, owner). ``n_docs`` is at least ``min_docs`` but stops growing once settled."""
+    (h1, h2, n_docs, owner). The runs stop counting a key once it is settled, so ``n_docs``, by which hot
+    keys are split, comes from the batches' counts (a row per key and batch)."""
     spark = docs.sparkSession
     checkpoint_root(spark)
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of(docs).alias("text"))
@@ -112,7 +113,10 @@ def repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batc
     for b in range(len(cuts) + 1):
         one = spark.read.schema(schema).parquet(staged).filter(F.col("batch") == b).drop("batch")
         store.add(one.repartition(store.buckets, *HASH))
-    return store.close()
+    settled = store.close().drop("n_docs")
+    counts = (spark.read.schema(schema).parquet(staged).join(settled.select(*HASH), HASH, "left_semi")
+              .groupBy(*HASH).agg(F.sum("n_docs").alias("n_docs")))
+    return settled.join(counts, HASH).select(*HASH, "n_docs", "owner")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int = 4,

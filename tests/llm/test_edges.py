@@ -51,6 +51,13 @@ def test_line_runs_do_not_depend_on_batches(docs):
     assert (sorted((r.h1, r.owner) for r in one.collect()) == sorted((r.h1, r.owner) for r in many.collect()))
 
 
+def test_settled_lines_are_counted_on(spark):
+    """A line mostly in the lowest ids is settled by the first batch; its weight is that of all its documents."""
+    docs = spark.range(4000).selectExpr("id doc_id", "if(id < 3000 or id > 3990, 'a line that nearly all of them hold', 'x') text")
+    assert [r.n_docs for r in line_dedup.repeated_lines(docs).collect()] == [3009]
+    assert line_dedup.dedup_lines(docs).filter("n_dropped = 1").count() == 3008
+
+
 def test_token_blocks(spark, docs):
     import public_tokenizers
     path = public_tokenizers.path("byte_bpe_50k.json")
