@@ -102,9 +102,13 @@ def label_position(long: DataFrame, entity: Sequence[str], color: str, offset: f
 
 def cumulative_series(evo: DataFrame, entity: str, step: str, rank_col: str, highlight_n: int,
                       name_col: str, partition_cols: Sequence[str] = ("season",),
-                      entity_label: str = "Driver", rank_alias: str | None = None) -> DataFrame:
+                      entity_label: str = "Driver", rank_alias: str | None = None,
+                      series: DataFrame | None = None) -> DataFrame:
     """H4: slice maximum, latest step, each entity's rank at the latest step, styling and tooltips.
 
+    ``series`` is what ``evo`` was made of before its lookups (the same slices, steps and cumulative points):
+    the slice-wide values are taken from it, so that the lookups are joined once.
+
     ``rank_alias`` exposes the rank under a second name (the constructor charts read it
     as ``rank_position``).
     """
@@ -114,8 +118,9 @@ def cumulative_series(evo: DataFrame, entity: str, step: str, rank_col: str, hig
     s = evo.withColumn("round_num", F.col(step).cast("int"))
     # slice-wide values: one partial aggregate per slice, joined back (the slice is never one task)
     if pc:
-        agg = s.groupBy(*pc).agg(F.max("cumulative_points").alias("global_max"),
-                                 F.max("round_num").alias("max_round_num"))
+        whole = s if series is None else series.withColumn("round_num", F.col(step).cast("int"))
+        agg = whole.groupBy(*pc).agg(F.max("cumulative_points").alias("global_max"),
+                                     F.max("round_num").alias("max_round_num"))
         s = join_null_safe(s, agg, pc)
     else:                                   # whole dataset: two scalar sub-queries
         s = s.withColumns({"global_max": s.agg(F.max("cumulative_points")).scalar(),

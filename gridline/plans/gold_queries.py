@@ -8,6 +8,7 @@ oracle, written against the CTEs of ``oracle_sql`` (``fact``, ``dim_*``, ``ref_*
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -448,7 +449,9 @@ FROM (SELECT *, min(rank_at_latest) OVER (PARTITION BY season, driver_id) AS cur
                          max(CAST(round AS INTEGER)) OVER (PARTITION BY season) AS max_round_num
                   FROM v_driver_evolution)))""")
 def _chart_cum(g, cfg):
-    return C.cumulative_series(V.driver_evolution(g, cfg), "driver_id", "round", "driver_rank", 10, "driver_name")
+    ranked = V.driver_series(g, cfg)
+    return C.cumulative_series(V.driver_evolution(g, cfg, ranked=ranked), "driver_id", "round", "driver_rank", 10,
+                               "driver_name", series=ranked)
 
 
 @q("chart_constructor_cumulative_series", f"""
@@ -469,8 +472,10 @@ FROM (SELECT *, min(rank_at_latest) OVER (PARTITION BY season, constructor_id) A
                          max(CAST(round AS INTEGER)) OVER (PARTITION BY season) AS max_round_num
                   FROM v_constructor_evolution)))""")
 def _chart_cons_cum(g, cfg):
-    return C.cumulative_series(V.constructor_evolution(g, cfg), "constructor_id", "round", "constructor_rank", 7,
-                               "constructor_name", entity_label="Constructor", rank_alias="rank_position")
+    ranked = V.constructor_series(g, cfg)
+    return C.cumulative_series(V.constructor_evolution(g, cfg, ranked=ranked), "constructor_id", "round",
+                               "constructor_rank", 7, "constructor_name", entity_label="Constructor",
+                               rank_alias="rank_position", series=ranked)
 
 
 @q("chart_constructor_rank_series", f"""
@@ -520,4 +525,4 @@ def _recent(g, cfg):
 
 @q("dashboard_slice", "SELECT * FROM v_driver_evolution WHERE season = 1999")
 def _slice(g, cfg):
-    return C.slice_by(V.driver_evolution(g, cfg), season=1999)
+    return C.slice_by(V.driver_evolution(g, replace(cfg, season=1999)), season=1999)

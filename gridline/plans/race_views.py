@@ -27,6 +27,8 @@ class RaceConfig:
     default_color: str = "#7C8AA5"
     default_logo: str = SVG_BASE + "/default.svg"
     default_flag: str = FLAG_BASE + "/default-32px.png"
+    # One season only, so that nothing else is read or ranked (None: all from ``min_season`` on).
+    season: int | None = None
     # How ranks are found: ``rank_live`` makes every view a plan that no job has gone into.
     ranker: Callable[..., DataFrame] = rank_within
 
@@ -35,7 +37,8 @@ RACE, SPRINT = "RACE", "SPRINT"
 
 
 def _base(g: Gold, cfg: RaceConfig, sessions) -> DataFrame:
-    return A.in_scope(g.fact, "season", cfg.min_season, sessions)
+    base = A.in_scope(g.fact, "season", cfg.min_season, sessions)
+    return base if cfg.season is None else base.filter(F.col("season") == cfg.season)
 
 
 def _races(g: Gold) -> DataFrame:
@@ -63,15 +66,25 @@ def constructor_reference(g: Gold, cfg: RaceConfig, ties: str = "all") -> DataFr
                     default_to("logo_svg", cfg.default_logo).alias("cons_logo")))
 
 
+def constructor_series(g: Gold, cfg: RaceConfig) -> DataFrame:
+    """Cumulative points and rank of constructors per round: V3 before names and colours are looked up."""
+    pts = A.step_totals(_base(g, cfg, [RACE, SPRINT]), ["season", "round", "constructor_id"], "points", "round_points")
+    return A.cumulative_rank(pts, "season", "round", "constructor_id", "round_points", "cumulative_points",
+                             "constructor_rank", ranker=cfg.ranker)
+
+
+def driver_series(g: Gold, cfg: RaceConfig) -> DataFrame:
+    """Densified cumulative points and rank of drivers per round: V4 before its lookups."""
+    pts = A.step_totals(_base(g, cfg, [RACE, SPRINT]), ["season", "round", "driver_id"], "points", "round_points")
+    return A.cumulative_rank(pts, "season", "round", "driver_id", "round_points", "cumulative_points", "driver_rank",
+                             densify_steps=True, ranker=cfg.ranker)
+
+
 def constructor_evolution(g: Gold, cfg: RaceConfig, ranked: DataFrame | None = None) -> DataFrame:
     """V3 v_constructor_evolution: cumulative points and rank per round (no densify).
 
     ``ranked`` is the ranked series kept elsewhere (``plans.incremental``)."""
-    if ranked is None:
-        pts = A.step_totals(_base(g, cfg, [RACE, SPRINT]), ["season", "round", "constructor_id"],
-                            "points", "round_points")
-        ranked = A.cumulative_rank(pts, "season", "round", "constructor_id", "round_points",
-                                   "cumulative_points", "constructor_rank", ranker=cfg.ranker)
+    ranked = constructor_series(g, cfg) if ranked is None else ranked
     c = g.dim_constructors.select("constructor_id", F.col("constructor_name").alias("cons_name"),
                                   shorten("constructor_name", " Team", "").alias("constructor_name"))
     r = _races(g).select("season", "round", "circuit_name", "short_race_name")
@@ -86,10 +99,7 @@ def driver_evolution(g: Gold, cfg: RaceConfig, cref: DataFrame | None = None,
                      ranked: DataFrame | None = None) -> DataFrame:
     """V4 v_driver_evolution: densified (0 for missed rounds) cumulative points and rank."""
     cref = cref if cref is not None else constructor_reference(g, cfg)
-    if ranked is None:
-        pts = A.step_totals(_base(g, cfg, [RACE, SPRINT]), ["season", "round", "driver_id"], "points", "round_points")
-        ranked = A.cumulative_rank(pts, "season", "round", "driver_id", "round_points", "cumulative_points",
-                                   "driver_rank", densify_steps=True, ranker=cfg.ranker)
+    ranked = driver_series(g, cfg) if ranked is None else ranked
     d = g.dim_drivers.select("driver_id", "driver_name", short_name("driver_name").alias("short_name"))
     dc = g.ref_driver_code.select("driver_id", F.col("fia_driver_code").alias("driver_code"))
     r = _races(g).select("season", "round", "race_name", "short_race_name", "circuit_name")

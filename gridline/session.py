@@ -44,12 +44,11 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_conf(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings the operators need to an existing session."""
+    """Apply the runtime SQL settings the operators need to an existing session. A session that
+    refuses one would give wrong results (casts that don't fail, partitions wiped), so that is an error."""
     for k, v in REQUIRED_CONF.items():
-        try:
+        if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared cluster: leave the cluster's value
-            pass
     return spark
 
 

@@ -6,7 +6,8 @@ overwrite:
 
 * the target is partitioned by ``partition_by`` (columns of the key, e.g. season and
   round, or a hash bucket of the key), so one batch touches few partitions and only
-  those are read, merged and rewritten -- work grows with the batch, not the table;
+  those are read, merged and rewritten -- work grows with the batch, not the table. Only where
+  a key may be stored in another partition than its row's are the table's keys searched;
 * matched rows: when the guard holds, the listed columns (and ``updated_timestamp``)
   come from the source, otherwise the target row stays as it was;
 * target-only rows stay; source-only rows are inserted whole; null keys never match
@@ -14,6 +15,8 @@ overwrite:
 * the merged partitions are checkpointed to the shared checkpoint folder before the
   overwrite, so the write never reads the files it replaces, and a lost executor
   restarts from the checkpoint instead of the half-written table.
+
+The overwrite itself isn't atomic on a plain folder; ``sinks.snapshots`` has the same merge on versioned tables.
 """
 
 from __future__ import annotations
@@ -105,9 +108,13 @@ def stored_schema(spark: SparkSession, path: str, like: DataFrame, partition_by:
 
 def upsert(source: DataFrame, path: str, keys: Sequence[str], update_cols: Sequence[str],
            partition_by: Sequence[str], guard: Guard | None = None,
-           constraints: Sequence[Mapping[str, str]] = (), check_unique: bool = True) -> str:
+           constraints: Sequence[Mapping[str, str]] = (), check_unique: bool = True,
+           key_decides: bool | None = None) -> str:
     """K2: create the table on first write, else MERGE ``source`` into it. Returns 'created'/'merged'.
 
+    ``key_decides`` states that a key's partition is a function of the key (the default where the
+    partition columns are part of it): then the partitions of the source's rows are all there is to open.
+
     ``constraints`` are enforced on the rows to be written (refusing the write), which
     is what a CHECK constraint on the table would do.
     """
@@ -124,12 +131,19 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], update_cols: Seque
     if moved:
         raise ValueError(f"partition columns {moved} can't be updated in place")
     target = spark.read.schema(stored_schema(spark, path, final, partition_by)).parquet(path)
-    # A key matches wherever it is stored. The partitions to rewrite are those of the source's rows
-    # and those that hold one of its keys; the search reads key and partition columns only.
     place = list(dict.fromkeys(partition_by))
-    holding = target.select(*dict.fromkeys([*place, *keys])).join(
-        final.select(*keys).distinct(), list(keys), "left_semi").select(*place)
-    touched = holding.union(final.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in place])).distinct()
+    touched = final.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in place])
+    if not (set(place) <= set(keys) if key_decides is None else key_decides):
+        # A key matches wherever it is stored; the search reads key and partition columns only.
+        touched = touched.union(target.select(*dict.fromkeys([*place, *keys])).join(
+            final.select(*keys).distinct(), list(keys), "left_semi").select(*place))
+    touched = touched.distinct()
+    # Each partition column's values, as many as the batch has partitions at most, prune the scan.
+    values = touched.agg(*[F.collect_set(c).alias(c) for c in place],
+                         *[F.bool_or(F.col(c).isNull()).alias(f"null {c}") for c in place]).first()
+    for c in place:
+        known = target[c].isin(values[c])
+        target = target.filter(known | target[c].isNull() if values[f"null {c}"] else known)
     # Null-safe: rows whose partition value is null are a partition too.
     touched = touched.select(*[F.col(c).alias(f"__in_{c}") for c in place])
     same = reduce(lambda a, b: a & b, [target[c].eqNullSafe(F.col(f"__in_{c}")) for c in place])

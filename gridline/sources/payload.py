@@ -92,8 +92,8 @@ def read_complete_pages(spark: SparkSession, path: str, data_key: str, record_ke
 
 
 def _result_rows(races: DataFrame, array_field: str, first_race_only: bool) -> DataFrame:
-    if first_race_only:
-        races = races.filter(F.col("pos") == 0)
+    if first_race_only:                    # races[0] of the combined pages: the first record of the first page
+        races = races.filter((F.col("offset") == 0) & (F.col("pos") == 0))
     r = races.select("race.*").select(
         F.col("date"), F.lower("raceName").alias("raceName"), F.col("round").cast("int").alias("round"),
         F.col("season").cast("int").alias("season"), F.col("url"), F.explode(array_field).alias("x"))
@@ -107,7 +107,7 @@ def _result_rows(races: DataFrame, array_field: str, first_race_only: bool) -> D
 
 
 def races_of(records: DataFrame) -> DataFrame:
-    """Race records with their position in the page (``pos == 0`` is the page's ``races[0]``)."""
+    """Race records with their page's offset and position in it (0 and 0 for the first of an endpoint)."""
     return records.select("offset", "pos", F.col("record").alias("race"))
 
 
