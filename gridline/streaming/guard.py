@@ -1,9 +1,9 @@
 """A stream that drops stale rows itself (K3 as keyed state).
 
 The guarded upsert compares each batch with the stored table. A stream can carry the newest batch id of
-each key as state instead: rows of an older batch than the key has seen, whenever their file arrives, never leave the
-operator, after a restart too, since state is restored from the checkpoint. What passes is
-written as new versions of the table.
+each key as state instead: rows of an older batch than the key has seen, whenever their file arrives,
+never leave the operator, after a restart too, since state is restored from the checkpoint. What passes
+is written as new versions of the table.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..sinks.snapshots import upsert_table
@@ -22,8 +21,8 @@ from .ingest import landed_stream
 def drop_stale(stream: DataFrame, keys: Sequence[str], batch: str = "batch_id") -> DataFrame:
     """Of each key, the newest row of a micro-batch if no newer batch of the key was seen before.
 
-    Keys with a null are dropped, as a MERGE never matches them twice the same. Rows of one key and batch in
-    one micro-batch are ordered by their other columns and the first stays.
+    Rows with a null in their key are dropped: an upsert would match them with nothing and add them each
+    time. Rows of one key and batch in one micro-batch are ordered by their other columns and the first stays.
     """
     schema, columns = stream.schema, stream.columns
     rest = [c for c in columns if c not in keys and c != batch]

@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from gridline.operators import analytics as A
 from gridline.plans import incremental as I
