@@ -83,13 +83,24 @@ class BlobLedger:
             return self.spark.createDataFrame([], LEDGER)
 
     def scan(self, texts: DataFrame, rules: tuple[Rule, ...]) -> None:
-        """Run on each distinct (blob, text) the rules it hasn't had, and add them to the ledger."""
-        had = (self.rows().select("blob", F.explode("rules").alias("rule")).groupBy("blob")
-               .agg(F.collect_set("rule").alias("had")))
-        todo = F.array_except(F.array(*[F.lit(r.key) for r in rules]),
-                              F.coalesce("had", F.array().cast("array<string>")))
-        one = texts.groupBy("blob").agg(F.first("text").alias("text"))
-        new = one.join(had, "blob", "left").withColumn("rules", todo).filter(F.size("rules") > 0)
+        """Run on each distinct (blob, text) the rules it hasn't had, and add them to the ledger.
+
+        The ledger is asked by hashes alone, before any text is shuffled: only the texts of blobs that
+        lack a rule go on. A ledger without rows has nothing to tell, and all texts go on.
+        """
+        wanted = F.array(*[F.lit(r.key) for r in rules])
+        if self.rows().isEmpty():
+            new = texts.groupBy("blob").agg(F.first("text").alias("text")).withColumn("rules", wanted)
+        else:
+            had = (self.rows().select("blob", F.explode("rules").alias("rule")).groupBy("blob")
+                   .agg(F.collect_set("rule").alias("had")))
+            lacks = F.array_except(wanted, F.coalesce("had", F.array().cast("array<string>")))
+            unseen = (texts.groupBy("blob").agg(F.count(F.lit(1)).alias("copies")).join(had, "blob", "left")
+                      .select("blob", "copies", lacks.alias("rules")).filter(F.size("rules") > 0))
+            unseen = stored(unseen, "secret-unseen")     # its size is known when the join is planned
+            total = unseen.agg(F.sum("copies")).first()[0] or 0
+            new = (spread_join(texts, unseen, ["blob"], "copies", total, F.spark_partition_id())
+                   .groupBy("blob", "rules").agg(F.first("text").alias("text")))
         hits = F.array(*[F.when(F.array_contains("rules", r.key), _hits(F.col("text"), r)) for r in rules])
         (new.select("blob", "rules", F.filter(hits, lambda h: h.isNotNull()).cast(HITS).alias("hits"))
          .write.mode("append").parquet(self.root))
