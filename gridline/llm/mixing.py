@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, text_of, words_of
+from ..operators.ranking import rank_within
+from .common import spread_join, stored, text_of, words_of
 
 UNIT = ["src_no", "shard"]
 
@@ -24,56 +25,71 @@ def _draw(seed: int, *of: Column) -> Column:
                   16, 10).cast("bigint")
 
 
+def _name(docs: DataFrame) -> Column:
+    """What a document is drawn by: its doc_id; rows without one go by their texts, so that they spread as well."""
+    return F.coalesce(docs["doc_id"].cast("string"), F.concat(F.lit("-"), F.md5(text_of(docs))))
+
+
+def draw_of(docs: DataFrame, seed: int) -> Column:
+    """The seeded draw of a document."""
+    return _draw(seed, _name(docs))
+
+
+def _with_group(units: DataFrame, group: str, key: list[str], *sums: Column) -> DataFrame:
+    """``units`` plus aggregates of their group: partial sums joined back, large groups split."""
+    by = units.groupBy(group).agg(*sums, F.count(F.lit(1)).alias("__size"))
+    return spread_join(units, by, [group], "__size", units.count(), F.struct(*key)).drop("__size")
+
+
 def apportion(units: DataFrame, group: str, key: list[str], votes: str, seats: str) -> DataFrame:
     """Sainte-Lague within each ``group``: ``units`` (unique on ``key``) plus an integer ``quota``.
 
     Rounding votes * seats / all votes gives nearly all seats; the rest go to (or come from) the
     highest (lowest) quotients votes / (2k + 1). With n units in the group a unit can be off by at
     most its share of n / 2, and one, so that many quotients of each unit are enough: about 2.5 n
-    rows, however many seats there are. Ties go to the lower ``key`` (numbers).
+    rows, however many seats there are. Ties go to the lower ``key`` (numbers). A group may hold any
+    number of units: its sums are partial aggregates, its quotients are numbered over ranges of them.
+    ``units`` is read several times and should be a stored table.
     """
-    w = Window.partitionBy(group)
+    whole = F.sum(F.col(votes).cast("decimal(38,10)")).cast("double")     # the same in any order
+    u = _with_group(units, group, key, whole.alias("__all"), F.count(F.lit(1)).alias("__n"))
     share = F.when(F.col("__all") > 0, F.col(votes) / F.col("__all")).otherwise(F.lit(0.0))
-    u = (units.withColumn("__all", F.sum(votes).over(w)).withColumn("__n", F.count(F.lit(1)).over(w))
-         .withColumn("__base", F.floor(share * F.col(seats) + 0.5).cast("bigint"))
-         .withColumn("__off", F.col(seats) - F.sum("__base").over(w)))
     reach = (F.ceil(share * F.col("__n") / 2) + 1).cast("int")
-    steps = F.when(F.col("__off") > 0, reach).when(F.col("__off") < 0, F.least(reach, F.col("__base").cast("int")))
-    cand = u.filter(F.col("__off") != 0).filter(steps > 0).withColumn("__k", F.explode(F.sequence(F.lit(0), steps - 1)))
+    u = (u.withColumn("__base", F.floor(share * F.col(seats) + 0.5).cast("bigint")).withColumn("__reach", reach)
+         .drop("__all", "__n"))
+    u = stored(_with_group(u, group, key, (F.first(seats) - F.sum("__base")).alias("__off")), "mix-rounded")
     up = F.col("__off") > 0
+    steps = F.when(up, F.col("__reach")).when(F.col("__off") < 0, F.least("__reach", F.col("__base").cast("int")))
+    cand = u.filter(F.col("__off") != 0).filter(steps > 0).withColumn("__k", F.explode(F.sequence(F.lit(0), steps - 1)))
     held = F.when(up, F.col("__base") + F.col("__k")).otherwise(F.col("__base") - 1 - F.col("__k"))
-    quotient = F.col(votes) / (2 * held + 1)
-    best = Window.partitionBy(group).orderBy(F.when(up, -F.col("__q")).otherwise(F.col("__q")),
-                                             *[F.when(up, F.col(k)).otherwise(-F.col(k)) for k in key])
-    won = (cand.withColumn("__q", quotient).withColumn("__rn", F.row_number().over(best))
+    sign = F.when(up, F.lit(1)).otherwise(F.lit(-1))
+    order = {"__q": -sign * F.col(votes) / (2 * held + 1), **{f"__t{i}": sign * F.col(k) for i, k in enumerate(key)}}
+    cand = cand.select(*dict.fromkeys([group, *key]), "__off", *[c.alias(n) for n, c in order.items()], "__k")
+    won = (rank_within(cand, [group], [(n, "asc") for n in (*order, "__k")], out="__rn", unique=True)
            .filter(F.col("__rn") <= F.abs("__off")).groupBy(*key).agg(F.count(F.lit(1)).alias("__won")))
     quota = F.col("__base") + F.coalesce(F.signum("__off") * F.col("__won"), F.lit(0)).cast("bigint")
-    return u.join(won, key, "left").withColumn("quota", quota).drop(
-        "__all", "__n", "__base", "__off", "__won")
+    return u.join(won, key, "left").withColumn("quota", quota).drop("__base", "__reach", "__off", "__won")
 
 
 def source_targets(sizes: DataFrame, max_repeat: int = 3) -> DataFrame:
     """(source, source_size) -> plus src_no, target: one row per source.
 
     Sources in code-point order, null last, weigh 1, 2, 3, repeating, and share all words; a target
-    stops at ``max_repeat`` times its source and the excess is reshared by weight. In order of
-    cap / weight the capped sources come first, so the common level follows from running sums.
+    stops at ``max_repeat`` times its source and the excess is reshared by weight: the level that all
+    others reach per unit of weight rises, an aggregate over the sources at a time, until no cap lies below it.
     """
-    everything = Window.partitionBy(F.lit(0))
-    ranked = sizes.withColumn("src_no", F.row_number().over(everything.orderBy(F.asc_nulls_last("source"))))
+    ranked = rank_within(sizes, [], [("source", "asc_nulls_last")], out="src_no", unique=True)
     ranked = (ranked.withColumn("__w", ((F.col("src_no") - 1) % 3 + 1).cast("bigint"))
               .withColumn("__cap", F.lit(max_repeat) * F.col("source_size")))
-    by_ratio = everything.orderBy(F.col("__cap") / F.col("__w"), "src_no")
-    before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    onward = by_ratio.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    level = ((F.sum("source_size").over(everything) - F.coalesce(F.sum("__cap").over(before), F.lit(0)))
-             / F.sum("__w").over(onward))
-    fits = (ranked.withColumn("__level", level)
-            .withColumn("__fits", F.col("__level") <= F.col("__cap") / F.col("__w")))
-    common = F.max(F.when(F.col("__fits"), F.struct(-(F.col("__cap") / F.col("__w")), -F.col("src_no"),
-                                                    F.col("__level").alias("level")))).over(everything)["level"]
-    return (fits.withColumn("__common", common)
-            .withColumn("target", F.least(F.col("__cap").cast("double"), F.col("__common") * F.col("__w")))
+    ratio, level, n_full = F.col("__cap") / F.col("__w"), None, -1
+    while True:
+        full = F.lit(False) if level is None else ratio < level
+        r = ranked.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum(F.when(full, F.col("__cap"))), F.lit(0)),
+                       F.sum(F.when(~full, F.col("__w"))), F.count(F.when(full, 1))).first()
+        if not r[2] or r[3] == n_full:
+            break
+        level, n_full = (r[0] - r[1]) / r[2], r[3]
+    return (ranked.withColumn("target", F.least(F.col("__cap").cast("double"), F.lit(level or 0.0) * F.col("__w")))
             .select("source", "source_size", "src_no", "target"))
 
 
@@ -83,20 +99,18 @@ def plan_mix(docs: DataFrame, block_words: int = 16, shard_words: int = 1 << 20,
     ``parts``, the word ranges taken, as an array of (first, end).
 
     Null or empty text has size 0 and gives nothing; rows without source form a source of their own;
-    repeated rows are documents each; an empty table gives no rows. Input columns of these names
+    repeated rows are documents each (those of one doc_id share its shard), rows without doc_id are
+    drawn by their texts; an empty table gives no rows. Input columns of these names
     are replaced, others pass through.
     """
     size = F.size(words_of(text_of(docs))).cast("bigint")
     own = docs.drop("size", "source_size", "target", "taken", "parts")
-    id_, source = docs["doc_id"], docs["source"]
-    sized = stored(docs.select(id_.alias("doc_id"), source.alias("source"), size.alias("size")), "mix-sizes")
+    drawn = draw_of(docs, seed)
+    sized = stored(docs.select(drawn.alias("draw"), docs["source"].alias("source"), size.alias("size")), "mix-sizes")
     total = sized.agg(F.sum("size")).first()[0] or 0
     shards = max(1, -(-total // shard_words))
 
-    def shard(doc_id: Column) -> Column:
-        return (_draw(seed, F.coalesce(doc_id.cast("string"), F.lit("-"))) % shards).cast("bigint")
-
-    units = sized.groupBy("source", shard(F.col("doc_id")).alias("shard")).agg(F.sum("size").alias("unit_size"))
+    units = sized.groupBy("source", (F.col("draw") % shards).alias("shard")).agg(F.sum("size").alias("unit_size"))
     units = stored(units, "mix-units")
     sources = source_targets(units.groupBy("source").agg(F.sum("unit_size").alias("source_size")), max_repeat)
     sources = stored(apportion(sources.withColumn("__one", F.lit(0))
@@ -104,7 +118,7 @@ def plan_mix(docs: DataFrame, block_words: int = 16, shard_words: int = 1 << 20,
                                "__one", ["src_no"], "target", "__seats").drop("__one", "__seats"), "mix-sources")
     u = units.join(sources.withColumnRenamed("quota", "__seats"), units["source"].eqNullSafe(sources["source"]))
     u = u.select(units["source"], "shard", "unit_size", "source_size", "target", "src_no", "__seats")
-    u = apportion(u, "src_no", UNIT, "unit_size", "__seats")
+    u = apportion(stored(u, "mix-votes"), "src_no", UNIT, "unit_size", "__seats")
     n = F.ceil(F.col("unit_size") / block_words).cast("bigint")
     q = F.least(F.col("quota"), n * max_repeat)
     some = F.col("unit_size") > 0
@@ -114,8 +128,8 @@ def plan_mix(docs: DataFrame, block_words: int = 16, shard_words: int = 1 << 20,
                  F.when(some, _draw(seed, F.col("src_no"), F.col("shard")) % n).otherwise(0).alias("start"))
     u = u.withColumnsRenamed({c: f"__{c}" for c in u.columns})
 
-    rows = own.withColumn("size", size).withColumn("__of", shard(id_))
-    seeded = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(id_.cast("string"), F.lit("-"))))
+    rows = own.withColumn("size", size).withColumn("__of", drawn % shards)
+    seeded = F.md5(F.concat_ws(":", F.lit(str(seed)), _name(docs)))
     placed = Window.partitionBy("source", "__of").orderBy(seeded, "doc_id", "size")
     rows = rows.withColumn("__end", F.sum("size").over(placed.rowsBetween(Window.unboundedPreceding, 0)))
     rows = rows.withColumn("__first", F.col("__end") - F.col("size"))

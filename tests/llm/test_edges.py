@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing extra columns."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,6 +97,45 @@ def test_mixing(docs):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mixing_quotients(spark):
+    """Seats by the highest quotients, ties to the lower number, whatever the rounding gave away or took."""
+    rng = random.Random(3)
+    votes = {g: [rng.choice([0, 1, 1, 5, 5, 40, rng.randrange(10**6)]) for _ in range(n)] for g, n in ((1, 1), (2, 7), (3, 400))}
+    seats = {1: 5, 2: 11, 3: 1234}
+    units = spark.createDataFrame([(g, k, v, seats[g]) for g, vs in votes.items() for k, v in enumerate(vs)],
+                                  "g bigint, k bigint, v bigint, seats bigint")
+    got = {(r.g, r.k): r.quota for r in mixing.apportion(units, "g", ["g", "k"], "v", "seats").collect()}
+    assert len(got) == 408
+    for g, vs in votes.items():
+        best = sorted((-v / (2 * i + 1), k) for k, v in enumerate(vs) for i in range(seats[g] + 1) if v)[:seats[g]]
+        assert [got[g, k] for k in range(len(vs))] == [sum(x == k for _, x in best) for k in range(len(vs))]
+
+
+def test_mixing_targets(spark):
+    """The water level of targets, against resharing the excess in plain steps."""
+    sizes = {chr(97 + i): n for i, n in enumerate([900, 1, 3, 40, 40, 7000, 0, 12, 2, 5])}
+    rows = spark.createDataFrame([*sizes.items(), (None, 8)], "source string, source_size bigint")
+    got = {r.source: (r.src_no, r.target) for r in mixing.source_targets(rows).collect()}
+    order = [*sorted(sizes), None]
+    size, target, left = {**sizes, None: 8}, {}, sum(sizes.values()) + 8
+    while len(target) < len(order):
+        open_ = {s: i % 3 + 1 for i, s in enumerate(order) if s not in target}
+        full = {s: 3 * size[s] for s, w in open_.items() if left * w / sum(open_.values()) > 3 * size[s]}
+        target.update(full or {s: left * w / sum(open_.values()) for s, w in open_.items()})
+        left -= sum(full.values())
+    assert [got[s][0] for s in order] == list(range(1, 12))
+    assert all(abs(got[s][1] - target[s]) < 1e-9 for s in order)
+    assert mixing.source_targets(rows.limit(0)).count() == 0
+
+
+def test_mixing_rows_without_id_are_spread(spark):
+    docs = spark.range(3000).selectExpr("cast(null as bigint) doc_id", "concat('some words and number ', id) text", "'a' source")
+    sizes = mixing.plan_mix(docs, block_words=4, shard_words=1 << 10).agg(F.sum("taken"), F.count(F.lit(1))).first()
+    assert abs(sizes[0] - 15000) <= 16 * 4 and sizes[1] == 3000
+    draws = docs.select(mixing.draw_of(docs, 7).alias("d")).agg(F.countDistinct("d")).first()[0]
+    assert draws > 2990
+
+
 def test_quality(docs, labels):
     for lab in (labels, labels.limit(0)):
         weights = quality_llr.fit_weights(docs, quality_llr.trusted_ids(lab))
@@ -140,6 +181,11 @@ def test_secrets(spark, docs):
     newer = (secret_ledger.Rule("access", r"AKIA[A-Z0-9]{16,}", version=2),)
     secret_ledger.find_secrets(more, ledger, newer).count()               # an unseen rule version: scanned again
     assert ledger.rows().count() == 2 * before
+    # One new text in many copies beside all the known ones: one blob more, found by every copy.
+    copies = more.sparkSession.range(500).selectExpr("id + 100 doc_id", "'token=abcdef0123 in a new text' text")
+    again = secret_ledger.find_secrets(more.select("doc_id", "text").union(copies), ledger).filter("doc_id >= 100")
+    assert [r.spans[0].kind for r in again.collect()] == ["assign"] * 500
+    assert ledger.rows().count() == 2 * before + 1
     assert all(r.spans == [] for r in secret_ledger.find_secrets(docs).collect())
     assert secret_ledger.find_secrets(docs.limit(0)).count() == 0
 
