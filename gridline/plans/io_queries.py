@@ -21,9 +21,9 @@ from ..operators.ranking import rank_within
 from ..session import ensure_conf, scratch_path
 from ..sinks.snapshots import append_table, read_table, update_table, upsert_table, write_unpublished
 from ..sinks.upsert import newer_batch_guard, upsert, upsert_unguarded
-from ..sinks.writes import overwrite, path_exists, replace_partition, write_ndjson
+from ..sinks.writes import overwrite, path_exists, replace_partition, write_json_array, write_ndjson
 from ..sources import payload as P
-from ..sources.files import add_ingestion_metadata, list_landing_batches, scan_landed
+from ..sources.files import add_ingestion_metadata, list_landing_batches, scan_json_array, scan_landed
 from ..sources.tables import load_table
 from ..streaming.guard import upsert_stream
 from ..streaming.ingest import ingest_available
@@ -116,6 +116,19 @@ def _pages(spark, sf) -> DataFrame:
                                         P.RACE_RECORD), "RaceTable", "Races")
 
 
+@q("json_documents", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS o_orderpriority, o_orderstatus
+FROM orders""")
+def _q_json_documents(spark, sf):
+    """Orders as JSON documents, a file each, with an empty one for a status that no order has."""
+    path = scratch_path(spark, "documents")
+    priority = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderpriority")).alias("o_orderpriority")
+    rows = load_table(spark, sf, "orders").select("o_orderkey", "o_custkey", priority, "o_orderstatus")
+    expected = rows.select("o_orderstatus").distinct().union(rows.select(F.lit("none")).limit(1))
+    write_json_array(rows, path, "o_orderstatus", expected, max_records=5_000, documents=True)
+    return scan_json_array(spark, path, rows.schema, multi_line=True)
+
+
 @q("flatten_payload", _with("""
 SELECT strftime(r.race_date, '%Y-%m-%d') AS date, lower(r.race_name) AS raceName, f.round, f.season,
        'race/' || f.season || '/' || f.round AS url, CAST(f.constructor_id AS VARCHAR) AS constructorId,

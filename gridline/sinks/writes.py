@@ -99,13 +99,15 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode:
 
 
 def write_json_array(df: DataFrame, path: str, partition_col: str, expected: DataFrame | None = None,
-                     max_records: int = 1000, mode: str = "overwrite") -> None:
+                     max_records: int = 1000, mode: str = "overwrite", documents: bool = False) -> None:
     """Records as JSON arrays, ``[]`` for an expected partition without records.
 
     Each array holds about ``max_records`` records: rows are spread over
     ``ceil(n / max_records)`` hash chunks per partition value, so no single array --
     and no single aggregation group -- grows with the data. Arrays are written one per
-    line, which the JSON reader splits and turns back into rows (``[]`` → none).
+    line, which the JSON reader splits and turns back into rows (``[]`` → none). With
+    ``documents`` each array is a file of its own, an indented JSON document that any JSON
+    parser loads whole (read back with ``scan_json_array(multi_line=True)``).
     """
     cols = [c for c in df.columns if c != partition_col]
     counts = df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("__n"))
@@ -115,12 +117,14 @@ def write_json_array(df: DataFrame, path: str, partition_col: str, expected: Dat
     chunked = (df.withColumn("__place", F.monotonically_increasing_id())
                .join(small, F.col(partition_col).eqNullSafe(F.col("__value")))
                .withColumn("__chunk", F.pmod(F.xxhash64("__place"), chunks.cast("long"))))
+    form = {"ignoreNullFields": "false", "pretty": str(documents).lower()}
     arrays = (chunked.groupBy(partition_col, "__chunk")
-              .agg(F.to_json(F.collect_list(F.struct(*cols)), {"ignoreNullFields": "false"}).alias("value"))
+              .agg(F.to_json(F.collect_list(F.struct(*cols)), form).alias("value"))
               .select(partition_col, "value"))
     if expected is not None:
         missing = (expected.select(partition_col).distinct()
                    .join(counts.select(partition_col), partition_col, "left_anti")
                    .withColumn("value", F.lit("[]")))
         arrays = arrays.unionByName(missing)
-    balanced(arrays, [partition_col]).write.mode(mode).partitionBy(partition_col).text(path)
+    w = balanced(arrays, [partition_col]).write.mode(mode).partitionBy(partition_col)
+    (w.option("maxRecordsPerFile", 1) if documents else w).text(path)

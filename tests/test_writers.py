@@ -1,5 +1,6 @@
 """Table writers and SQL exposure: create-if-missing, literal append, constants, registered views."""
 
+import json
 from types import SimpleNamespace
 
 from pyspark.sql import functions as F
@@ -8,7 +9,8 @@ from gridline.operators.charts import chart_order, metric_long
 from gridline.operators.joins import with_constants
 from gridline.plans import race_views as V
 from gridline.session import scratch_path
-from gridline.sinks.writes import append, create_if_not_exists, read_table
+from gridline.sinks.writes import append, create_if_not_exists, read_table, write_json_array
+from gridline.sources.files import scan_json_array
 from gridline.sources.tables import literal_rows
 
 
@@ -22,6 +24,22 @@ def test_create_if_not_exists_then_append_literals(spark):
     assert sorted(r.batch_id for r in read_table(spark, path).collect()) == ["2025-01", "2025-02"]
 
 
+def test_json_documents_are_whole_files(spark):
+    path = scratch_path(spark, "docs")
+    schema = "id BIGINT, note STRING, part STRING"
+    rows = [(i, None if i % 4 == 0 else f"line {i}\nnext", "a" if i < 50 else None) for i in range(60)] + [(0, None, "a")] * 9
+    expected = spark.createDataFrame([("a",), ("empty",), (None,)], "part STRING")
+    write_json_array(spark.createDataFrame(rows, schema), path, "part", expected, max_records=10, documents=True)
+    files = [r.value for r in spark.read.text(path, wholetext=True).collect()]
+    assert [] in map(json.loads, files) and len(files) >= 5                    # every file is a document
+    assert all("\n" in f.strip() for f in files if json.loads(f))
+    back = scan_json_array(spark, path, schema, multi_line=True)
+    key = lambda r: (r[0], r[1] or "", r[2] or "")
+    assert sorted(map(key, back.collect())) == sorted(map(key, rows))
+    write_json_array(spark.createDataFrame([], schema), path, "part", expected, documents=True)
+    assert scan_json_array(spark, path, schema, multi_line=True).count() == 0
+
+
 def test_constants_as_literals(spark):
     df = with_constants(spark.createDataFrame([("a",)], "x STRING"), base_url="http://h", n=3)
     r = df.select(F.concat("base_url", F.lit("/"), "x").alias("u"), "n").collect()[0]
