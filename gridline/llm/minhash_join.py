@@ -3,10 +3,10 @@
 1. Each text becomes its set of 5-word shingles (64-bit hashes), a 128-bit sum over the set, and a
    signature of ``COORDS`` minima. Texts of equal sets are one class, standing for all copies.
 2. Each class is posted under every (coordinate, value) of its signature. Two classes with a
-   Jaccard similarity of 0.75 agree in 36 of 48 coordinates on average, and in fewer than
-   ``MATCHES`` = 24 in about 1 of 19,400 cases.
+   Jaccard similarity of 0.75 agree in 36 of 48 coordinates on average, and in fewer than 21 in
+   less than one of a million cases (``LOSS``); that number of matches follows from the similarity asked for.
 3. Prefix: with all values ordered by how many classes hold them, rarest first, two classes that
-   agree in 24 values share one of the first 48 - 24 + 1 of either. So only these postings are kept,
+   agree in 21 values share one of the first 48 - 21 + 1 of either. So only these postings are kept,
    and values that one class alone holds fill places without being posted: most classes vanish here.
 4. Skip: no list's pairs are formed as they are. Each class names the leader of most of its lists
    (a list's smallest class, if another one); classes that so hang together get one reference, and each is compared in
@@ -17,12 +17,13 @@
    pairs are found by a prefix join over the differences, rarest elements first. A large group of
    near copies, or of texts with one passage in common, thus costs its size, not its square.
 5. Pairs of a list with different references, and the pairs found in 4, count their collisions on
-   whole signatures; those with ``MATCHES`` or more are confirmed on the full shingle sets, and the
+   whole signatures; those with enough matches are confirmed on the full shingle sets, and the
    confirmed links give the components.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,13 +36,26 @@ from .components import components
 from .hashing import chunks, mix64, shingle_sets
 
 COORDS = 48
-MATCHES = 24
+LOSS = 1e-6       # share of the pairs at the very threshold that may have too few matches
 _RNG = np.random.default_rng(75)
 _FACTOR = _RNG.integers(1, 1 << 63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _COORD = _RNG.integers(1, 1 << 63, COORDS, dtype=np.uint64)
 BLOCK = 4096      # shingles whose minima are taken at once
 
 
+def matches_for(least: int) -> int:
+    """The most matches that pairs of a similarity of ``least`` percent fall short of in ``LOSS`` of all cases at most."""
+    p, below, m = least / 100, 0.0, 0
+    while m < COORDS:
+        below += math.comb(COORDS, m) * p**m * (1 - p)**(COORDS - m)
+        if below > LOSS:
+            break
+        m += 1
+    if not m:
+        raise ValueError(f"{COORDS} coordinates can't find pairs at {least} percent; ask for a higher similarity")
+    return m
+
+
 def _signature(shingles: np.ndarray) -> np.ndarray:
     least = np.full(COORDS, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(shingles), BLOCK):
@@ -99,13 +113,13 @@ class _Join:
     """The classes' postings, signatures and texts, and the links confirmed so far."""
 
     def __init__(self, classes: DataFrame, docs: DataFrame, least: int):
-        self.least, self.spark = least, docs.sparkSession
+        self.least, self.matches = least, matches_for(least)
         tokens = classes.select("rep", F.explode("sig").alias("token"))
         lists = stored(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "minhash-lists")
         held = (self.spread(tokens, lists, ["token"])
                 .groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t")))
         # The values that a class alone holds come first and take their places unposted.
-        room = F.lit(COORDS - MATCHES + 1) - (F.lit(COORDS) - F.size("t"))
+        room = F.lit(COORDS - self.matches + 1) - (F.lit(COORDS) - F.size("t"))
         posted = held.filter(room > 0).select("rep", F.explode(F.slice("t", F.lit(1), room)).alias("t"))
         self.postings = stored(posted.select("rep", "t.token"), "minhash-postings")
         involved = stored(self.postings.select("rep").distinct().join(classes, "rep"), "minhash-signatures")
@@ -209,7 +223,7 @@ class _Join:
         same = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0),
                            lambda s, x: s + x)
         sized = 100 * F.least("n_a", "n_b") >= self.least * F.greatest("n_a", "n_b")
-        near = pairs.join(side("a"), "a").join(side("b"), "b").filter(sized).filter(same >= MATCHES)
+        near = pairs.join(side("a"), "a").join(side("b"), "b").filter(sized).filter(same >= self.matches)
         near = stored(near.select("a", "b"), f"minhash-{name}-pairs")
         both = near.join(text("b"), "b").join(text("a"), "a").withColumn("least", F.lit(self.least))
         self.add(stored(both.mapInPandas(_confirm, "a bigint, b bigint"), f"minhash-{name}-links"))
@@ -230,7 +244,7 @@ def near_duplicates(docs: DataFrame, least: int = 75) -> DataFrame:
     component_id is the smallest doc_id reachable, kept whether that is the document itself. Null or
     empty texts have no shingles and are linked with nothing. Repeated rows share their component
     (rows of one doc_id with different texts go by their own text); rows without doc_id are kept,
-    have no component and link nothing. An empty table gives no rows. Other columns are not read.
+    have no component and link nothing. Below 26 percent 48 coordinates don't suffice, which is refused. An empty table gives no rows. Other columns are not read.
     """
     d = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of(docs).alias("text"))
     d = d.withColumn("fp", F.xxhash64("text"))

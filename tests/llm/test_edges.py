@@ -190,6 +190,23 @@ def test_secrets(spark, docs):
     assert secret_ledger.find_secrets(docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_at_other_similarities(spark):
+    """Pairs just at a similarity of 0.5 and 0.75 are all found, those just below are not."""
+    rng = random.Random(8)
+    def pairs(first, other):
+        for i in range(150):
+            words = [f"w{rng.randrange(10**9)}" for _ in range(60)]
+            yield first + 2 * i, " ".join(words)
+            yield first + 2 * i + 1, " ".join(words[:-other] + [f"v{rng.randrange(10**9)}" for _ in range(other)])
+    docs = spark.createDataFrame([*pairs(0, 18), *pairs(1000, 19), *pairs(2000, 8), *pairs(3000, 9)], "doc_id bigint, text string")
+    for least, found in ((50, {0, 2, 3}), (75, {2})):     # (56 - r) / (56 + r) shingles of r other words in common
+        for r in minhash_join.near_duplicates(docs, least).collect():
+            linked = r.doc_id // 1000 in found
+            assert r.component_id == (r.doc_id - r.doc_id % 2 if linked else r.doc_id)
+    with pytest.raises(ValueError):
+        minhash_join.near_duplicates(docs, 20)
+
+
 def test_near_duplicates(docs):
     out = minhash_join.near_duplicates(docs).collect()
     assert len(out) == len(ROWS)
