@@ -68,3 +68,27 @@ def test_stale_rows_are_dropped_after_a_restart(spark, tmp_dir):
     assert stored() == {("d0", "2024-06"), ("d1", "2024-05"), ("d2", "2024-04")}
     n = len(versions(spark, target))
     assert run() == 0 and len(versions(spark, target)) == n
+
+
+def test_stale_guard_keeps_its_state_in_spark(spark, tmp_dir):
+    from gridline.streaming.guard import drop_stale
+    from gridline.streaming.ingest import landed_stream
+
+    _land(tmp_dir, "2024-01", 1, "a")
+    stream = drop_stale(landed_stream(spark, tmp_dir, "results").drop("source_file", "ingestion_timestamp"), ["driverId"])
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "Pandas" not in plan        # no Python call per key
+
+
+def test_of_a_batch_landed_again_the_later_rows_count(spark, tmp_dir):
+    from gridline.sinks.snapshots import read_table
+    from gridline.streaming.guard import upsert_stream
+
+    target, ckpt = scratch_path(spark, "silver"), scratch_path(spark, "guard-ckpt")
+    for n, laps in enumerate(([7, 30], [8, 9], [2])):
+        d = f"{tmp_dir}/results/batch_id=2024-0{5 if n < 2 else 4}"
+        os.makedirs(d, exist_ok=True)
+        with open(f"{d}/{n}.json", "w") as f:
+            f.writelines(json.dumps(dict(ROW, laps=x)) + "\n" for x in laps)
+        upsert_stream(spark, tmp_dir, "results", target, ckpt, ["season", "round", "driverId"], ["season", "round"])
+        assert [r.laps for r in read_table(spark, target).collect()] == [[30], [8], [8]][n]    # texts: "30" < "7"
