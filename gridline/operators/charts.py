@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import weighted_score
-from .joins import join_null_safe
+from .joins import join_null_safe, sized
 from .live_ranking import top_n_ties
 from .ranking import group_extreme, rank_within
 
@@ -121,7 +121,7 @@ def cumulative_series(evo: DataFrame, entity: str, step: str, rank_col: str, hig
         whole = s if series is None else series.withColumn("round_num", F.col(step).cast("int"))
         agg = whole.groupBy(*pc).agg(F.max("cumulative_points").alias("global_max"),
                                      F.max("round_num").alias("max_round_num"))
-        s = join_null_safe(s, agg, pc)
+        s = join_null_safe(s, sized(agg), pc)
     else:                                   # whole dataset: two scalar sub-queries
         s = s.withColumns({"global_max": s.agg(F.max("cumulative_points")).scalar(),
                            "max_round_num": s.agg(F.max("round_num")).scalar()})
