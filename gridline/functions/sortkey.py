@@ -1,4 +1,4 @@
-"""Order-preserving keys: a sortable 64-bit number per column, one text for a whole ordering."""
+"""Order-preserving keys: a sortable 64-bit number per column, one binary key for a whole ordering."""
 
 from __future__ import annotations
 
@@ -107,19 +107,20 @@ def _turned(text: Column, desc: bool) -> Column:
     return F.translate(text, "0123456789ABCDEF", "FEDCBA9876543210") if desc else text
 
 
-def _number_text(v: Column, desc: bool) -> Column:
-    """A whole number as text of the same order: a sign and length character, then its hex digits."""
+def _number_bytes(v: Column, desc: bool) -> Column:
+    """A whole number as bytes of the same order: a byte of sign and length, then its bytes."""
     digits = F.hex(v)
-    size = F.length(digits)
-    # Longer is larger; negative numbers have 16 digits of two's complement and come before all others.
+    digits = F.when(F.length(digits) % 2 == 1, F.concat(F.lit("0"), digits)).otherwise(digits)
+    size = (F.length(digits) / 2).cast("int")
+    # Longer is larger; negative numbers have 8 bytes of two's complement and come before all others.
     head = F.when(v < 0, F.lit("z" if desc else "A")).otherwise(F.char((F.lit(0x7A) - size) if desc else (F.lit(0x50) + size)))
-    return F.concat(head, _turned(digits, desc))
+    return F.concat(head.cast("binary"), F.unhex(_turned(digits, desc)))
 
 
 def _part(c: Column, kind: T.DataType, direction: str) -> Column:
     desc, first = _spec(direction)
     if isinstance(kind, T.StringType):
-        text = F.concat(F.lit("P"), _turned(F.hex(c), desc), F.lit("~" if desc else " "))
+        part = F.concat(F.lit("P"), _turned(F.hex(c), desc), F.lit("~" if desc else " ")).cast("binary")
     elif isinstance(kind, T.DecimalType) and kind.precision > 18:
         # Whole units of the smallest place as 39 digits, shifted so that none is negative.
         units = (c * F.lit(10 ** kind.scale).cast("decimal(38,0)")).cast("decimal(38,0)") if kind.scale == 0 else None
@@ -128,17 +129,17 @@ def _part(c: Column, kind: T.DataType, direction: str) -> Column:
         sign = F.when(c < 0, F.lit("z" if desc else "A")).otherwise(F.lit("Q"))
         whole = F.lpad(F.abs(units).cast("string"), 39, "0")
         nines = F.translate(whole, "0123456789", "9876543210")
-        text = F.concat(sign, F.when((c < 0) != F.lit(desc), nines).otherwise(whole))
+        part = F.concat(sign, F.when((c < 0) != F.lit(desc), nines).otherwise(whole)).cast("binary")
     else:
-        text = _number_text(sortable_number(c, kind), desc)
-    return F.coalesce(text, F.lit("!" if first else "~"))
+        part = _number_bytes(sortable_number(c, kind), desc)
+    return F.coalesce(part, F.lit("!" if first else "~").cast("binary"))
 
 
 def packed_key(df: DataFrame, order: Sequence[tuple[str, str]]) -> Column:
-    """One text that sorts, byte by byte, as the whole ordering does; equal where all its columns are.
+    """Bytes that sort, one after the other, as the whole ordering does; equal where all its columns are.
 
-    Each column gives a null mark, or sign, length and digits of its sortable number (digits and marks
-    turned round where descending), so small counts take two characters. Sorting, range bounds and equality
+    Each column gives a null mark, or sign, length and bytes of its sortable number (bytes and marks
+    turned round where descending), so small counts take two bytes. Sorting, range bounds and equality
     then compare one column instead of many.
     """
     return F.concat(*[_part(F.col(c), df.schema[c].dataType, d) for c, d in order])
