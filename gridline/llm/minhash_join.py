@@ -13,9 +13,11 @@
    full with that one only, which gives its missing shingles M and its further ones E. Two classes of
    a reference then share |ref| - |M| - |M'| + (elements that both differences have) shingles. If
    both are linked to the reference, nothing is left to find. If one is not, a link to any other
-   needs common elements of the differences, more the further they are from the reference, so these
-   pairs are found by a prefix join over the differences, rarest elements first. A large group of
-   near copies, or of texts with one passage in common, thus costs its size, not its square.
+   needs common elements of the differences, more the further both are from the reference, so these
+   pairs are found by a prefix join over the differences, rarest elements first. An element that
+   more than ``FEW`` of these classes hold is not expanded into pairs either: its smallest class is
+   a reference of the next level, and 4 is done again with that. A large group of near copies, or of
+   texts with one passage in common, thus costs its size, not its square.
 5. Pairs of a list with different references, and the pairs found in 4, count their collisions on
    whole signatures; those with enough matches are confirmed on the full shingle sets, and the
    confirmed links give the components.
@@ -41,6 +43,7 @@ _RNG = np.random.default_rng(75)
 _FACTOR = _RNG.integers(1, 1 << 63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _COORD = _RNG.integers(1, 1 << 63, COORDS, dtype=np.uint64)
 BLOCK = 4096      # shingles whose minima are taken at once
+FEW = 32          # classes with an element of their differences in common whose pairs are formed
 
 
 def matches_for(least: int) -> int:
@@ -135,8 +138,7 @@ class _Join:
         return spread_join(big, small, keys, "df", small.agg(F.sum("df")).first()[0] or 0, F.col("rep"))
 
     def add(self, links: DataFrame) -> None:
-        # Written anew, so that the links are one table however they were found.
-        self.links = links if self.links is None else stored(self.links.union(links), "minhash-links")
+        self.links = links if self.links is None else self.links.union(links)
 
     def roots(self) -> DataFrame:
         return components(self.links).withColumnRenamed("node", "rep")
@@ -154,9 +156,8 @@ class _Join:
         p = self.postings.join(refs.withColumnRenamed("node", "rep"), "rep", "left")
         return stored(p.select("rep", "token", F.coalesce("root", "rep").alias("ref")), "minhash-referred")
 
-    def differ(self, referred: DataFrame) -> DataFrame:
-        """Each class's difference from its reference; adds the links to the reference."""
-        pairs = referred.filter("rep <> ref").select("rep", "ref").distinct()
+    def differ(self, pairs: DataFrame) -> DataFrame:
+        """The difference of each class rep from the class ref; adds the links among these pairs."""
         ref = self.texts.select(F.col("rep").alias("ref"), F.col("text").alias("text_ref"))
         near = F.lit(100 - self.least) * F.col("n_ref")
         far = F.lit(100) * F.col("lacks") + F.lit(self.least) * F.col("has")
@@ -165,35 +166,61 @@ class _Join:
         self.add(diffs.filter("far <= near").select(F.col("rep").alias("a"), F.col("ref").alias("b")))
         return diffs
 
-    def pairs_by_difference(self, diffs: DataFrame) -> DataFrame:
-        """Pairs (a, b) of a reference, one of them not linked to it, that may be linked.
+    def lists_of(self, diffs: DataFrame) -> DataFrame:
+        """(ref, el, rep, far, near, loose, rest, df, lead): lists of classes with an element in common.
 
         With ``far`` = 100 |M| + least |E| and ``near`` = (100 - least) |ref|, two classes are linked
-        if (100 + least) * common elements >= far + far' - near; not linked to the reference means
-        far > near. So beside an unlinked partner a class needs more than far / (100 + least) common
-        elements, and an unlinked one beside a linked partner at least (far - near) / (100 + least).
+        if (100 + least) * common elements >= far + far' - near. One of a new link is loose, which is
+        not linked to the reference: far > near. A class's elements are ordered rarest first; if one
+        is the first in common, the ``rest`` from it on must suffice, and far' is at least
+        the least among the element's loose or tied holders. df counts a list's classes, and its lead
+        is the one with the smallest set, so with the least that the others could lack in common.
         """
-        open_ = diffs.filter("far > near").select("ref").distinct()
-        d = diffs.join(open_, "ref", "left_semi").withColumn("size", F.size("diff"))
-        elements = d.select("rep", "ref", F.explode("diff").alias("el"))
-        lists = stored(elements.groupBy("ref", "el").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"),
-                       "minhash-elements")
-        held = (self.spread(elements, lists, ["ref", "el"]).groupBy("rep", "ref")
-                .agg(F.array_sort(F.collect_list(F.struct("df", "el"))).alias("t")))
-        held = held.join(d.select("rep", "ref", "size", "far", "near"), ["rep", "ref"])
-        unit, alone = F.lit(100 + self.least), F.col("size") - F.size("t")
-        short = F.col("size") - F.floor(F.col("far") / unit) - alone
-        long = F.col("size") - F.greatest(F.ceil((F.col("far") - F.col("near")) / unit), F.lit(1)) + 1 - alone
-
-        def prefix(rows: DataFrame, room: Column, name: str) -> DataFrame:
-            return (rows.filter(room > 0).withColumn("t", F.explode(F.slice("t", F.lit(1), room.cast("int"))))
-                    .select("ref", "t.el", F.col("rep").alias(name)))
-
-        loose, tied = held.filter("far > near"), held.filter("far <= near")
-        first = prefix(loose, long, "a").join(prefix(tied, short, "b"), ["ref", "el"])
-        second = prefix(loose, short, "a").join(prefix(loose, short, "b"), ["ref", "el"]).filter("a < b")
-        both = first.select("a", "b").union(second.select("a", "b"))
-        return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        d = diffs.withColumn("loose", F.col("far") > F.col("near")).withColumn("size", F.size("diff"))
+        open_ = stored(d.groupBy("ref").agg(F.count(F.lit(1)).alias("df"), F.max("loose").alias("open"))
+                       .filter("open").select("ref", "df"), "minhash-open")
+        d = stored(self.spread(d, open_, ["ref"]).drop("df"), "minhash-open-differences")
+        elements = d.select("rep", "ref", "far", "loose", F.explode("diff").alias("el"))
+        lists = elements.groupBy("ref", "el").agg(
+            F.count(F.lit(1)).alias("df"), F.min(F.when(F.col("loose"), F.col("far"))).alias("loose_far"),
+            F.min(F.when(~F.col("loose"), F.col("far"))).alias("tied_far"))
+        lists = stored(lists.filter("df > 1 and loose_far is not null"), "minhash-elements")
+        held = (self.spread(elements.select("rep", "ref", "el"), lists, ["ref", "el"]).groupBy("rep", "ref")
+                .agg(F.array_sort(F.collect_list(F.struct("df", "el", "loose_far", "tied_far"))).alias("t")))
+        held = held.join(d.select("rep", "ref", "far", "near", "loose",
+                                  (F.col("n_ref") - F.col("lacks") + F.col("has")).alias("n")), ["rep", "ref"])
+        # Elements that a class alone holds come before those of ``t``.
+        placed = F.transform("t", lambda x, i: F.struct(
+            x["el"].alias("el"), (F.size("t") - i).alias("rest"),
+            F.when(F.col("loose"), F.least(x["loose_far"], x["tied_far"])).otherwise(x["loose_far"]).alias("other")))
+        of_use = F.filter(placed, lambda x: self.suffice(x["rest"], x["other"]))
+        own = ["ref", "rep", "n", "far", "near", "loose"]
+        posted = stored(held.select(*own, F.explode(of_use).alias("e")).select(*own, "e.el", "e.rest"), "minhash-index")
+        lead = posted.groupBy("ref", "el").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("n", "rep")).alias("lead"),
+                                               F.max("loose").alias("open"))
+        lead = stored(lead.filter("df > 1 and open").select("ref", "el", "df", F.col("lead.rep").alias("lead")),
+                      "minhash-element-leaders")
+        return stored(self.spread(posted, lead, ["ref", "el"]).drop("n"), "minhash-element-lists")
+
+    def suffice(self, common: Column, other: Column) -> Column:
+        """Whether so many common elements link a class to one that is ``other`` far from their reference."""
+        return F.lit(100 + self.least) * common >= F.col("far") + other - F.col("near")
+
+    def pairs_by_difference(self, lists: DataFrame) -> DataFrame:
+        """The pairs (a, b) of the lists of few classes that may be linked, one of them loose."""
+        few = lists.filter(F.col("df") <= FEW)
+        a = few.select("ref", "el", F.col("rep").alias("a"), "far", "near", "loose", "rest")
+        b = few.select("ref", "el", F.col("rep").alias("b"), *[F.col(c).alias(f"{c}_b") for c in ("far", "loose", "rest")])
+        near = self.suffice(F.least("rest", "rest_b"), F.col("far_b"))
+        return a.join(b, ["ref", "el"]).filter("a < b and (loose or loose_b)").filter(near).select("a", "b").distinct()
+
+    def regroup(self, lists: DataFrame) -> DataFrame:
+        """(rep, ref): the classes of longer lists with the lead as a reference of the next level.
+
+        A lead is smaller than the others of its list, so references grow from level to level and the levels end.
+        """
+        more = lists.filter((F.col("df") > FEW) & (F.col("rep") != F.col("lead")))
+        return stored(more.select("rep", F.col("lead").alias("ref")).distinct(), "minhash-groups")
 
     def pairs_across(self, referred: DataFrame) -> DataFrame:
         """Pairs (a, b) of one list and different references."""
@@ -230,8 +257,13 @@ class _Join:
 
     def run(self) -> DataFrame:
         referred = self.refer()
-        diffs = self.differ(referred)
-        self.confirm(self.pairs_by_difference(diffs), "difference")
+        groups = referred.filter("rep <> ref").select("rep", "ref").distinct()
+        while True:
+            lists = self.lists_of(self.differ(groups))
+            self.confirm(self.pairs_by_difference(lists), "difference")
+            groups = self.regroup(lists)
+            if groups.isEmpty():
+                break
         self.confirm(self.pairs_across(referred), "across")
         return self.roots()
 
