@@ -122,6 +122,27 @@ _FAR_BYTES = (b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2\x85", b"\xc2\xa0", b"\x
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_CHARS = {**{b: chr(b) for b in _SHOWN},
                **{b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _SHOWN)}}
+# A plain piece is a space and ASCII characters but ' and <, or a space, any letters, and full stops and
+# commas. The tokenizer splits it into runs of letters, digits and other characters, the space with
+# the first, and merges bytes within these. Where no token reaches from one such part to the next or
+# to a space, merging many plain pieces at once gives the same ids.
+_PLAIN = re.compile(rb" [!-&(-;=-~]+").fullmatch
+_LETTER, _DIGIT, _OTHER = "(?:[^\\W\\d_]|[\udc80-\udcff])", "[0-9]", "[!-/:-@\\[-`{-~]"
+_ACROSS = re.compile(f"{_LETTER}(?:{_DIGIT}|{_OTHER}| )|{_DIGIT}(?:{_LETTER}|{_OTHER}| )|{_OTHER}(?:{_LETTER}|{_DIGIT}| )").search
+_CHAR_BYTES = {c: b for b, c in _BYTE_CHARS.items()}
+RUN = 256                  # plain pieces that are merged at once
+
+
+def _reaches_across(token: str) -> bool:
+    """Whether a token holds the end of one part of a plain piece and the beginning of the next."""
+    text = bytes(_CHAR_BYTES.get(c, 0) for c in token).decode("utf-8", "surrogateescape")
+    return "'" not in text and "<" not in text and bool(_ACROSS(text))
+
+
+def _is_plain(piece: bytes) -> bool:
+    if piece.isascii():
+        return _PLAIN(piece) is not None
+    return piece[0] == 0x20 and piece.decode("utf-8", "surrogatepass")[1:].rstrip(".,").isalpha()
 
 
 class PieceEncoder:
@@ -132,7 +153,11 @@ class PieceEncoder:
         from tokenizers import Tokenizer
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.known: dict[bytes, int] = {}
-        self.stops: dict[bytes, list[int]] = {}   # by runs of full stops and commas
+        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.apart = not any(map(_reaches_across, vocab)) and all("'" in t or "<" in t for t in added)
+        self.bytes = np.zeros(max(vocab.values(), default=-1) + 1, np.int64)    # a token has a character for each byte
+        self.bytes[list(vocab.values())] = [len(t) for t in vocab]
         self.ids, self.first = np.zeros(0, np.uint32), np.zeros(0, np.int64)
         self.size, self.hits = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -149,34 +174,37 @@ class PieceEncoder:
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word(self, piece: bytes) -> list[int]:
-        """Ids of letters after at most one space: the tokenizer splits these no further before merging."""
-        return [t.id for t in self.tokenizer.model.tokenize(piece.decode("latin-1").translate(_BYTE_CHARS))]
-
-    def _stop(self, stop: bytes) -> list[int]:
-        if stop not in self.stops:
-            self.stops[stop] = self._word(stop) if stop else []
-        return self.stops[stop]
+    def _joined(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of plain pieces and their number by piece, merged many pieces at once.
+
+        The ids are dealt to the pieces by the bytes that each stands for; None if one reaches over an end.
+        """
+        found: list[int] = []
+        for a in range(0, len(pieces), RUN):
+            run = b"".join(pieces[a:a + RUN]).decode("latin-1").translate(_BYTE_CHARS)
+            found += [t.id for t in self.tokenizer.model.tokenize(run)]
+        ids = np.array(found, np.uint32)
+        upto = np.concatenate([[0], np.cumsum(self.bytes[ids])])
+        stops = np.cumsum([len(p) for p in pieces])
+        ends = np.searchsorted(upto, stops)
+        if upto[-1] != stops[-1] or not np.array_equal(upto[ends], stops):
+            return None
+        return ids, np.diff(ends, prepend=0)
 
     def _learn(self, pieces: list[bytes]) -> None:
-        found: list = []
-        other = []
-        for p in pieces:
-            text = p.decode("utf-8", "surrogatepass")
-            word = text.rstrip(".,")
-            if (word[1:] if word[:1] == " " else word).isalpha():
-                stop = p[len(word.encode()):]
-                found.append(self._word(p[:len(p) - len(stop)]) + self._stop(stop))
-            else:
-                other.append(len(found))
-                found.append(text)
-        for i, ids in zip(other, self._whole([found[i] for i in other])):
-            found[i] = ids
-        size = np.array([len(x) for x in found], np.int64)
+        plain = [p for p in pieces if _is_plain(p)] if self.apart else []
+        found = self._joined(plain) if plain else None
+        if found is not None:
+            self._keep(plain, *found)
+            pieces = [p for p in pieces if p not in self.known]
+        whole = self._whole([p.decode("utf-8", "surrogatepass") for p in pieces])
+        self._keep(pieces, np.array([i for x in whole for i in x], np.uint32), np.array([len(x) for x in whole], np.int64))
+
+    def _keep(self, pieces: list[bytes], ids: np.ndarray, size: np.ndarray) -> None:
         self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
         self.hits = np.concatenate([self.hits, np.zeros(len(size), np.int64)])
-        self.ids = np.concatenate([self.ids, np.array([i for x in found for i in x], np.uint32)])
+        self.ids = np.concatenate([self.ids, ids])
         self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -197,8 +225,9 @@ class PieceEncoder:
         own = np.array([self.known.get(p, -1) for p in pieces], np.int64)
         new = np.flatnonzero(own < 0)
         if len(new):
-            own[new] = np.arange(len(self.known), len(self.known) + len(new))
-            self._learn([pieces[i] for i in new.tolist()])
+            found = [pieces[i] for i in new.tolist()]
+            self._learn(found)
+            own[new] = [self.known[p] for p in found]
         self.hits += np.bincount(own, np.bincount(kind, minlength=len(own)), len(self.hits)).astype(np.int64)
         at = own[kind]
         size = self.size[at]
