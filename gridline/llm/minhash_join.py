@@ -8,17 +8,19 @@
 3. Prefix: with all values ordered by how many classes hold them, rarest first, two classes that
    agree in 21 values share one of the first 48 - 21 + 1 of either. So only these postings are kept,
    and values that one class alone holds fill places without being posted: most classes vanish here.
-4. Skip: no list's pairs are formed as they are. Each class names the leader of most of its lists
-   (a list's smallest class, if another one); classes that so hang together get one reference, and each is compared in
-   full with that one only, which gives its missing shingles M and its further ones E. Two classes of
-   a reference then share |ref| - |M| - |M'| + (elements that both differences have) shingles. If
-   both are linked to the reference, nothing is left to find. If one is not, a link to any other
-   needs common elements of the differences, more the further both are from the reference, so these
-   pairs are found by a prefix join over the differences, rarest elements first. An element that
-   more than ``FEW`` of these classes hold is not expanded into pairs either: its smallest class is
-   a reference of the next level, and 4 is done again with that. A large group of near copies, or of
+4. Skip: only lists of up to ``SHORT`` classes form their pairs. In a longer one each class is compared
+   in full with the list's lead alone, which gives its missing shingles M and its further ones E. The
+   lead is the class whose values are the most common ones: of texts that are copies of one, or
+   hold one passage, it is nearest to what they have in common, so the differences are small. Two classes of
+   a lead then share |lead| - |M| - |M'| + (elements that both differences have) shingles. If
+   both are linked to the lead, nothing is left to find. If one is not, a link to any other
+   needs common elements of the differences, more the further both are from the lead, so these
+   pairs are found by a prefix join over the differences, rarest elements first, which gives only the
+   pairs whose remaining elements could suffice. An element that
+   more than ``FEW`` of these classes hold isn't joined so: its most central class is
+   a lead of the next level, and 4 is done again with that. A large group of near copies, or of
    texts with one passage in common, thus costs its size, not its square.
-5. Pairs of a list with different references, and the pairs found in 4, count their collisions on
+5. The pairs of short lists, and those found in 4, count their collisions on
    whole signatures; those with enough matches are confirmed on the full shingle sets, and the
    confirmed links give the components.
 """
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 from .common import spread_join, stored, text_of
 from .components import components
 from .hashing import chunks, mix64, shingle_sets
+from .numeric import give_back
 
 COORDS = 48
 LOSS = 1e-6       # share of the pairs at the very threshold that may have too few matches
@@ -43,7 +46,8 @@ _RNG = np.random.default_rng(75)
 _FACTOR = _RNG.integers(1, 1 << 63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _COORD = _RNG.integers(1, 1 << 63, COORDS, dtype=np.uint64)
 BLOCK = 4096      # shingles whose minima are taken at once
-FEW = 32          # classes with an element of their differences in common whose pairs are formed
+SHORT = 8         # classes of a signature value's list whose pairs are formed
+FEW = 1 << 12     # classes with an element of their differences in common that are held against each other
 
 
 def matches_for(least: int) -> int:
@@ -70,16 +74,19 @@ def _signature(shingles: np.ndarray) -> np.ndarray:
 def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Set size, set sums and signature of each text; texts without words have none."""
     for batch in batches:
-        sets = [s for part in chunks(batch["text"].tolist()) for s in shingle_sets(part)]
-        rows = []
-        for doc_id, fp, s in zip(batch["doc_id"].tolist(), batch["fp"].tolist(), sets):
-            if len(s):
-                sums = [int(x.sum(dtype=np.uint64).view(np.int64)) for x in (mix64(s), mix64(s ^ _COORD[0]))]
-                rows.append((doc_id, fp, len(s), *sums, _signature(s)))
-            else:   # a first sum of its own, so that empty texts don't meet in one partition
-                rows.append((doc_id, fp, 0, hash(doc_id), 0, None))
-        out = pd.DataFrame(rows, columns=["doc_id", "fp", "n_shingles", "s1", "s2", "sig"])
-        yield out.astype({"doc_id": "Int64"})
+        ids, fps, at = batch["doc_id"].tolist(), batch["fp"].tolist(), 0
+        for part in chunks(batch["text"].tolist()):
+            rows = []
+            for doc_id, fp, s in zip(ids[at:], fps[at:], shingle_sets(part)):
+                if len(s):
+                    sums = [int(x.sum(dtype=np.uint64).view(np.int64)) for x in (mix64(s), mix64(s ^ _COORD[0]))]
+                    rows.append((doc_id, fp, len(s), *sums, _signature(s)))
+                else:   # a first sum of its own, so that empty texts don't meet in one partition
+                    rows.append((doc_id, fp, 0, hash(doc_id), 0, None))
+            at += len(part)
+            out = pd.DataFrame(rows, columns=["doc_id", "fp", "n_shingles", "s1", "s2", "sig"])
+            yield out.astype({"doc_id": "Int64"})
+    give_back()
 
 
 def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -92,6 +99,7 @@ def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
             keep.append(100 * both >= least * (len(sets[a]) + len(sets[b]) - both))
         yield batch.loc[np.array(keep, bool), ["a", "b"]]
+    give_back()
 
 
 def _differ(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -100,16 +108,17 @@ def _differ(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         texts = list(dict.fromkeys([*batch["text"], *batch["text_ref"]]))
         sets = dict(zip(texts, (s for part in chunks(texts) for s in shingle_sets(part))))
         rows = []
-        for rep, ref, a, b in zip(batch["rep"].tolist(), batch["ref"].tolist(), batch["text"], batch["text_ref"]):
+        for rep, weight, ref, a, b in zip(*(batch[c].tolist() for c in ("rep", "weight", "ref", "text", "text_ref"))):
             own, base = sets[a], sets[b]
             lacks = np.setdiff1d(base, own, assume_unique=True)
             has = np.setdiff1d(own, base, assume_unique=True)
             both = np.concatenate([mix64(lacks ^ _COORD[1]), has]).view(np.int64)
-            rows.append((rep, ref, len(base), len(lacks), len(has), both))
-        yield pd.DataFrame(rows, columns=["rep", "ref", "n_ref", "lacks", "has", "diff"])
+            rows.append((rep, weight, ref, len(base), len(lacks), len(has), both))
+        yield pd.DataFrame(rows, columns=["rep", "weight", "ref", "n_ref", "lacks", "has", "diff"])
+    give_back()
 
 
-DIFF = "rep bigint, ref bigint, n_ref bigint, lacks bigint, has bigint, diff array<bigint>"
+DIFF = "rep bigint, weight bigint, ref bigint, n_ref bigint, lacks bigint, has bigint, diff array<bigint>"
 
 
 class _Join:
@@ -120,15 +129,16 @@ class _Join:
         tokens = classes.select("rep", F.explode("sig").alias("token"))
         lists = stored(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "minhash-lists")
         held = (self.spread(tokens, lists, ["token"])
-                .groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t")))
+                .groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"),
+                                    F.sum("df").alias("weight")))
         # The values that a class alone holds come first and take their places unposted.
         room = F.lit(COORDS - self.matches + 1) - (F.lit(COORDS) - F.size("t"))
-        posted = held.filter(room > 0).select("rep", F.explode(F.slice("t", F.lit(1), room)).alias("t"))
-        self.postings = stored(posted.select("rep", "t.token"), "minhash-postings")
-        involved = stored(self.postings.select("rep").distinct().join(classes, "rep"), "minhash-signatures")
+        posted = held.filter(room > 0).select("rep", "weight", F.explode(F.slice("t", F.lit(1), room)).alias("t"))
+        self.postings = stored(posted.select("rep", "weight", "t.token"), "minhash-postings")
+        involved = stored(self.postings.select("rep", "weight").distinct().join(classes, "rep"), "minhash-signatures")
         self.known = involved.select("rep", "sig", "n_shingles")
-        texts = docs.join(involved.select(F.col("rep").alias("doc_id"), "fp"), ["doc_id", "fp"], "left_semi")
-        self.texts = stored(texts.select(F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep", "text"]),
+        texts = docs.join(involved.select(F.col("rep").alias("doc_id"), "fp", "weight"), ["doc_id", "fp"])
+        self.texts = stored(texts.select(F.col("doc_id").alias("rep"), "weight", "text").dropDuplicates(["rep", "text"]),
                             "minhash-texts")
         self.links: DataFrame | None = None
 
@@ -143,25 +153,35 @@ class _Join:
     def roots(self) -> DataFrame:
         return components(self.links).withColumnRenamed("node", "rep")
 
-    def refer(self) -> DataFrame:
-        """(rep, token, ref): the postings with each class's reference."""
-        lead = self.postings.groupBy("token").agg(F.min("rep").alias("lead"), F.count(F.lit(1)).alias("df"))
-        lead = stored(lead.filter("df > 1"), "minhash-leaders")
-        votes = (self.spread(self.postings, lead, ["token"])
-                 .groupBy("rep", "lead").agg(F.count(F.lit(1)).alias("c")))
-        # Of the leaders other than the class itself, the one of most lists.
-        best = (votes.filter("lead <> rep").groupBy("rep")
-                .agg(F.max(F.struct("c", (-F.col("lead")).alias("lead"))).alias("best")))
-        refs = components(best.select(F.col("rep").alias("a"), (-F.col("best.lead")).alias("b")))
-        p = self.postings.join(refs.withColumnRenamed("node", "rep"), "rep", "left")
-        return stored(p.select("rep", "token", F.coalesce("root", "rep").alias("ref")), "minhash-referred")
+    @staticmethod
+    def lead() -> Column:
+        """Of the classes of a list, the one of the largest weight, the smallest of equal ones."""
+        return F.max(F.struct("weight", F.bitwise_not("rep").alias("rep"))).alias("lead")
+
+    def led(self) -> DataFrame:
+        """(rep, token, df, lead): the postings in lists of two classes or more."""
+        lead = self.postings.groupBy("token").agg(F.count(F.lit(1)).alias("df"), self.lead()).filter("df > 1")
+        lead = stored(lead.select("token", "df", F.bitwise_not("lead.rep").alias("lead")), "minhash-leaders")
+        return stored(self.spread(self.postings.select("rep", "token"), lead, ["token"]), "minhash-led")
+
+    def pairs_of_lists(self, led: DataFrame) -> DataFrame:
+        """The pairs (a, b) of the lists of few classes."""
+        few = led.filter(F.col("df") <= SHORT)
+        a, b = (few.select("token", F.col("rep").alias(x)) for x in ("a", "b"))
+        return a.join(b, "token").filter("a < b").select("a", "b").distinct()
+
+    def groups(self, led: DataFrame) -> DataFrame:
+        """(rep, ref): the classes of longer lists with their leads."""
+        more = led.filter((F.col("df") > SHORT) & (F.col("rep") != F.col("lead")))
+        return stored(more.select("rep", F.col("lead").alias("ref")).distinct(), "minhash-groups")
 
     def differ(self, pairs: DataFrame) -> DataFrame:
         """The difference of each class rep from the class ref; adds the links among these pairs."""
         ref = self.texts.select(F.col("rep").alias("ref"), F.col("text").alias("text_ref"))
         near = F.lit(100 - self.least) * F.col("n_ref")
         far = F.lit(100) * F.col("lacks") + F.lit(self.least) * F.col("has")
-        diffs = stored(pairs.join(self.texts, "rep").join(ref, "ref").mapInPandas(_differ, DIFF)
+        diffs = stored(pairs.join(self.texts, "rep").join(ref, "ref").select("rep", "weight", "ref", "text", "text_ref")
+                       .mapInPandas(_differ, DIFF)
                        .withColumn("far", far).withColumn("near", near), "minhash-differences")
         self.add(diffs.filter("far <= near").select(F.col("rep").alias("a"), F.col("ref").alias("b")))
         return diffs
@@ -173,34 +193,29 @@ class _Join:
         if (100 + least) * common elements >= far + far' - near. One of a new link is loose, which is
         not linked to the reference: far > near. A class's elements are ordered rarest first; if one
         is the first in common, the ``rest`` from it on must suffice, and far' is at least
-        the least among the element's loose or tied holders. df counts a list's classes, and its lead
-        is the one with the smallest set, so with the least that the others could lack in common.
+        the least among the element's loose or tied holders. df counts a list's classes, lead is the lead among them.
         """
-        d = diffs.withColumn("loose", F.col("far") > F.col("near")).withColumn("size", F.size("diff"))
-        open_ = stored(d.groupBy("ref").agg(F.count(F.lit(1)).alias("df"), F.max("loose").alias("open"))
-                       .filter("open").select("ref", "df"), "minhash-open")
-        d = stored(self.spread(d, open_, ["ref"]).drop("df"), "minhash-open-differences")
+        d = diffs.withColumn("loose", F.col("far") > F.col("near"))
         elements = d.select("rep", "ref", "far", "loose", F.explode("diff").alias("el"))
         lists = elements.groupBy("ref", "el").agg(
             F.count(F.lit(1)).alias("df"), F.min(F.when(F.col("loose"), F.col("far"))).alias("loose_far"),
             F.min(F.when(~F.col("loose"), F.col("far"))).alias("tied_far"))
         lists = stored(lists.filter("df > 1 and loose_far is not null"), "minhash-elements")
-        held = (self.spread(elements.select("rep", "ref", "el"), lists, ["ref", "el"]).groupBy("rep", "ref")
+        # Plain joins: of an element a group holds a row per class, which adaptive execution splits where it is skewed.
+        held = (elements.select("rep", "ref", "el").join(lists, ["ref", "el"]).groupBy("rep", "ref")
                 .agg(F.array_sort(F.collect_list(F.struct("df", "el", "loose_far", "tied_far"))).alias("t")))
-        held = held.join(d.select("rep", "ref", "far", "near", "loose",
-                                  (F.col("n_ref") - F.col("lacks") + F.col("has")).alias("n")), ["rep", "ref"])
+        held = held.join(d.select("rep", "ref", "weight", "far", "near", "loose"), ["rep", "ref"])
         # Elements that a class alone holds come before those of ``t``.
         placed = F.transform("t", lambda x, i: F.struct(
             x["el"].alias("el"), (F.size("t") - i).alias("rest"),
             F.when(F.col("loose"), F.least(x["loose_far"], x["tied_far"])).otherwise(x["loose_far"]).alias("other")))
         of_use = F.filter(placed, lambda x: self.suffice(x["rest"], x["other"]))
-        own = ["ref", "rep", "n", "far", "near", "loose"]
+        own = ["ref", "rep", "weight", "far", "near", "loose"]
         posted = stored(held.select(*own, F.explode(of_use).alias("e")).select(*own, "e.el", "e.rest"), "minhash-index")
-        lead = posted.groupBy("ref", "el").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("n", "rep")).alias("lead"),
-                                               F.max("loose").alias("open"))
-        lead = stored(lead.filter("df > 1 and open").select("ref", "el", "df", F.col("lead.rep").alias("lead")),
+        lead = posted.groupBy("ref", "el").agg(F.count(F.lit(1)).alias("df"), self.lead(), F.max("loose").alias("open"))
+        lead = stored(lead.filter("df > 1 and open").select("ref", "el", "df", F.bitwise_not("lead.rep").alias("lead")),
                       "minhash-element-leaders")
-        return stored(self.spread(posted, lead, ["ref", "el"]).drop("n"), "minhash-element-lists")
+        return stored(posted.drop("weight").join(lead, ["ref", "el"]), "minhash-element-lists")
 
     def suffice(self, common: Column, other: Column) -> Column:
         """Whether so many common elements link a class to one that is ``other`` far from their reference."""
@@ -217,27 +232,11 @@ class _Join:
     def regroup(self, lists: DataFrame) -> DataFrame:
         """(rep, ref): the classes of longer lists with the lead as a reference of the next level.
 
-        A lead is smaller than the others of its list, so references grow from level to level and the levels end.
+        A lead is before the others of its list by weight and rep, so references come later from level to level and the levels end.
         """
         more = lists.filter((F.col("df") > FEW) & (F.col("rep") != F.col("lead")))
         return stored(more.select("rep", F.col("lead").alias("ref")).distinct(), "minhash-groups")
 
-    def pairs_across(self, referred: DataFrame) -> DataFrame:
-        """Pairs (a, b) of one list and different references."""
-        mixed = stored(referred.groupBy("token").agg(F.min("ref").alias("lo"), F.max("ref").alias("hi"),
-                                                     F.count(F.lit(1)).alias("df"))
-                       .filter("lo < hi").select("token", "df"), "minhash-mixed")
-        p = (self.spread(referred, mixed, ["token"]).groupBy("rep", "ref")
-             .agg(F.collect_list("token").alias("all")))
-        p = stored(p.withColumn("token", F.explode("all")), "minhash-across")
-        q = p.select(*[F.col(c).alias(f"{c}_b") for c in ("token", "rep", "ref", "all")])
-        # A pair is formed at the first value that both hold, not at each.
-        once = F.array_min(F.array_intersect("all", "all_b")) == F.col("token")
-        pairs = p.join(q, (F.col("token") == F.col("token_b")) & (F.col("rep") < F.col("rep_b"))
-                       & (F.col("ref") != F.col("ref_b")) & once)
-        return pairs.select(F.col("rep").alias("a"), F.col("rep_b").alias("b"))
-
-
     def confirm(self, pairs: DataFrame, name: str) -> None:
         """Add the pairs (a, b) that pass the count of collisions and the comparison of full sets."""
         def side(x: str) -> DataFrame:
@@ -256,15 +255,13 @@ class _Join:
         self.add(stored(both.mapInPandas(_confirm, "a bigint, b bigint"), f"minhash-{name}-links"))
 
     def run(self) -> DataFrame:
-        referred = self.refer()
-        groups = referred.filter("rep <> ref").select("rep", "ref").distinct()
-        while True:
-            lists = self.lists_of(self.differ(groups))
+        led = self.led()
+        self.confirm(self.pairs_of_lists(led), "list")
+        diffs = self.differ(self.groups(led))
+        while not diffs.isEmpty():
+            lists = self.lists_of(diffs)
             self.confirm(self.pairs_by_difference(lists), "difference")
-            groups = self.regroup(lists)
-            if groups.isEmpty():
-                break
-        self.confirm(self.pairs_across(referred), "across")
+            diffs = self.differ(self.regroup(lists))
         return self.roots()
 
 
